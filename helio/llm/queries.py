@@ -2,20 +2,82 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from helio.llm import bpe, chat, langid, toxicity
 from helio.llm.common import LOWER, UPPER
 from helio.llm.exact_dedup import exact_dedup
 from helio.llm.license_scan import license_scan
+from helio.llm.minhash import near_dedup
+from helio.llm.packing import pack_documents
 from helio.llm.url_filter import rule_table, url_filter
+from helio.llm.vectors import near_vectors
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = langid.train(docs.where(langid.fold(F.col("doc_id"), 4) != 2))
+    out = langid.identify(docs, model)
+    return out.select("doc_id", (langid.fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(langid.fold(F.col("doc_id"), 3) != 1)
+    model = toxicity.train(docs.join(labels, "doc_id"))
+    out = toxicity.score(docs, model)
+    return out.select("doc_id", (langid.fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return bpe.bpe_round_trip(_documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+
+
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns of conversations as raw transcripts: each text gets a speaker marker in one of four styles by its conversation, every fifth none; roles are then recovered.
+
+    The model learns from conversations whose crc32(conv_id as text) mod 4 is not 2.
+    """
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    style = F.pmod(F.xxhash64("conv_id"), F.lit(4))
+    names = {"user": ("User: ", "Human: ", "Q: ", "customer> "), "assistant": ("Assistant: ", "AI: ", "A: ", "agent> "), "system": ("System: ", "Context: ", "Instructions: ", "system> ")}
+    marker = F.lit("")
+    for role, styles in names.items():
+        for k, text in enumerate(styles):
+            marker = F.when((F.col("role") == role) & (style == k), text).otherwise(marker)
+    bare = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(5)) == 0
+    raw = turns.withColumn("text", F.concat(F.when(bare, "").otherwise(marker), F.coalesce("text", F.lit(""))))
+    lines = chat.transcript_lines(raw, carry=("role",))
+    model = chat.count_model(lines.where(langid.fold(F.col("conv"), 4) != 2))
+    found = chat.parse_transcripts(lines.drop("role"), model)
+    return found.select(F.col("conv").alias("conv_id"), "block", "turn_no", "role", "text", F.sha2("rendered", 256).alias("rendered_sha256"))
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("spans")
+    return license_scan(_documents(spark, sf_dir)).drop("spans")
+
+
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(_documents(spark, sf_dir), width=4)
+
+
+def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"), keep="max")
+    return exact_dedup(_documents(spark, sf_dir), keep="max")
 
 
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +85,14 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op2_packing": op2_packing,
+    "op3_toxicity": op3_toxicity,
+    "op4_bpe": op4_bpe,
+    "op5_chat": op5_chat,
     "op6_license_scan": op6_license_scan,
+    "op7_minhash": op7_minhash,
+    "op8_vectors": op8_vectors,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_url_filter": op10_url_filter,
 }

@@ -3,7 +3,7 @@
 Texts become sets of word shingles and ``BANDS * ROWS`` minima. Bands of full minima give candidates; of each
 minimum only ``BITS`` low bits stay, packed into 64-bit words, whose collision-corrected agreement sorts out
 most candidates; the rest are compared as full sets. A bucket is not paired out: its members are held against
-one pivot after another, until one component or few members are left.
+pivots first, and only members that are still in different components are compared in blocks.
 """
 
 from __future__ import annotations
@@ -71,7 +71,7 @@ def packed(m: np.ndarray) -> np.ndarray:
     return (low << (np.arange(low.shape[1], dtype=U64) * U64(BITS))).sum(1, dtype=U64).view(np.int64)
 
 
-def _runs(texts: list[str | None], most: int = 2_000_000):
+def _runs(texts: list[str | None], most: int = 500_000):
     run, size = [], 0
     for t in texts:
         run.append(t)
@@ -148,37 +148,76 @@ def _confirmed(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent:
     return full.where(100 * both >= percent * (F.size("a_shingles") + F.size("b_shingles") - both)).select("a", "b")
 
 
-def _block_pairs(members: DataFrame, sketches: DataFrame, percent: int, block: int = 256) -> DataFrame:
-    """Pairs across components in the same bucket whose packed minima are near, compared in blocks of a bucket.
-
-    A bucket of c members is dealt into c / block blocks, and each row goes to the blocks it meets; so no task
-    has more than two blocks of a bucket at once.
+def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of sets left[i] and right[j]; many pairs at once are one matrix product over shared shingles."""
+    if len(i) < 4 * len(sets):
+        return np.array([len(np.intersect1d(sets[left[a]], sets[right[b]], assume_unique=True)) for a, b in zip(i, j, strict=True)], np.int64)
+    values, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    often = count[at] > 1
+    place, owner = (np.cumsum(count > 1) - 1)[at[often]], owner[often]
+    total = np.zeros((len(left), len(right)), np.float32)
+    for lo in range(0, int((count > 1).sum()), 8192):
+        part = (place >= lo) & (place < lo + 8192)
+        has = np.zeros((len(sets), 8192), np.float32)
+        has[owner[part], place[part] - lo] = 1
+        total += has[left] @ has[right].T
+    return np.rint(total[i, j]).astype(np.int64)
+
+
+def _block_links(members: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int, block: int = 512) -> DataFrame:
+    """Links across components among ``members`` (cluster, id, component) of each cluster, fewer than its rows for each task.
+
+    A cluster of c members is dealt into c / block blocks, and each row goes to the blocks it meets; so no task
+    has more than two blocks at once. Packed minima sort out pairs, full sets confirm them, and a forest of the
+    links stands for all of them.
     """
     limit = most_differing(percent)
-    sized = members.join(members.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / block).alias("_blocks")), "bucket")
+    sized = members.join(members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / block).alias("_blocks")), "cluster")
     mine = F.pmod(F.xxhash64("id"), F.col("_blocks"))
-    rows = sized.withColumn("_mine", mine).withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
-    rows = rows.select("bucket", "id", "component", F.least("_mine", "_other").alias("_i"), F.greatest("_mine", "_other").alias("_j")).join(sketches.select("id", "sketch"), "id")
+    rows = sized.withColumn("_mine", mine).join(sketches.select("id", "sketch"), "id").join(sets, "id")
+    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
+    rows = rows.select("cluster", "id", "component", "sketch", "shingles", (F.col("_mine") > F.col("_other")).alias("second"), F.least("_mine", "_other").alias("_i"), F.greatest("_mine", "_other").alias("_j"))
 
     def compare(pdf):
         import pandas as pd
 
         words = np.array(pdf["sketch"].tolist(), np.int64).view(U64)
-        ids, comp = pdf["id"].to_numpy(), pdf["component"].to_numpy()
-        out = []
-        for k in range(len(ids) - 1):
-            x = words[k + 1 :] ^ words[k]
+        ids, comp, second = pdf["id"].to_numpy(), pdf["component"].to_numpy(), pdf["second"].to_numpy()
+        sets = [np.asarray(x) for x in pdf["shingles"]]
+        size = np.array([len(x) for x in sets])
+        same = pdf["_i"].iloc[0] == pdf["_j"].iloc[0]
+        left, right = (np.arange(len(ids)),) * 2 if same else (np.flatnonzero(~second), np.flatnonzero(second))
+        i, j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for k, a in enumerate(left):
+            to = right[k + 1 :] if same else right
+            x = words[to] ^ words[a]
             lanes = (x | x >> U64(1) | x >> U64(2) | x >> U64(3)) & U64(0x1111111111111111)
-            near = (np.bitwise_count(lanes).sum(1) <= limit) & (comp[k + 1 :] != comp[k])
-            other = ids[k + 1 :][near]
-            out.append(np.stack([np.maximum(other, ids[k]), np.minimum(other, ids[k])], 1))
-        found = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": found[:, 0], "b": found[:, 1]})
-
-    return rows.groupBy("bucket", "_i", "_j").applyInPandas(compare, "a long, b long").distinct()
-
-
-def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2) -> DataFrame:
+            near = (np.bitwise_count(lanes).sum(1) <= limit) & (comp[to] != comp[a])
+            near &= 100 * np.minimum(size[to], size[a]) >= percent * np.maximum(size[to], size[a])
+            found = np.flatnonzero(near) + (k + 1 if same else 0)
+            i.append(np.full(len(found), k))
+            j.append(found)
+        i, j = np.concatenate(i), np.concatenate(j)
+        both = _common(sets, left, right, i, j)
+        sure = 100 * both >= percent * (size[left[i]] + size[right[j]] - both)
+        a, b = left[i[sure]], right[j[sure]]
+        group = np.arange(len(ids))
+        while True:
+            low = group.copy()
+            np.minimum.at(low, a, group[b])
+            np.minimum.at(low, b, group[a])
+            low = low[low]
+            if (low == group).all():
+                break
+            group = low
+        moved = group != np.arange(len(ids))
+        return pd.DataFrame({"a": np.maximum(ids[moved], ids[group[moved]]), "b": np.minimum(ids[moved], ids[group[moved]])})
+
+    return rows.groupBy("cluster", "_i", "_j").applyInPandas(compare, "a long, b long").distinct()
+
+
+def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", rounds: int = 1) -> DataFrame:
     """One row per input row: ``id_col``, n_shingles, component_id, kept.
 
     Texts link when 100 * common >= percent * all of their shingle sets (``width`` words each; a shorter text
@@ -200,25 +239,25 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str =
     # An id that stands on texts of several sets links those sets: it is one node.
     edges = cut(_confirmed(members.where("id > pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")), sketches, sets, percent))
     found = components(edges)
-    open_ = members.where("size > 2").select("bucket", "id", "size")
+    open_ = members.where("size > 2")
     for k in range(rounds):
-        last = k == rounds - 1
-        labelled = open_.join(found, "id", "left").select("bucket", "id", "size", F.coalesce("component", "id").alias("component"))
-        mixed = labelled.groupBy("bucket").agg(F.min("component").alias("_lo"), F.max(F.struct(F.xxhash64("component", F.lit(k)), "component", "id")).alias("_pivot"), F.max("component").alias("_hi")).where("_lo < _hi")
+        labelled = open_.join(found, "id", "left").select("bucket", "id", "pivot", "size", F.coalesce("component", "id").alias("component"))
+        pivot = F.max(F.struct(F.col("id") != F.col("pivot"), F.xxhash64("component", F.lit(k)), "component", "id")).alias("_pivot")
+        mixed = labelled.groupBy("bucket").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), pivot).where("_lo < _hi")
         labelled = cut(labelled.join(mixed.select("bucket", "_pivot"), "bucket"))
-        if last:  # with three members or fewer, the pivots so far have met everyone
-            labelled = labelled.where("size > 3")
-        if labelled.isEmpty():
-            break
-        if last:
-            pairs = _block_pairs(labelled.select("bucket", "id", "component"), sketches, percent)
-        else:
-            pairs = labelled.where("component <> _pivot.component").select(F.greatest("id", F.col("_pivot.id")).alias("a"), F.least("id", F.col("_pivot.id")).alias("b"))
-        more = cut(_confirmed(pairs, sketches, sets, percent))
+        far = labelled.where("component <> _pivot.component").select(F.greatest("id", F.col("_pivot.id")).alias("a"), F.least("id", F.col("_pivot.id")).alias("b"))
+        more = cut(_confirmed(far, sketches, sets, percent))
         if not more.isEmpty():
             edges = edges.union(more)
             found = components(edges)
-        open_ = labelled.select("bucket", "id", "size")
+        open_ = labelled.where("size > 3").select("bucket", "id", "pivot", "size")  # of three members, two pivots have met everyone
+    # What is still open goes by the largest component of its bucket: many buckets of one dense group become one cluster.
+    labelled = open_.join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
+    largest = labelled.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max(F.struct("count", "component")).alias("_most"), F.count(F.lit(1)).alias("_kinds")).where("_kinds > 1")
+    clusters = cut(labelled.join(largest, "bucket").select(F.col("_most.component").alias("cluster"), "id", "component").distinct())
+    if not clusters.isEmpty():
+        edges = edges.union(cut(_block_links(clusters, sketches, sets, percent)))
+        found = components(edges)
     reach = classes.join(found, "id", "left").select("set_key", F.coalesce("component", "id").alias("_component"))
     out = rows.join(reach, "set_key", "left").withColumn("component_id", F.coalesce("_component", "id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -1,7 +1,8 @@
 """Exact dedup by content sort: DataFrame operations only.
 
 Normalised texts are dealt by sampled range splitters and sorted externally, so equal texts become
-neighbours; Spark's window compares neighbouring rows in full. Texts that hold more than one row in
+neighbours; Spark's window compares neighbouring rows in full. The splitters are drawn over each text's first
+characters and hash, so what is sampled to the driver stays small however long the texts are. Texts that hold more than one row in
 ``hot_share`` are salted, so that one group of copies spans several sorted ranges; their partial runs
 (at most ``hot_share`` texts times ``salts``) meet again by full text.
 """
@@ -28,12 +29,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # Hot texts hold at least one row in hot_share, so there are at most hot_share of them (or few rows in all).
     least = max(32, docs.count() // hot_share)
     hot = rows.groupBy("_h").count().where(F.col("count") > least).select("_h", F.lit(True).alias("_hot"))
-    rows = rows.join(F.broadcast(hot), "_h", "left").drop("_h")
+    rows = rows.join(F.broadcast(hot), "_h", "left").withColumn("_lead", F.substring("_norm", 1, 32))
     rows = rows.withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("_id"), F.lit(salts))).otherwise(F.lit(0).cast("long")))
-    run = Window.partitionBy("_norm", "_salt").orderBy(order)
+    run = Window.partitionBy("_lead", "_h", "_salt", "_norm").orderBy(order)
     whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     runs = (
-        rows.repartitionByRange("_norm", "_salt")
+        rows.repartitionByRange("_lead", "_h", "_salt")
         .select(
             "_id", "_norm", "_salt", "_hot",
             F.first("_id").over(whole).alias("_keep"),

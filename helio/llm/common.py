@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -33,3 +33,16 @@ def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id") -> DataF
     """Rows of ``docs`` whose id is in ``kept``, all columns; rows without an id never match."""
     ids = kept.select(F.col(id_col).alias("_kept_id")).distinct()
     return docs.join(ids, docs[id_col] == ids["_kept_id"], "left_semi")
+
+
+def bounded_sample(rows: DataFrame, most: int, id_col: str = "h") -> list[Row]:
+    """About ``most`` rows to the driver, never over it: those with the least ``id_col`` (a 64-bit hash); all rows if there are fewer.
+
+    A first pass counts; the second brings only rows whose hash lies in the share that is needed, so what
+    reaches the driver does not grow with the table or its partitions.
+    """
+    n = rows.count()
+    share = min(1.0, 1.2 * most / max(n, 1))
+    places = 1 << 40
+    picked = rows.where(F.pmod(F.col(id_col), F.lit(places)) < int(share * places)).limit(4 * most).collect()
+    return sorted(picked, key=lambda r: (r[id_col] % places, *map(str, r)))[:most]

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from helio.llm.common import bounded_sample
 from helio.llm.textgrams import Words, pieces
 
 GRAMS, BITS, LEXICON_BITS = (2, 3, 4), 16, 17
@@ -32,7 +33,6 @@ def forward_backward(emit: np.ndarray, first: np.ndarray, trans: np.ndarray, sta
     pad = k * steps - n
     e = np.concatenate([emit, np.ones((pad, m))]).reshape(k, steps, m)
     f = np.concatenate([first, np.ones(pad, bool)]).reshape(k, steps)
-    begin = np.broadcast_to(start, (m, m))
     product = np.broadcast_to(np.eye(m), (k, m, m))
     for t in range(steps):
         moved = (product.reshape(k * m, m) @ trans).reshape(k, m, m)
@@ -67,7 +67,6 @@ def forward_backward(emit: np.ndarray, first: np.ndarray, trans: np.ndarray, sta
     alpha, beta, e = alpha.reshape(-1, m), beta.reshape(-1, m), e.reshape(-1, m)
     pair = (alpha[: n - 1, :, None] * trans) * (e * beta)[1:n, None, :]
     pair /= np.maximum(pair.sum((1, 2), keepdims=True), 1e-300)
-    del begin
     return gamma, pair[~first[1:n]].sum(0)
 
 
@@ -80,25 +79,28 @@ class Model:
     trans: np.ndarray
     start: np.ndarray
 
-    def scores(self, words: Words) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-        """Log potentials of words, with the buckets of n-grams by place and of the lexicon by word."""
-        buckets = [words.grams(n, BITS) for n in GRAMS]
+    def features(self, words: Words) -> tuple[list[np.ndarray], np.ndarray]:
+        """Buckets of n-grams by place, and of the lexicon by word."""
+        h = words.hashes()
+        slot = (h >> np.uint64(64 - LEXICON_BITS)).astype(np.int64)
+        return [words.grams(n, BITS) for n in GRAMS], np.where(self.lexicon_keys[slot] == h, slot + 1, 0)
+
+    def scores(self, words: Words) -> np.ndarray:
+        """Log potentials of words."""
+        buckets, slot = self.features(words)
         each = self.grams[0][buckets[0]]
         for table, b in zip(self.grams[1:], buckets[1:], strict=True):
             each += table[b]
         at = words.starts - 1
         total = np.add.reduceat(each, at, axis=0) if len(at) else np.zeros((0, len(self.languages)), np.float32)
-        h = words.hashes()
-        slot = (h >> np.uint64(64 - LEXICON_BITS)).astype(np.int64)
-        slot = np.where(self.lexicon_keys[slot] == h, slot + 1, 0)
-        return total + self.lexicon[slot], buckets, slot
+        return total + self.lexicon[slot]
 
     def potentials(self, scores: np.ndarray) -> np.ndarray:
         return np.exp(np.clip(scores - scores.max(1, keepdims=True), -30, 0)).astype(float) if len(scores) else scores
 
     def marginals(self, words: Words) -> np.ndarray:
         first = np.diff(words.text, prepend=-1) > 0
-        s = self.scores(words)[0]
+        s = self.scores(words)
         return forward_backward(self.potentials(s), first, np.exp(self.trans), np.exp(self.start))[0] if len(s) else s
 
 
@@ -126,13 +128,13 @@ def fit(texts: list[str], langs: list[str], epochs: int = 4, batch: int = 20_000
     keys, counts = np.unique(words.hashes(), return_counts=True)
     for key in keys[counts >= 5][np.argsort(counts[counts >= 5], kind="stable")]:  # the more frequent word wins a slot
         model.lexicon_keys[int(key >> np.uint64(64 - LEXICON_BITS))] = key
-    _, buckets, slot = model.scores(words)
+    buckets, slot = model.features(words)
     y = np.array([names.index(lang) for _, lang in labels])[words.text]
     chain = np.array([c for c, _ in labels])[words.text]
     first = np.diff(chain, prepend=chain[0] + 1) != 0
-    owner = np.full(len(words.codes), -1)
+    owner = np.zeros(len(words.codes), np.int32)
     owner[words.starts - 1] = 1
-    owner = np.maximum(np.cumsum(owner == 1) - 1, 0)
+    owner = np.maximum(np.cumsum(owner, dtype=np.int32) - 1, 0)
     tables = [*model.grams, model.lexicon, model.trans, model.start]
     squares = [np.full(t.shape, 1e-2) for t in tables]
     cuts = list(range(0, len(words.starts), batch))
@@ -192,10 +194,10 @@ def _predictor(shared, id_col: str):
     return run
 
 
-def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most_docs: int = 3000, most_chars: int = 6000) -> Model:
+def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most_docs: int = 2000, most_chars: int = 4000) -> Model:
     """Fit on a bounded sample: the ``most_docs`` rows first by a hash of their id among those of 20 to ``most_chars`` characters."""
     rows = labelled.where(F.col(lang_col).isNotNull() & F.char_length(text_col).between(20, most_chars))
-    sample = rows.select(F.col(text_col).alias("t"), F.col(lang_col).alias("l"), F.xxhash64(id_col).alias("h")).orderBy("h", "t").limit(most_docs).collect()
+    sample = bounded_sample(rows.select(F.xxhash64(id_col).alias("h"), F.col(text_col).alias("t"), F.col(lang_col).alias("l")), most_docs)
     return fit([r["t"] for r in sample], [r["l"] for r in sample])
 
 

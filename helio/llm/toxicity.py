@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from helio.llm.common import bounded_sample
 from helio.llm.textgrams import Words, pieces
 
 GRAMS, BITS, DIM = (3, 4, 5), 18, 4
@@ -22,7 +23,7 @@ def _features(words: Words) -> list[np.ndarray]:
     """Buckets by place: of n-grams, and of whole words at their starts (0: none); those of one kind have a table of their own."""
     whole = np.zeros(len(words.codes), np.uint32)
     whole[words.starts] = (words.hashes() >> np.uint64(64 - BITS)).astype(np.uint32)
-    return [*(words.grams(n, BITS) for n in GRAMS), np.where(whole == 0, 0, whole)]
+    return [*(words.grams(n, BITS) for n in GRAMS), whole]
 
 
 class Model:
@@ -52,7 +53,7 @@ def fit(texts: list[str], toxic: list[int], epochs: int = 12, batch: int = 64, r
     sets = []
     for t in texts:
         cols = [b[b > 0] for b in _features(Words([t]))]
-        sets.append([np.unique(c, return_counts=True) for c in cols])
+        sets.append([(u, n.astype(np.float32)) for u, n in (np.unique(c, return_counts=True) for c in cols)])
     pull = []
     for k in range(len(model.tables)):
         seen, bad = (np.bincount(np.concatenate([s[k][0] for s, label in zip(sets, y, strict=True) if label >= low]), minlength=1 << BITS) for low in (0, 1))
@@ -120,7 +121,7 @@ def _scorer(shared, id_col: str):
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most_each: int = 1500, most_chars: int = 6000) -> Model:
     """Fit on a bounded sample: for each label the ``most_each`` texts first by a hash of their id among those of up to ``most_chars`` characters."""
     rows = labelled.where(F.char_length(text_col).between(1, most_chars)).select(F.col(text_col).alias("t"), F.col(label_col).alias("y"), F.xxhash64(id_col).alias("h"))
-    sample = [r for y in (0, 1) for r in rows.where(F.col("y") == y).orderBy("h", "t").limit(most_each).collect()]
+    sample = [r for y in (0, 1) for r in bounded_sample(rows.where(F.col("y") == y), most_each)]
     return fit([r["t"] for r in sample], [r["y"] for r in sample])
 
 

@@ -1,0 +1 @@
+"""Streaming: the hourly job is a batch job with watermarks and keyed upserts (see helio.operators.watermarks, helio.operators.upsert)."""

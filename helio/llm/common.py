@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import os
+import pickle
 import tempfile
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+from typing import Any
 
-from pyspark.sql import Column, DataFrame, Row
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -35,14 +41,25 @@ def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id") -> DataF
     return docs.join(ids, docs[id_col] == ids["_kept_id"], "left_semi")
 
 
-def bounded_sample(rows: DataFrame, most: int, id_col: str = "h") -> list[Row]:
-    """About ``most`` rows to the driver, never over it: those with the least ``id_col`` (a 64-bit hash); all rows if there are fewer.
+def fit_on_sample(rows: DataFrame, most: int, fit: Callable[[list, list], Any], labels: tuple | None = None) -> Any:
+    """``fit(texts, labels)`` on a bounded sample, in one task, so that neither sample nor training weighs on the driver.
 
-    A first pass counts; the second brings only rows whose hash lies in the share that is needed, so what
-    reaches the driver does not grow with the table or its partitions.
+    ``rows``: h (64-bit hash), t (text), y (label). The sample holds the ``most`` rows of least hash, of each of
+    ``labels`` if given; all if there are fewer. A first pass counts, the second brings only the share of the
+    hash range that is needed, so the sample does not grow with the table or its partitions.
     """
-    n = rows.count()
-    share = min(1.0, 1.2 * most / max(n, 1))
     places = 1 << 40
-    picked = rows.where(F.pmod(F.col(id_col), F.lit(places)) < int(share * places)).limit(4 * most).collect()
-    return sorted(picked, key=lambda r: (r[id_col] % places, *map(str, r)))[:most]
+    groups = [F.lit(True)] if labels is None else [F.col("y") == v for v in labels]
+    counts = rows.agg(*[F.count_if(g).alias(f"n{i}") for i, g in enumerate(groups)]).first()
+    near = F.pmod(F.col("h"), F.lit(places))
+    kept = reduce(or_, [g & (near < int(min(1.0, 1.2 * most / max(n, 1)) * places)) for g, n in zip(groups, counts, strict=True)])
+
+    def run(batches):
+        found = [(h % places, t, y) for b in batches for h, t, y in zip(*(b.column(c).to_pylist() for c in ("h", "t", "y")), strict=True)]
+        found.sort()
+        sets = [found] if labels is None else [[x for x in found if x[2] == v] for v in labels]
+        used = [x for one in sets for x in one[:most]]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit([t for _, t, _ in used], [y for _, _, y in used]))], pa.binary())], ["model"])
+
+    row = rows.select("h", "t", "y").where(kept).repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(row["model"]) if row else fit([], [])

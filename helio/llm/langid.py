@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helio.llm.common import bounded_sample
+from helio.llm.common import fit_on_sample
 from helio.llm.textgrams import Words, pieces
 
 GRAMS, BITS, LEXICON_BITS = (2, 3, 4), 16, 17
@@ -197,8 +197,7 @@ def _predictor(shared, id_col: str):
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most_docs: int = 2000, most_chars: int = 4000) -> Model:
     """Fit on a bounded sample: the ``most_docs`` rows first by a hash of their id among those of 20 to ``most_chars`` characters."""
     rows = labelled.where(F.col(lang_col).isNotNull() & F.char_length(text_col).between(20, most_chars))
-    sample = bounded_sample(rows.select(F.xxhash64(id_col).alias("h"), F.col(text_col).alias("t"), F.col(lang_col).alias("l")), most_docs)
-    return fit([r["t"] for r in sample], [r["l"] for r in sample])
+    return fit_on_sample(rows.select(F.xxhash64(id_col).alias("h"), F.col(text_col).alias("t"), F.col(lang_col).alias("y")), most_docs, fit)
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

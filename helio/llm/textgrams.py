@@ -72,8 +72,13 @@ class Words:
         h[:size] = np.where(inside, np.maximum(x, 1), 0)
         return h
 
-    def hashes(self) -> np.ndarray:
-        return span_hashes(self.codes, self.starts, self.ends)
+    def hashes(self, block: int = 100_000) -> np.ndarray:
+        """A hash of each word, some words at a time."""
+        out = np.zeros(len(self.starts), U64)
+        for lo in range(0, len(out), block):
+            s, e = self.starts[lo : lo + block], self.ends[lo : lo + block]
+            out[lo : lo + block] = span_hashes(self.codes[s[0] : e[-1]], s - s[0], e - s[0])
+        return out
 
 
 def pieces(texts: list[str], most: int = 1 << 20):

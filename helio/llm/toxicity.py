@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helio.llm.common import bounded_sample
+from helio.llm.common import fit_on_sample
 from helio.llm.textgrams import Words, pieces
 
 GRAMS, BITS, DIM = (3, 4, 5), 18, 4
@@ -121,8 +121,7 @@ def _scorer(shared, id_col: str):
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most_each: int = 1500, most_chars: int = 6000) -> Model:
     """Fit on a bounded sample: for each label the ``most_each`` texts first by a hash of their id among those of up to ``most_chars`` characters."""
     rows = labelled.where(F.char_length(text_col).between(1, most_chars)).select(F.col(text_col).alias("t"), F.col(label_col).alias("y"), F.xxhash64(id_col).alias("h"))
-    sample = [r for y in (0, 1) for r in bounded_sample(rows.where(F.col("y") == y), most_each)]
-    return fit([r["t"] for r in sample], [r["y"] for r in sample])
+    return fit_on_sample(rows, most_each, fit, labels=(0, 1))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

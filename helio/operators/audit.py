@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -62,3 +62,29 @@ def anomaly_shares(energy: DataFrame) -> DataFrame:
     mean = rows.where("_peak").agg(F.try_divide(F.sum(e.cast("decimal(18,6)")).cast("double"), F.count(e)).alias("_mean"))
     pct = lambda cond, base: F.round(F.try_divide(F.count_if(base & cond) * 100.0, F.count_if(base)), 4)
     return rows.join(F.broadcast(mean)).agg(pct(e > 1, F.col("_night")).alias("night_pct"), pct(e == 0, F.col("_day")).alias("zero_pct"), pct(e < F.col("_mean") / 2, F.col("_peak")).alias("low_peak_pct"))
+
+
+def table_profile(tables: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
+    """Rows, distinct keys and first and last time of each (table, key column, time column)."""
+    one = lambda name, df, key, ts: df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"), F.count_distinct(key).alias("keys"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
+    return reduce(DataFrame.unionAll, [one(n, *t) for n, t in tables.items()])
+
+
+def filtered_counts(energy: DataFrame) -> DataFrame:
+    """Negative energy, night energy over 1 and daytime zeros, in one pass."""
+    h, e = F.hour("date_hour"), F.col("energy_mwh")
+    return energy.agg(F.count(F.lit(1)).alias("total"), F.count_if(e < 0).alias("negative"), F.count_if(((h >= 22) | (h < 6)) & (e > 1)).alias("night_over_1"), F.count_if(h.between(8, 17) & (e == 0)).alias("daytime_zero"))
+
+
+def peak_share(df: DataFrame, column: str, ts: str) -> DataFrame:
+    """Mean by hour of day, and its share of the largest such mean; the window is over 24 rows."""
+    mean = F.try_divide(F.sum(F.col(column).cast("decimal(18,6)")).cast("double"), F.count(column))
+    hours = df.groupBy(F.hour(ts).alias("hour_of_day")).agg(mean.alias("avg_value"))
+    share = F.try_divide(F.col("avg_value") * 100, F.max("avg_value").over(Window.partitionBy(F.lit(1))))
+    return hours.select("hour_of_day", F.round("avg_value", 4).alias("avg_value"), F.round(share, 4).alias("peak_pct"))
+
+
+def peak_reference(df: DataFrame, column: str, ts: str, exact: bool = False) -> DataFrame:
+    """Most, 95th and 99th percentile and mean of a column from 10 to 14 o'clock."""
+    rows = df.where(F.hour(ts).between(10, 14))
+    return distribution(rows, column, [], (0.95, 0.99), exact).select("max_value", "p95", "p99", "avg_value")

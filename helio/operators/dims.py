@@ -73,3 +73,12 @@ def classify_weather(df: DataFrame) -> DataFrame:
 
 def classify_air(df: DataFrame) -> DataFrame:
     return df.withColumn("aq_category", ladder(F.col("pm2_5"), [(12.0, "Good"), (35.4, "Moderate"), (55.4, "Unhealthy")], "Hazardous"))
+
+
+WEATHER_CLASS = ("condition_name", "radiation_level", "cloud_category", "temperature_range", "weather_severity")
+
+
+def dim_weather(weather: DataFrame) -> DataFrame:
+    """The combinations of weather classes that occur, with a dense key; at most 81, as each class has three values and two of them go together."""
+    rows = classify_weather(weather).select(*WEATHER_CLASS).dropna().distinct()
+    return rows.withColumn("weather_condition_key", F.row_number().over(Window.orderBy(*WEATHER_CLASS)))

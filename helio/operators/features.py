@@ -96,3 +96,17 @@ def importance_rank(spark, model, features: list[str], top: int = 15) -> DataFra
     order = Window.orderBy(F.desc("importance"), "feature_name")
     df = spark.createDataFrame(rows, "feature_name string, importance double, is_lag_feature boolean")
     return df.withColumns({"rank": F.row_number().over(order), "cumulative": F.sum("importance").over(order)}).withColumn("is_top", F.col("rank") <= top)
+
+
+def residual_stats(df: DataFrame, label: str, predicted: str, exact: bool = False) -> DataFrame:
+    """Mean, median, deviation, least, most and number of residuals; the median is a sketch (1 %) unless ``exact``."""
+    r = (F.col(label) - F.col(predicted)).alias("r")
+    middle = F.percentile("r", F.lit(0.5)) if exact else F.percentile_approx("r", F.lit(0.5), 100)
+    mean = F.try_divide(F.sum(F.col("r").cast("decimal(28,8)")).cast("double"), F.count("r"))
+    return df.select(r).agg(F.count("r").alias("n"), F.round(mean, 4).alias("mean_residual"), F.round(middle, 4).alias("median_residual"), F.round(F.stddev_samp("r"), 2).alias("residual_std"), F.min("r").alias("min_residual"), F.max("r").alias("max_residual"))
+
+
+def random_split(df: DataFrame, keys: list[str], train: float = 0.8, seed: int = 42) -> DataFrame:
+    """Label rows train or test by the digest of seed and keys: the same at every partitioning and after a lost executor."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *keys))
+    return df.withColumn("split", F.when(digest < F.lit(f"{int(train * 2**32):08x}"), "train").otherwise("test"))

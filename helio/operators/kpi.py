@@ -63,3 +63,48 @@ def plant_kpis(fact: DataFrame) -> DataFrame:
 def kpi_rows(kpis: DataFrame) -> DataFrame:
     """The same as (facility, metric, value)."""
     return kpis.unpivot("facility_code", [c for c in kpis.columns if c != "facility_code"], "metric", "value")
+
+
+#: Named filters of the study.
+SCENARIOS = {
+    "all_filters": "is_valid AND irr_kwh_m2_hour >= 0.02E0 AND yr_weighted_kwh IS NOT NULL",
+    "without_is_valid": "irr_kwh_m2_hour >= 0.02E0 AND yr_weighted_kwh IS NOT NULL",
+    "irradiance_0.01": "is_valid AND irr_kwh_m2_hour >= 0.01E0 AND yr_weighted_kwh IS NOT NULL",
+    "irradiance_0.005": "is_valid AND irr_kwh_m2_hour >= 0.005E0 AND yr_weighted_kwh IS NOT NULL",
+    "without_irradiance": "is_valid AND yr_weighted_kwh IS NOT NULL",
+}
+
+
+def _by_filter(fact: DataFrame, filters: dict[str, str]) -> DataFrame:
+    """facility_code, total, and for filter i n{i} and pr{i}: all filters in one pass."""
+    aggs = []
+    for i, cond in enumerate(filters.values()):
+        total = lambda c, kind, cond=cond: F.sum(F.when(F.expr(cond), F.col(c).cast(kind))).cast("double")
+        pr = F.round(F.try_divide(total("energy_mwh", "decimal(18,6)") * 1000, total("yr_weighted_kwh", "decimal(24,6)")) * 100, 4)
+        aggs += [F.count_if(F.expr(cond)).alias(f"n{i}"), pr.alias(f"pr{i}")]
+    return fact.groupBy("facility_code").agg(F.count(F.lit(1)).alias("total"), *aggs)
+
+
+def filter_scenarios(fact: DataFrame, filters: dict[str, str] = SCENARIOS) -> DataFrame:
+    """Rows, retention and facility ratios of each filter, and whether it keeps 70 % and its mean ratio is over 60 %."""
+    rows = F.array(*[F.struct(F.lit(name).alias("scenario"), F.col(f"n{i}").alias("n"), F.col("total"), F.col(f"pr{i}").alias("pr")) for i, name in enumerate(filters)])
+    out = _by_filter(fact, filters).select(F.inline(rows)).groupBy("scenario").agg(
+        F.sum("n").alias("records"), F.round(F.sum("n") * 100.0 / F.sum("total"), 4).alias("retention_pct"),
+        F.round(F.avg("pr"), 3).alias("avg_pr"), F.min("pr").alias("min_pr"), F.max("pr").alias("max_pr"))
+    return out.withColumn("compliant", (F.col("retention_pct") >= 70) & F.coalesce(F.col("avg_pr") > 60, F.lit(False)))
+
+
+def filter_comparison(fact: DataFrame, old: str = SCENARIOS["all_filters"], new: str = "is_valid AND irr_kwh_m2_hour IS NOT NULL AND yr_weighted_kwh IS NOT NULL") -> DataFrame:
+    """Rows, retention and ratio of each facility under two filters, and what the new one gains; a ratio that is unknown counts as 0."""
+    part = lambda i: F.round(F.col(f"n{i}") * 100.0 / F.col("total"), 4)
+    pr = lambda i: F.coalesce(f"pr{i}", F.lit(0.0))
+    return _by_filter(fact, {"old": old, "new": new}).select(
+        "facility_code", "total", F.col("n0").alias("old_n"), F.col("n1").alias("new_n"), part(0).alias("old_retention"), part(1).alias("new_retention"), pr(0).alias("old_pr"), pr(1).alias("new_pr"),
+        (F.col("n1") - F.col("n0")).alias("added"), F.round(pr(1) - pr(0), 4).alias("pr_change"), ((part(1) >= 70) & (pr(1) > 60)).alias("compliant"))
+
+
+def daily_stats(fact: DataFrame) -> DataFrame:
+    """Means of daily energy and rows by facility."""
+    days = fact.groupBy("facility_code", "date_key").agg(F.sum(F.col("energy_mwh").cast("decimal(18,6)")).alias("_sum"), F.count("energy_mwh").alias("_n"))
+    mean = lambda c: F.round(F.try_divide(F.sum(c).cast("double"), F.count(c)), 4)
+    return days.groupBy("facility_code").agg(F.count(F.lit(1)).alias("days"), mean("_sum").alias("avg_daily_mwh"), mean("_n").alias("avg_daily_rows"))

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helio.functions.scalars import row_hash
+from helio.functions.scalars import date_key, row_hash
 from helio.operators import audit, dims, facts, features, kpi, silver, upsert, watermarks
 from helio.operators.rules import AIR_BOUNDS, WEATHER_BOUNDS
 from helio.plans.sample import VIEWS, view
@@ -201,11 +201,14 @@ _range("left")
 _range("inner")
 
 
-@query("""SELECT facility_code, date_hour, CASE WHEN shortwave_radiation >= 800 THEN 'High Radiation' WHEN shortwave_radiation >= 300 THEN 'Moderate Radiation' WHEN shortwave_radiation IS NOT NULL THEN 'Low Radiation' END AS condition_name,
+CTES["wclass"] = """SELECT facility_code, date_hour, CASE WHEN shortwave_radiation >= 800 THEN 'High Radiation' WHEN shortwave_radiation >= 300 THEN 'Moderate Radiation' WHEN shortwave_radiation IS NOT NULL THEN 'Low Radiation' END AS condition_name,
  CASE WHEN shortwave_radiation >= 800 THEN 'High' WHEN shortwave_radiation >= 300 THEN 'Medium' WHEN shortwave_radiation IS NOT NULL THEN 'Low' END AS radiation_level,
  CASE WHEN cloud_cover <= 20 THEN 'Clear' WHEN cloud_cover <= 70 THEN 'Partly Cloudy' WHEN cloud_cover IS NOT NULL THEN 'Overcast' END AS cloud_category,
  CASE WHEN temperature_2m <= 10 THEN 'Cold' WHEN temperature_2m <= 25 THEN 'Mild' WHEN temperature_2m IS NOT NULL THEN 'Hot' END AS temperature_range,
- CASE WHEN shortwave_radiation < 100 THEN 'High' WHEN cloud_cover > 80 THEN 'Medium' WHEN shortwave_radiation IS NOT NULL AND cloud_cover IS NOT NULL THEN 'Low' END AS weather_severity FROM weather""")
+ CASE WHEN shortwave_radiation < 100 THEN 'High' WHEN cloud_cover > 80 THEN 'Medium' WHEN shortwave_radiation IS NOT NULL AND cloud_cover IS NOT NULL THEN 'Low' END AS weather_severity FROM weather"""
+
+
+@query("SELECT * FROM wclass")
 def classify_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.classify_weather(_weather(spark, sf_dir)).select("facility_code", "date_hour", "condition_name", "radiation_level", "cloud_category", "temperature_range", "weather_severity")
 
@@ -562,3 +565,96 @@ def row_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT facility_code, date_hour, energy_mwh FROM energy ORDER BY date_hour DESC, facility_code, network_region LIMIT 100")
 def latest_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _energy(spark, sf_dir).orderBy(F.desc("date_hour"), "facility_code", "network_region").limit(100).select("facility_code", "date_hour", "energy_mwh")
+
+
+@query("SELECT e.facility_code, e.date_hour, c.date_key, c.full_date, c.year, c.month FROM energy e LEFT JOIN (SELECT DISTINCT CAST(strftime(date_hour, '%Y%m%d') AS INTEGER) AS date_key, CAST(date_hour AS DATE) AS full_date, year(date_hour) AS year, month(date_hour) AS month FROM energy) c ON CAST(e.date_hour AS DATE) = c.full_date")
+def key_lookup_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    energy = _energy(spark, sf_dir).select("facility_code", "date_hour")
+    return dims.lookup(energy, dims.dim_date((energy, "date_hour")), [(date_key(F.col("date_hour")), "date_key")], ["date_key", "full_date", "year", "month"])
+
+
+@query(f"SELECT facility_code, date_hour, CAST({_h} AS INTEGER) AS time_key, CASE WHEN {_h} < 6 THEN 'Night' WHEN {_h} < 12 THEN 'Morning' WHEN {_h} < 17 THEN 'Afternoon' WHEN {_h} < 21 THEN 'Evening' ELSE 'Night' END AS time_of_day FROM energy")
+def key_lookup_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dims.lookup(_energy(spark, sf_dir).select("facility_code", "date_hour"), dims.dim_time(spark), [(F.hour("date_hour"), "time_key")], ["time_key", "time_of_day"])
+
+
+_wc = ", ".join(dims.WEATHER_CLASS)
+CTES["wdim"] = f"SELECT CAST(row_number() OVER (ORDER BY {_wc}) AS INTEGER) AS weather_condition_key, * FROM (SELECT DISTINCT {_wc} FROM wclass WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in dims.WEATHER_CLASS) + ")"
+
+
+@query("SELECT * FROM wdim")
+def dim_weather_condition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dims.dim_weather(_weather(spark, sf_dir))
+
+
+@query("SELECT w.facility_code, w.date_hour, d.weather_condition_key FROM wclass w LEFT JOIN wdim d ON " + " AND ".join(f"w.{c} = d.{c}" for c in dims.WEATHER_CLASS))
+def key_lookup_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weather = _weather(spark, sf_dir)
+    return dims.lookup(dims.classify_weather(weather), dims.dim_weather(weather), [(F.col(c), c) for c in dims.WEATHER_CLASS], ["weather_condition_key"]).select("facility_code", "date_hour", "weather_condition_key")
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count, count(DISTINCT facility_code) AS keys, min(date_hour) AS first_ts, max(date_hour) AS last_ts FROM {n}" for n in ("energy", "weather", "air")))
+def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.table_profile({n: (f(spark, sf_dir), "facility_code", "date_hour") for n, f in (("energy", _energy), ("weather", _weather), ("air", _air))})
+
+
+@query(f"SELECT count(*) AS total, count(*) FILTER (energy_mwh < 0) AS negative, count(*) FILTER (({_h} >= 22 OR {_h} < 6) AND energy_mwh > 1) AS night_over_1, count(*) FILTER ({_h} BETWEEN 8 AND 17 AND energy_mwh = 0) AS daytime_zero FROM energy")
+def filtered_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filtered_counts(_energy(spark, sf_dir))
+
+
+@query(f"SELECT hour_of_day, round(m, 4) AS avg_value, round(m * 100 / max(m) OVER (), 4) AS peak_pct FROM (SELECT CAST({_h} AS INTEGER) AS hour_of_day, {_SE} / count(energy_mwh) AS m FROM energy GROUP BY 1)")
+def peak_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.peak_share(_energy(spark, sf_dir), "energy_mwh", "date_hour")
+
+
+@query(f"SELECT max(value) AS max_value, round(quantile_cont(value, 0.95), 4) AS p95, round(quantile_cont(value, 0.99), 4) AS p99, {_SD.format(c='value')} AS avg_value FROM readings WHERE metric = 'energy' AND extract(hour FROM interval_ts + INTERVAL 11 HOUR) BETWEEN 10 AND 14")
+def peak_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = view(spark, sf_dir, "readings").where("metric = 'energy'").select("value", F.expr("interval_ts + INTERVAL 11 HOUR").alias("local_ts"))
+    return audit.peak_reference(rows, "value", "local_ts", exact=True)
+
+
+def _by_filter_sql(cond: str) -> str:
+    """Rows and ratio of each facility under a filter."""
+    e, y = (f"CAST(sum(CAST({c} AS DECIMAL({n},6))) FILTER ({cond}) AS DOUBLE)" for c, n in (("energy_mwh", 18), ("yr_weighted_kwh", 24)))
+    return f"SELECT facility_code, count(*) AS total, count(*) FILTER ({cond}) AS n, round({e} * 1000 / nullif({y}, 0) * 100, 4) AS pr FROM fact GROUP BY 1"
+
+
+@query("SELECT *, retention_pct >= 70 AND coalesce(avg_pr > 60, false) AS compliant FROM (SELECT scenario, CAST(sum(n) AS BIGINT) AS records, round(sum(n) * 100E0 / sum(total), 4) AS retention_pct, round(avg(pr), 3) AS avg_pr, min(pr) AS min_pr, max(pr) AS max_pr FROM ("
+       + " UNION ALL ".join(f"SELECT '{k}' AS scenario, * FROM ({_by_filter_sql(c)})" for k, c in kpi.SCENARIOS.items()) + ") GROUP BY 1)")
+def filter_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpi.filter_scenarios(_fact(spark, sf_dir))
+
+
+@query(f"""SELECT *, new_n - old_n AS added, round(new_pr - old_pr, 4) AS pr_change, new_retention >= 70 AND new_pr > 60 AS compliant FROM (SELECT facility_code, o.total, o.n AS old_n, w.n AS new_n, round(o.n * 100E0 / o.total, 4) AS old_retention, round(w.n * 100E0 / o.total, 4) AS new_retention, coalesce(o.pr, 0) AS old_pr, coalesce(w.pr, 0) AS new_pr
+ FROM ({_by_filter_sql(kpi.SCENARIOS["all_filters"])}) o JOIN ({_by_filter_sql("is_valid AND irr_kwh_m2_hour IS NOT NULL AND yr_weighted_kwh IS NOT NULL")}) w USING (facility_code))""")
+def filter_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpi.filter_comparison(_fact(spark, sf_dir))
+
+
+@query("SELECT facility_code, count(*) AS days, round(CAST(sum(s) AS DOUBLE) / count(s), 4) AS avg_daily_mwh, round(CAST(sum(n) AS DOUBLE) / count(n), 4) AS avg_daily_rows FROM (SELECT facility_code, date_key, sum(CAST(energy_mwh AS DECIMAL(18,6))) AS s, count(energy_mwh) AS n FROM fact GROUP BY 1, 2) GROUP BY 1")
+def daily_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpi.daily_stats(_fact(spark, sf_dir))
+
+
+@query("SELECT facility_code, date_key, energy_mwh FROM fact WHERE date_key BETWEEN 20240105 AND 20240112")
+def date_key_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fact(spark, sf_dir).where(F.col("date_key").between(20240105, 20240112)).select("facility_code", "date_key", "energy_mwh")
+
+
+@query(f"SELECT count(r) AS n, round({_dd.format(x='r')} / count(r), 4) AS mean_residual, round(quantile_cont(r, 0.5), 4) AS median_residual, round(stddev_samp(r), 2) AS residual_std, min(r) AS min_residual, max(r) AS max_residual FROM (SELECT {_y} - {_p} AS r FROM lineitem)")
+def residual_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = view(spark, sf_dir, "lineitem").select(F.col("l_extendedprice").cast("double").alias("y"), (F.col("l_quantity").cast("double") * 1500.0).alias("p"))
+    return features.residual_stats(rows, "y", "p", exact=True)
+
+
+@query("SELECT l_orderkey, l_linenumber, CASE WHEN md5(concat_ws('|', '42', l_orderkey, l_linenumber)) < 'cccccccc' THEN 'train' ELSE 'test' END AS split FROM lineitem")
+def split_random(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.random_split(view(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"])
+
+
+@query("SELECT e.facility_code, e.date_hour, e.energy_mwh, w.shortwave_radiation, w.temperature_2m, coalesce(a.pm2_5, 0) AS pm2_5 FROM energy e JOIN weather w ON e.facility_code = w.facility_code AND e.date_hour = w.date_hour LEFT JOIN air a ON e.facility_code = a.facility_code AND e.date_hour = a.date_hour WHERE e.energy_mwh IS NOT NULL")
+def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = ["facility_code", "date_hour"]
+    rows = _energy(spark, sf_dir).where("energy_mwh IS NOT NULL").select(*keys, "energy_mwh").join(_weather(spark, sf_dir).select(*keys, "shortwave_radiation", "temperature_2m"), keys)
+    return rows.join(_air(spark, sf_dir).select(*keys, "pm2_5"), keys, "left").fillna(0.0, ["pm2_5"])

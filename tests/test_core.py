@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helio.functions.scalars import aqi_from_pm25, clean_number, humidity, season, time_of_day
-from helio.operators import dims, features, silver, upsert
+from helio.operators import dims, features, kpi, silver, upsert
 from helio.operators.rules import apply_rules, energy_rules
 
 
@@ -67,3 +67,20 @@ def test_entry_imports_and_names_match():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_random_split_does_not_depend_on_partitions(spark):
+    df = spark.range(5000)
+    one, other = (sorted(features.random_split(d, ["id"]).collect()) for d in (df.repartition(7), df.coalesce(1)))
+    assert one == other and 0.77 < sum(r["split"] == "train" for r in one) / 5000 < 0.83
+
+
+def test_studies_of_empty_facts(spark):
+    fact = spark.createDataFrame([], "facility_code string, date_key int, energy_mwh double, yr_weighted_kwh double, irr_kwh_m2_hour double, is_valid boolean")
+    assert kpi.filter_scenarios(fact).count() == kpi.filter_comparison(fact).count() == kpi.daily_stats(fact).count() == 0
+
+
+def test_filter_without_rows_is_listed(spark):
+    fact = spark.createDataFrame([("F", 1, 1.0, 2000.0, 0.001, True), ("F", 1, 1.0, None, None, False)], "facility_code string, date_key int, energy_mwh double, yr_weighted_kwh double, irr_kwh_m2_hour double, is_valid boolean")
+    out = {r["scenario"]: (r["records"], r["retention_pct"], r["avg_pr"], r["compliant"]) for r in kpi.filter_scenarios(fact).collect()}
+    assert out["all_filters"] == (0, 0.0, None, False) and out["without_irradiance"] == (1, 50.0, 50.0, False)

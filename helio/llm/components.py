@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from helio.llm.common import cut
 
+#: Links for each partition of a round. What a round shuffles is small, so it takes tasks by its rows and not by the session's setting.
+ROWS_A_TASK = 250_000
+
 
 def _both(edges: DataFrame) -> DataFrame:
     return edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Link each node's larger (large) or smaller neighbours, itself included, to the least node among them."""
+def _star(edges: DataFrame, large: bool, tasks: int) -> DataFrame:
+    """Link each node's larger (large) or smaller neighbours, itself included, to the least node among them; in at most ``tasks`` partitions."""
     pairs = _both(edges) if large else edges
     least = pairs.groupBy("a").agg(F.min("b").alias("_b")).select("a", F.least("a", "_b").alias("_m"))
     joined = pairs.join(least, "a")
@@ -21,7 +24,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         out = joined.where("b > a").select(F.col("b").alias("a"), F.col("_m").alias("b"))
     else:
         out = joined.select(F.col("b").alias("a"), F.col("_m").alias("b")).union(least.select("a", F.col("_m").alias("b")))
-    return out.where("a > b").distinct()
+    return out.where("a > b").coalesce(tasks).distinct().coalesce(tasks)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -38,5 +41,6 @@ def components(edges: DataFrame) -> DataFrame:
         if now == state or not now[0]:
             break
         state = now
-        e = cut(_star(_star(e, True), False))
+        tasks = 1 + now[0] // ROWS_A_TASK
+        e = cut(_star(_star(e.coalesce(tasks), True, tasks), False, tasks))
     return e.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(e.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())

@@ -41,7 +41,7 @@ def shingle_sets(texts: list[str | None], width: int):
     cuts = np.searchsorted(starts, np.concatenate([[0], bounds]))
     n = len(words)
     rolled = np.zeros(n, U64)
-    for k in range(width):
+    for k in range(min(width, n)):
         rolled[: n - k] += words[k:] * _PLACE[k]
     for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
         count = hi - lo

@@ -12,7 +12,7 @@ from helio.llm import bpe, chat, langid, packing, toxicity
 from helio.llm.components import components
 from helio.llm.exact_dedup import exact_dedup
 from helio.llm.license_scan import license_scan
-from helio.llm.minhash import near_dedup
+from helio.llm.minhash import near_dedup, shingle_sets
 from helio.llm.url_filter import rule_table, url_filter
 from helio.llm.vectors import near_vectors
 
@@ -156,6 +156,15 @@ def test_near_dedup_against_brute_force(spark):
     assert out == {i: (len(sets[i]), find(i), find(i) == i) for i in range(len(texts))}
 
 
+@pytest.mark.parametrize("width", [4, 5])
+@pytest.mark.parametrize("texts", [["One two"], ["one two three"], ["one two", "ONE two three"]])
+def test_near_dedup_of_short_texts_alone(spark, texts, width):
+    out = {r["doc_id"]: tuple(r)[1:] for r in near_dedup(docs(spark, texts).coalesce(1), width=width).collect()}
+    assert out == {i: (1, i, True) for i in range(len(texts))}
+    for t in texts:  # alone in their run, and the same set as beside a longer text
+        assert [s.tolist() for s in shingle_sets([t], width)] == [next(iter(shingle_sets([t, "a b c d e f g"], width))).tolist()]
+
+
 def test_near_vectors(spark):
     a, b = [1.0, 0.0, 0.0], [1.0, 0.1, 0.0]
     rows = [(1, a, 1), (2, b, 1), (3, a, 1), (4, a, 2), (5, [0.0] * 3, 1), (6, None, 1), (7, [1.0, None, 0.0], 1), (8, a, None), (9, [float("nan"), 1.0, 0.0], 1), (10, [2.0, 0.0, 0.0], 1), (None, [0.0, 1.0, 0.0], 1), (11, [1.0, 0.0], 1)]

@@ -1,7 +1,7 @@
 """From raw documents to packed training sequences: toxicity, language, exact copies, near copies, packing.
 
 Each stage takes (spark, docs, sf_dir), reads what the stage before kept, and returns a DataFrame; all but
-the last return the columns of documents. Rows without a doc_id can't be told apart and are left out.
+the last return the columns of documents. Each row has its own verdict, also where its doc_id is null or repeated.
 """
 
 from __future__ import annotations
@@ -13,9 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helio.llm import langid, toxicity
-from helio.llm.common import keep_rows
+from helio.llm.common import ascii_lower, keep_rows
 from helio.llm.exact_dedup import exact_dedup
-from helio.llm.minhash import near_dedup
+from helio.llm.minhash import near_dedup, text_sha
 from helio.llm.packing import pack_documents
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -39,19 +39,19 @@ def keep_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def _keep_scored(docs: DataFrame, operator, model, condition: str) -> DataFrame:
-    return keep_rows(docs, operator(docs, model).where(condition))
+    return operator(docs, model, carry=COLUMNS[1:]).where(condition).select(*COLUMNS)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts: the one with the least id."""
+    """One row of each group of equal texts: one with the least id."""
     docs = docs.select(*COLUMNS)
-    return keep_rows(docs, exact_dedup(docs).where("kept"))
+    return keep_rows(docs, exact_dedup(docs).where("kept"), text_sha(ascii_lower(F.col("text"))))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words a shingle, similarity 0.8): the one with the least id."""
+    """One row of each group of near copies (five words a shingle, similarity 0.8): one with the least id."""
     docs = docs.select(*COLUMNS)
-    return keep_rows(docs, near_dedup(docs).where("kept"))
+    return keep_rows(docs, near_dedup(docs).where("kept"), text_sha(F.col("text")))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ from operator import or_
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -35,10 +35,27 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def keep_rows(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows of ``docs`` whose id is in ``kept``, all columns; rows without an id never match."""
-    ids = kept.select(F.col(id_col).alias("_kept_id")).distinct()
-    return docs.join(ids, docs[id_col] == ids["_kept_id"], "left_semi")
+def keep_rows(docs: DataFrame, kept: DataFrame, digest: Column, id_col: str = "doc_id") -> DataFrame:
+    """Of the rows of ``docs`` with one id and one ``digest`` of their text as many as ``kept`` (``id_col``, text_sha256) has, all columns.
+
+    ``kept`` has a row for each row to keep. Rows of one id and digest differ in other columns or in case at
+    most; the first by all columns stay. A null id is an id like others here.
+    """
+
+    def tag(sha: Column) -> Column:
+        return F.concat_ws(" ", F.coalesce(F.col(id_col).cast("string"), F.lit("")), sha)
+
+    wanted = kept.groupBy(tag(F.col("text_sha256")).alias("_tag")).agg(F.count(F.lit(1)).alias("_n"))
+    rows = docs.withColumn("_tag", tag(digest)).join(wanted, "_tag")
+    rank = F.row_number().over(Window.partitionBy("_tag").orderBy(*docs.columns))
+    return rows.withColumn("_rn", rank).where("_rn <= _n").select(*docs.columns)
+
+
+def carried(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...]) -> tuple[DataFrame, dict[str, str], str]:
+    """Rows for Python (id, _text, ``carry``), the column that holds each of ``carry``, and their part of a schema; the text goes over once."""
+    rows = docs.select(F.col(id_col), F.col(text_col).alias("_text"), *[F.col(c) for c in carry if c != text_col])
+    kinds = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
+    return rows, {c: "_text" if c == text_col else c for c in carry}, kinds
 
 
 def fit_on_sample(rows: DataFrame, most: int, fit: Callable[[list, list], Any], labels: tuple | None = None) -> Any:

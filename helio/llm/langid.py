@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helio.llm.common import fit_on_sample
+from helio.llm.common import carried, fit_on_sample
 from helio.llm.textgrams import Words, pieces
 
 GRAMS, BITS, LEXICON_BITS = (2, 3, 4), 16, 17
@@ -168,7 +168,7 @@ def fit(texts: list[str], langs: list[str], epochs: int = 4, batch: int = 20_000
 SCHEMA = "lang_pred string, score double, mixture map<string,double>"
 
 
-def _predictor(shared, id_col: str):
+def _predictor(shared, id_col: str, carry: dict[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         m = len(model.languages)
@@ -189,7 +189,7 @@ def _predictor(shared, id_col: str):
             pred = [model.languages[b] if k else "und" for b, k in zip(best, known, strict=True)]
             score = np.where(known, np.clip(mean.max(1), 0, 1), 0.0)
             mixture = [list(zip(model.languages, row, strict=True)) if k else [] for row, k in zip(mean.tolist(), known, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(pred, pa.string()), pa.array(score), pa.array(mixture, pa.map_(pa.string(), pa.float64()))], [id_col, "lang_pred", "score", "mixture"])
+            yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(pred, pa.string()), pa.array(score), pa.array(mixture, pa.map_(pa.string(), pa.float64())), *(batch.column(c) for c in carry.values())], [id_col, "lang_pred", "score", "mixture", *carry])
 
     return run
 
@@ -200,15 +200,15 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     return fit_on_sample(rows.select(F.xxhash64(id_col).alias("h"), F.col(text_col).alias("t"), F.col(lang_col).alias("y")), most_docs, fit)
 
 
-def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``id_col``, lang_pred, score (mean marginal), mixture (mean marginal by language).
+def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input row: ``id_col``, lang_pred, score (mean marginal), mixture (mean marginal by language) and ``carry``.
 
     A null text or one without letters, and any text if no language was learned, is ``und`` with score 0.
     Chains of texts over about a million characters are cut between words. Ties go to the first language by name.
     """
-    rows = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
+    rows, sources, kinds = carried(docs, id_col, text_col, carry)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return rows.mapInArrow(_predictor(shared, id_col), f"{id_col} {rows.schema[id_col].dataType.simpleString()}, {SCHEMA}")
+    return rows.mapInArrow(_predictor(shared, id_col, sources), f"{id_col} {rows.schema[id_col].dataType.simpleString()}, {SCHEMA}{kinds}")
 
 
 def fold(id_col: Column, parts: int) -> Column:

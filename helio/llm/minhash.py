@@ -12,7 +12,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helio.llm.common import cut
@@ -83,8 +83,17 @@ def _runs(texts: list[str | None], most: int = 500_000):
         yield run
 
 
+def text_sha(text: Column) -> Column:
+    """SHA-256 of a text, as hexadecimal digits; a null text counts as empty."""
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"), F.unhex(text_sha(F.col(text_col))).alias("sha"))
+
+
 def signatures(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """id, n_shingles, set_key, bands, sketch; an empty set has neither key, bands nor sketch."""
+    """id, sha (of the text), n_shingles, set_key, bands, sketch; an empty set has neither key, bands nor sketch."""
 
     def run(batches):
         for batch in batches:
@@ -100,19 +109,20 @@ def signatures(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataF
                     bands.append(band_keys(m))
                     sketch.append(packed(m))
             longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, longs), pa.array(sketch, longs)], ["id", "n_shingles", "set_key", "bands", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("sha"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, longs), pa.array(sketch, longs)], ["id", "sha", "n_shingles", "set_key", "bands", "sketch"])
+
+    return _texts(docs, id_col, text_col).mapInArrow(run, "id long, sha binary, n_shingles long, set_key binary, bands array<long>, sketch array<long>")
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"))
-    return rows.mapInArrow(run, "id long, n_shingles long, set_key binary, bands array<long>, sketch array<long>")
 
+def _sets(texts: DataFrame, width: int) -> DataFrame:
+    """id, shingles of texts (id, _text)."""
 
-def _sets(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             sets = [s.view(np.int64) for texts in _runs(batch.column("_text").to_pylist()) for s in shingle_sets(texts, width)]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.list_(pa.int64()))], ["id", "shingles"])
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text")).mapInArrow(run, "id long, shingles array<long>")
+    return texts.select("id", "_text").mapInArrow(run, "id long, shingles array<long>")
 
 
 def _differing(a: str, b: str):
@@ -218,25 +228,28 @@ def _block_links(members: DataFrame, sketches: DataFrame, sets: DataFrame, perce
 
 
 def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", rounds: int = 1) -> DataFrame:
-    """One row per input row: ``id_col``, n_shingles, component_id, kept.
+    """One row per input row: ``id_col``, n_shingles, component_id, kept, text_sha256.
 
     Texts link when 100 * common >= percent * all of their shingle sets (``width`` words each; a shorter text
-    is one shingle). ``component_id`` is the least id reachable over links; the row with that id is kept. Texts
-    without words link with nothing. Rows with a null id stand alone: component null, kept. Repeated ids share
-    one component. Links are confirmed on full sets of 64-bit hashes; what 32 bands of 4 miss at 0.8 is about
+    is one shingle). ``component_id`` is the least id reachable over links, null if no row there has an id. Of
+    each component exactly one row is kept: one with that id and, if several have it, the least SHA-256 of its
+    text. Each row is a node of its own, whether its id is null, repeated or neither. Texts without words link
+    with nothing and are kept. Links are confirmed on full sets of 64-bit hashes; what 32 bands of 4 miss at 0.8 is about
     one link in 20 million.
     """
-    rows = cut(signatures(docs, width, id_col, text_col))
-    filled = rows.where("id IS NOT NULL AND set_key IS NOT NULL")
-    classes = filled.groupBy("set_key").agg(F.min("id").alias("id"))
-    heads = cut(filled.join(classes, ["set_key", "id"], "left_semi").select("id", F.col("n_shingles").alias("n"), "bands", "sketch"))
-    sketches = heads.select("id", "n", "sketch").dropDuplicates(["id"])
+    # The checkpoint fixes the nodes' numbers. From heads on, id is such a number and doc the row's own id.
+    rows = cut(signatures(docs, width, id_col, text_col).withColumn("node", F.monotonically_increasing_id()))
+    filled = rows.where("set_key IS NOT NULL")
+    first = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("doc"), "sha", "node")
+    classes = filled.groupBy("set_key").agg(F.min(first).alias("best")).withColumn("id", F.col("best.node"))
+    heads = cut(filled.withColumnsRenamed({"id": "doc", "node": "id"}).join(classes, ["set_key", "id"], "left_semi").select("id", "doc", "sha", F.col("n_shingles").alias("n"), "bands", "sketch"))
+    sketches = heads.select("id", "n", "sketch")
     entries = heads.select("id", F.explode("bands").alias("bucket"))
     shared = entries.groupBy("bucket").agg(F.min("id").alias("pivot"), F.max("id").alias("_last"), F.count(F.lit(1)).alias("size")).where("pivot < _last")
     members = cut(entries.join(shared.drop("_last"), "bucket").distinct())
-    involved = members.select(F.col("id").alias("_id")).distinct()
-    sets = cut(_sets(docs.join(involved, docs[id_col] == involved["_id"], "left_semi"), width, id_col, text_col)).dropDuplicates(["id"])
-    # An id that stands on texts of several sets links those sets: it is one node.
+    involved = heads.join(members.select("id").distinct(), "id", "left_semi").select(F.col("id").alias("_node"), "doc", F.col("sha").alias("_sha"))
+    texts = _texts(docs, id_col, text_col).join(involved, F.col("id").eqNullSafe(F.col("doc")) & (F.col("sha") == F.col("_sha")))
+    sets = cut(_sets(texts.select(F.col("_node").alias("id"), "_text"), width)).dropDuplicates(["id"])  # repeated rows have the same set
     edges = cut(_confirmed(members.where("id > pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")), sketches, sets, percent))
     found = components(edges)
     open_ = members.where("size > 2")
@@ -258,6 +271,9 @@ def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str =
     if not clusters.isEmpty():
         edges = edges.union(cut(_block_links(clusters, sketches, sets, percent)))
         found = components(edges)
-    reach = classes.join(found, "id", "left").select("set_key", F.coalesce("component", "id").alias("_component"))
-    out = rows.join(reach, "set_key", "left").withColumn("component_id", F.coalesce("_component", "id"))
-    return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+    linked = classes.join(found, "id", "left")
+    tops = linked.where("component IS NOT NULL").groupBy("component").agg(F.min("best").alias("_top"))
+    reach = linked.join(tops, "component", "left").select("set_key", F.coalesce("_top", "best").alias("_top"))
+    out, alone = rows.join(reach, "set_key", "left"), F.col("set_key").isNull()
+    component = F.when(alone, F.col("id")).otherwise(F.col("_top.doc"))
+    return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), (alone | (F.col("node") == F.col("_top.node"))).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))

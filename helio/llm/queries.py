@@ -69,7 +69,7 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup(_documents(spark, sf_dir), width=4)
+    return near_dedup(_documents(spark, sf_dir), width=4).drop("text_sha256")
 
 
 def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

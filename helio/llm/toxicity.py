@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helio.llm.common import fit_on_sample
+from helio.llm.common import carried, fit_on_sample
 from helio.llm.textgrams import Words, pieces
 
 GRAMS, BITS, DIM = (3, 4, 5), 18, 4
@@ -94,7 +94,7 @@ def fit(texts: list[str], toxic: list[int], epochs: int = 12, batch: int = 64, r
     return model
 
 
-def _scorer(shared, id_col: str):
+def _scorer(shared, id_col: str, carry: dict[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, bias = shared.value
         for batch in batches:
@@ -113,7 +113,7 @@ def _scorer(shared, id_col: str):
                 for x, to in ((value, sums), (number, counts)):
                     to += np.bincount(at, np.add.reduceat(x, words.starts - 1, dtype=np.float64), len(texts))
             odds = sums / np.maximum(counts, 1) + bias
-            yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(1 / (1 + np.exp(-np.clip(odds, -50, 50))))], [id_col, "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(1 / (1 + np.exp(-np.clip(odds, -50, 50)))), *(batch.column(c) for c in carry.values())], [id_col, "score", *carry])
 
     return run
 
@@ -124,8 +124,8 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     return fit_on_sample(rows, most_each, fit, labels=(0, 1))
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``id_col``, score (probability of label 1). A text without words gets what the bias alone says; a null text counts as empty."""
-    rows = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
+def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input row: ``id_col``, score (probability of label 1) and ``carry``. A text without words gets what the bias alone says; a null text counts as empty."""
+    rows, sources, kinds = carried(docs, id_col, text_col, carry)
     shared = docs.sparkSession.sparkContext.broadcast((model.weights(), float(model.bias[1] - model.bias[0])))
-    return rows.mapInArrow(_scorer(shared, id_col), f"{id_col} {rows.schema[id_col].dataType.simpleString()}, score double")
+    return rows.mapInArrow(_scorer(shared, id_col, sources), f"{id_col} {rows.schema[id_col].dataType.simpleString()}, score double{kinds}")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helio.functions.scalars import date_key, ladder, time_of_day
+from helio.operators.ranks import global_rank
 
 #: Key, label, index range, PM2.5 range.
 AQI_RANGES = (
@@ -36,16 +37,16 @@ def dim_aqi(spark: SparkSession) -> DataFrame:
 
 
 def dim_facility(facilities: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """One row per code with a dense key; keys that are ``known`` (facility_key, facility_code) stay. A dimension: its size is the number of plants."""
+    """One row per code with a dense key; keys that are ``known`` (facility_key, facility_code) stay. Fresh keys are ranks over ranges of codes."""
     one = facilities.withColumn("_rn", F.row_number().over(Window.partitionBy("facility_code").orderBy(F.desc_nulls_last("facility_name")))).where("_rn = 1 AND facility_code IS NOT NULL").drop("_rn")
     if known is not None:
         one = one.join(known.select("facility_code", F.col("facility_key").alias("_key")), "facility_code", "left")
-        top = F.coalesce(F.max("_key").over(Window.partitionBy(F.lit(1))), F.lit(0))
+        top = F.broadcast(one.agg(F.coalesce(F.max("_key"), F.lit(0)).alias("_top")))
+        fresh = global_rank(one.where("_key IS NULL"), [F.col("facility_code")], "_fresh").crossJoin(top)
+        one = one.where("_key IS NOT NULL").unionByName(fresh.withColumn("_key", F.col("_top") + F.col("_fresh")).drop("_top", "_fresh"))
     else:
-        one, top = one.withColumn("_key", F.lit(None).cast("int")), F.lit(0)
-    fresh = F.row_number().over(Window.partitionBy(F.col("_key").isNull()).orderBy("facility_code"))
-    key = F.coalesce("_key", top + fresh).cast("int").alias("facility_key")
-    return one.select(key, "facility_code", "facility_name", *[F.col(c).cast("decimal(10,6)").alias(c) for c in ("location_lat", "location_lng")], F.col("total_capacity_mw").try_cast("decimal(10,4)").alias("total_capacity_mw"))
+        one = global_rank(one, [F.col("facility_code")], "_key")
+    return one.select(F.col("_key").cast("int").alias("facility_key"), "facility_code", "facility_name", *[F.col(c).cast("decimal(10,6)").alias(c) for c in ("location_lat", "location_lng")], F.col("total_capacity_mw").try_cast("decimal(10,4)").alias("total_capacity_mw"))
 
 
 def lookup(fact: DataFrame, dim: DataFrame, on: list[tuple[Column, str]], take: list[str], how: str = "left") -> DataFrame:

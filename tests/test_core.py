@@ -56,6 +56,15 @@ def test_facility_keys_stay(spark):
     assert {r["facility_code"]: r["facility_key"] for r in later.collect()} == {"B": 1, "A": 2}
 
 
+def test_facility_keys_need_no_single_window(spark):
+    kind = "facility_code string, facility_name string, location_lat double, location_lng double, total_capacity_mw double"
+    codes = [f"F{i}" for i in range(500)]
+    dim = dims.dim_facility(spark.createDataFrame([(c, c, 1.0, 1.0, 5.0) for c in codes], kind).repartition(5))
+    assert {r["facility_code"]: r["facility_key"] for r in dim.collect()} == {c: k for k, c in enumerate(sorted(codes), 1)}
+    plan = dim._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number() windowspecdefinition(_range" in plan
+
+
 def test_lags_with_a_gap(spark):
     t = dt.datetime(2024, 1, 1)
     df = spark.createDataFrame([("F", t, 1.0), ("F", t + dt.timedelta(hours=2), 3.0), ("F", t + dt.timedelta(hours=3), 4.0)], "facility_code string, date_hour timestamp, energy_mwh double")

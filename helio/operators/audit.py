@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from helio.operators.ranks import exact_quantiles, with_quantiles
+
 
 def _stack(one_row: DataFrame, columns: list[str], figures: list[str]) -> DataFrame:
     """From one row with <column>__<figure> fields to one row per column."""
@@ -48,11 +50,14 @@ def orphan_keys(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> Data
 
 
 def distribution(df: DataFrame, column: str, group: list[str], percents=(0.05, 0.5, 0.95), exact: bool = False) -> DataFrame:
-    """Count, least, mean, most and percentiles. ``exact`` keeps all values of a group; the default is the sketch, for large data."""
-    pick = F.percentile if exact else F.percentile_approx
+    """Count, least, mean, most and percentiles. ``exact`` ranks values over ranges; the default is the sketch, in one pass."""
+    names = {f"p{round(p * 100)}": p for p in percents}
     mean = F.try_divide(F.sum(F.col(column).cast("decimal(18,6)")).cast("double"), F.count(column))
-    return df.groupBy(*group).agg(F.count(column).alias("n"), F.min(column).alias("min_value"), F.round(mean, 4).alias("avg_value"), F.max(column).alias("max_value"),
-                                  *[F.round(pick(column, F.lit(p)), 4).alias(f"p{round(p * 100)}") for p in percents])
+    figures = [F.count(column).alias("n"), F.min(column).alias("min_value"), F.round(mean, 4).alias("avg_value"), F.max(column).alias("max_value")]
+    if not exact:
+        return df.groupBy(*group).agg(*figures, *[F.round(F.percentile_approx(column, F.lit(p)), 4).alias(n) for n, p in names.items()])
+    out = with_quantiles(df.groupBy(*group).agg(*figures), exact_quantiles(df, column, names, group), group)
+    return out.withColumns({n: F.round(n, 4) for n in names})
 
 
 def anomaly_shares(energy: DataFrame) -> DataFrame:

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from helio.operators.ranks import exact_quantiles, with_quantiles
+
 EPSILON = 1e-6
 
 
@@ -101,9 +103,12 @@ def importance_rank(spark, model, features: list[str], top: int = 15) -> DataFra
 def residual_stats(df: DataFrame, label: str, predicted: str, exact: bool = False) -> DataFrame:
     """Mean, median, deviation, least, most and number of residuals; the median is a sketch (1 %) unless ``exact``."""
     r = (F.col(label) - F.col(predicted)).alias("r")
-    middle = F.percentile("r", F.lit(0.5)) if exact else F.percentile_approx("r", F.lit(0.5), 100)
     mean = F.try_divide(F.sum(F.col("r").cast("decimal(28,8)")).cast("double"), F.count("r"))
-    return df.select(r).agg(F.count("r").alias("n"), F.round(mean, 4).alias("mean_residual"), F.round(middle, 4).alias("median_residual"), F.round(F.stddev_samp("r"), 2).alias("residual_std"), F.min("r").alias("min_residual"), F.max("r").alias("max_residual"))
+    rows = df.select(r)
+    middle = [] if exact else [F.percentile_approx("r", F.lit(0.5), 100).alias("_middle")]
+    out = rows.agg(F.count("r").alias("n"), F.round(mean, 4).alias("mean_residual"), *middle, F.round(F.stddev_samp("r"), 2).alias("residual_std"), F.min("r").alias("min_residual"), F.max("r").alias("max_residual"))
+    out = with_quantiles(out, exact_quantiles(rows, "r", {"_middle": 0.5}), []) if exact else out
+    return out.select("n", "mean_residual", F.round("_middle", 4).alias("median_residual"), "residual_std", "min_residual", "max_residual")
 
 
 def random_split(df: DataFrame, keys: list[str], train: float = 0.8, seed: int = 42) -> DataFrame:

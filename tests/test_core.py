@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helio.functions.scalars import aqi_from_pm25, clean_number, humidity, season, time_of_day
-from helio.operators import dims, features, kpi, silver, upsert
+from helio.operators import audit, dims, features, kpi, silver, upsert
 from helio.operators.rules import apply_rules, energy_rules
 
 
@@ -93,3 +93,14 @@ def test_filter_without_rows_is_listed(spark):
     fact = spark.createDataFrame([("F", 1, 1.0, 2000.0, 0.001, True), ("F", 1, 1.0, None, None, False)], "facility_code string, date_key int, energy_mwh double, yr_weighted_kwh double, irr_kwh_m2_hour double, is_valid boolean")
     out = {r["scenario"]: (r["records"], r["retention_pct"], r["avg_pr"], r["compliant"]) for r in kpi.filter_scenarios(fact).collect()}
     assert out["all_filters"] == (0, 0.0, None, False) and out["without_irradiance"] == (1, 50.0, 50.0, False)
+
+
+def test_exact_percentiles_hold_no_column_in_one_task(spark):
+    rows = [(g, float(x)) for g, n in (("a", 501), ("b", 2), (None, 7)) for x in range(n)] + [("c", None)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(5)
+    out = audit.distribution(df, "x", ["g"], (0.05, 0.5, 0.95), exact=True)
+    assert {r["g"]: (r["n"], r["p5"], r["p50"], r["p95"]) for r in out.collect()} == {"a": (501, 25.0, 250.0, 475.0), "b": (2, 0.05, 0.5, 0.95), None: (7, 0.3, 3.0, 5.7), "c": (0, None, None, None)}
+    whole, none = (features.residual_stats(d.withColumn("p", F.lit(0.0)), "x", "p", exact=True) for d in (df, df.where("g = 'c'")))
+    assert (whole.first()["n"], whole.first()["median_residual"], none.first()["median_residual"]) == (510, 245.5, None)
+    for d in (out, whole):
+        assert "percentile(" not in d._jdf.queryExecution().optimizedPlan().toString()

@@ -79,8 +79,15 @@ def metrics(df: DataFrame, label: str, predicted: str) -> DataFrame:
                        F.round(F.coalesce(F.col("mape") * 100, F.lit(float("inf"))), 4).alias("mape_pct"))
 
 
+#: Production settings of the tree models.
+TREE_PARAMS = {
+    "gbt": {"maxDepth": 8, "maxIter": 150, "stepSize": 0.08, "minInstancesPerNode": 20, "maxBins": 256, "subsamplingRate": 0.85, "featureSubsetStrategy": "auto", "minInfoGain": 0.005},
+    "decision_tree": {"maxDepth": 20, "minInstancesPerNode": 20, "maxBins": 64, "minInfoGain": 0.0},
+}
+
+
 def train_trees(df: DataFrame, features: list[str], label: str, kind: str = "gbt", **params):
-    """Fit an assembler and a tree regressor; rows with null features are left out."""
+    """Fit an assembler and a tree regressor with TREE_PARAMS, or ``params`` in their place; rows with null features are left out."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
@@ -88,7 +95,7 @@ def train_trees(df: DataFrame, features: list[str], label: str, kind: str = "gbt
     makers = {"gbt": GBTRegressor, "decision_tree": DecisionTreeRegressor}
     if kind not in makers:
         raise ValueError(f"unknown model kind {kind}")
-    tree = makers[kind](featuresCol="features", labelCol=label, predictionCol="prediction", seed=42, **params)
+    tree = makers[kind](featuresCol="features", labelCol=label, predictionCol="prediction", seed=42, **TREE_PARAMS[kind] | params)
     return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip"), tree]).fit(df.dropna(subset=[label]))
 
 

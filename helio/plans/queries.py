@@ -477,14 +477,14 @@ def _training(spark, d):
 @query()
 def train_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _training(spark, sf_dir)
-    model = features.train_trees(rows, _TREE, "energy_mwh", "decision_tree", maxDepth=4)
+    model = features.train_trees(rows, _TREE, "energy_mwh", "decision_tree")
     return model.transform(rows).select("facility_code", "date_hour", "energy_mwh", "prediction")
 
 
 @query()
 def feature_importance_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _training(spark, sf_dir)
-    return features.importance_rank(spark, features.train_trees(rows, _TREE, "energy_mwh", "gbt", maxIter=5, maxDepth=4), _TREE)
+    return features.importance_rank(spark, features.train_trees(rows, _TREE, "energy_mwh", "gbt"), _TREE)
 
 
 @query("SELECT 'NEM' AS network_code, concat('F', CAST(user_id % 8 AS STRING)) AS facility_code, concat('U', CAST(user_id AS STRING)) AS unit_code, 'energy' AS metric, '1h' AS interval, 'MWh' AS value_unit, date_trunc('second', ts) AS interval_start, value FROM events")

@@ -95,6 +95,15 @@ def test_filter_without_rows_is_listed(spark):
     assert out["all_filters"] == (0, 0.0, None, False) and out["without_irradiance"] == (1, 50.0, 50.0, False)
 
 
+def test_trees_have_production_settings(spark):
+    rows = spark.createDataFrame([(float(i), float(i % 7)) for i in range(200)], "x double, y double")
+    tree = features.train_trees(rows, ["x"], "y", "decision_tree").stages[-1]
+    assert (tree.getMaxDepth(), tree.getMinInstancesPerNode(), tree.getMaxBins()) == (20, 20, 64)
+    boosted = features.train_trees(rows, ["x"], "y", maxIter=2).stages[-1]  # two trees will do here
+    assert (boosted.getMaxDepth(), boosted.getStepSize(), boosted.getMaxBins(), boosted.getMinInfoGain(), boosted.getSubsamplingRate()) == (8, 0.08, 256, 0.005, 0.85)
+    assert features.TREE_PARAMS["gbt"]["maxIter"] == 150
+
+
 def test_exact_percentiles_hold_no_column_in_one_task(spark):
     rows = [(g, float(x)) for g, n in (("a", 501), ("b", 2), (None, 7)) for x in range(n)] + [("c", None)]
     df = spark.createDataFrame(rows, "g string, x double").repartition(5)

@@ -2,9 +2,9 @@
 
 Normalised texts are dealt by sampled range splitters and sorted externally, so equal texts become
 neighbours; Spark's window compares neighbouring rows in full. The splitters are drawn over each text's first
-characters and hash, so what is sampled to the driver stays small however long the texts are. Texts that hold more than one row in
-``hot_share`` are salted, so that one group of copies spans several sorted ranges; their partial runs
-(at most ``hot_share`` texts times ``salts``) meet again by full text.
+characters and hash, so what is sampled to the driver stays small however long the texts are. Texts with more
+rows than a task should take are salted over as many sorted ranges as they need; their least or largest
+identifier comes from an aggregate that is combined before its shuffle.
 """
 
 from __future__ import annotations
@@ -12,43 +12,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from helio.llm.common import ascii_lower, cut
+from helio.llm.common import ascii_lower
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min", hot_share: int = 512, salts: int = 64) -> DataFrame:
-    """One row per input row: ``id_col``, keep_id, group_size, kept, text_sha256.
+def hot_limit(rows: int, most: int = 10_000) -> int:
+    """Rows of one text from which it is salted: ``most``, less for small tables, and so many that there are at most a million such texts."""
+    return max(32, min(most, rows // 512), rows // 1_000_000)
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min", carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input row: ``id_col``, keep_id, group_size, kept, text_sha256 and the columns ``carry``.
 
     Texts are equal when identical after lower-casing A-Z. ``keep``: ``min`` or ``max`` identifier stays.
     A null text counts as empty. A null id is kept only if its group has no other id. Of repeated rows with
-    the same id and text exactly one is kept. An empty table gives no rows; other columns are ignored.
+    the same id and text exactly one is kept, the first by ``carry``. An empty table gives no rows; other
+    columns are ignored.
     """
     best = {"min": F.min, "max": F.max}[keep]
     order = F.col("_id").asc_nulls_last() if keep == "min" else F.col("_id").desc_nulls_last()
-    rows = docs.select(F.col(id_col).alias("_id"), ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).alias("_norm"))
+    # With the text itself carried, the shuffle takes that and the normal form is made again behind it.
+    whole = text_col in carry
+    norm = lambda c: ascii_lower(F.coalesce(c, F.lit("")))
+    rows = docs.select(F.col(id_col).alias("_id"), norm(F.col(text_col)).alias("_norm"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)])
     rows = rows.withColumn("_h", F.xxhash64("_norm"))
-    # Hot texts hold at least one row in hot_share, so there are at most hot_share of them (or few rows in all).
-    least = max(32, docs.count() // hot_share)
-    hot = rows.groupBy("_h").count().where(F.col("count") > least).select("_h", F.lit(True).alias("_hot"))
-    rows = rows.join(F.broadcast(hot), "_h", "left").withColumn("_lead", F.substring("_norm", 1, 32))
-    rows = rows.withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64("_id"), F.lit(salts))).otherwise(F.lit(0).cast("long")))
-    run = Window.partitionBy("_lead", "_h", "_salt", "_norm").orderBy(order)
-    whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    runs = (
-        rows.repartitionByRange("_lead", "_h", "_salt")
-        .select(
-            "_id", "_norm", "_salt", "_hot",
-            F.first("_id").over(whole).alias("_keep"),
-            F.count(F.lit(1)).over(whole).alias("_size"),
-            F.row_number().over(run).alias("_rn"),
-        )
-        .select(
-            "_id", "_salt", "_hot", "_keep", "_size", "_rn", F.sha2("_norm", 256).alias("_sha"),
-            F.when(F.col("_hot") & (F.col("_rn") == 1), F.col("_norm")).alias("_text"),
-        )
-    )
-    runs = cut(runs)
-    groups = runs.where("_text IS NOT NULL").groupBy("_text").agg(best("_keep").alias("_hot_keep"), F.sum("_size").alias("_hot_size"), F.first("_sha").alias("_sha"))
-    out = runs.join(F.broadcast(groups.drop("_text")), "_sha", "left")
+    counts = rows.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
+    limit = hot_limit(docs.count())
+    # At most a million hashes of texts over the limit; a hash names a text only together with the text itself below.
+    hot = counts.where(F.col("_n") > limit).select("_h", F.ceil(F.col("_n") / limit).alias("_salts"))
+    rows = rows.join(F.broadcast(hot), "_h", "left")
+    groups = rows.where("_salts IS NOT NULL").groupBy("_norm").agg(best("_id").alias("_hot_keep"), F.count(F.lit(1)).alias("_hot_size"))
+    groups = groups.select(F.sha2("_norm", 256).alias("_sha"), "_hot_keep", "_hot_size")
+    salt = F.when(F.col("_salts") > 1, F.pmod(F.xxhash64("_id"), F.col("_salts"))).otherwise(F.lit(0).cast("long"))
+    dealt = rows.withColumns({"_lead": F.substring("_norm", 1, 32), "_salt": salt})
+    if whole:
+        dealt = dealt.drop("_norm")
+    dealt = dealt.repartitionByRange("_lead", "_h", "_salt")
+    if whole:
+        dealt = dealt.withColumn("_norm", norm(F.col(f"_c{carry.index(text_col)}")))
+    run = Window.partitionBy("_lead", "_h", "_salt", "_norm").orderBy(order, *[F.col(f"_c{i}") for i, c in enumerate(carry) if c != text_col])
+    all_ = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    kept_columns = [f"_c{i}" for i in range(len(carry))]
+    runs = dealt.select(
+        "_id", "_norm", *kept_columns, F.first("_id").over(all_).alias("_keep"), F.count(F.lit(1)).over(all_).alias("_size"), F.row_number().over(run).alias("_rn"),
+    ).withColumn("_sha", F.sha2("_norm", 256)).drop("_norm")
+    out = runs.join(F.broadcast(groups), "_sha", "left")
     out = out.withColumn("_all_keep", F.when(F.col("_hot_size").isNull(), F.col("_keep")).otherwise(F.col("_hot_keep")))
     return out.select(
         F.col("_id").alias(id_col),
@@ -56,4 +63,5 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.coalesce("_hot_size", "_size").alias("group_size"),
         ((F.col("_rn") == 1) & F.col("_id").eqNullSafe(F.col("_all_keep"))).alias("kept"),
         F.col("_sha").alias("text_sha256"),
+        *[F.col(f"_c{i}").alias(c) for i, c in enumerate(carry)],
     )

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helio.llm.common import cut
-from helio.llm.components import components
+from helio.llm.components import components, group_of
 from helio.llm.textgrams import mix, span_hashes
 
 U64 = np.uint64
@@ -89,11 +89,11 @@ def text_sha(text: Column) -> Column:
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"), F.unhex(text_sha(F.col(text_col))).alias("sha"))
+    return docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("_text"), F.unhex(text_sha(F.col(text_col))).alias("sha"))
 
 
 def signatures(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataFrame:
-    """id, sha (of the text), n_shingles, set_key, bands, sketch; an empty set has neither key, bands nor sketch."""
+    """doc (the row's id), sha (of the text), n_shingles, set_key, bands, sketch; an empty set has neither key, bands nor sketch."""
 
     def run(batches):
         for batch in batches:
@@ -109,20 +109,21 @@ def signatures(docs: DataFrame, width: int, id_col: str, text_col: str) -> DataF
                     bands.append(band_keys(m))
                     sketch.append(packed(m))
             longs = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("sha"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, longs), pa.array(sketch, longs)], ["id", "sha", "n_shingles", "set_key", "bands", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("sha"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(bands, longs), pa.array(sketch, longs)], ["doc", "sha", "n_shingles", "set_key", "bands", "sketch"])
 
-    return _texts(docs, id_col, text_col).mapInArrow(run, "id long, sha binary, n_shingles long, set_key binary, bands array<long>, sketch array<long>")
+    rows = _texts(docs, id_col, text_col)
+    return rows.mapInArrow(run, f"doc {rows.schema['doc'].dataType.simpleString()}, sha binary, n_shingles long, set_key binary, bands array<long>, sketch array<long>")
 
 
 def _sets(texts: DataFrame, width: int) -> DataFrame:
-    """id, shingles of texts (id, _text)."""
+    """node, shingles of texts (node, _text); a node of repeated rows comes back once."""
 
     def run(batches):
         for batch in batches:
             sets = [s.view(np.int64) for texts in _runs(batch.column("_text").to_pylist()) for s in shingle_sets(texts, width)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.list_(pa.int64()))], ["id", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
-    return texts.select("id", "_text").mapInArrow(run, "id long, shingles array<long>")
+    return texts.select("node", "_text").mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"])
 
 
 def _differing(a: str, b: str):
@@ -148,7 +149,7 @@ def _confirmed(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, percent:
     """Pairs (a, b) that link: sizes, then packed minima, then full sets."""
 
     def side(table: DataFrame, name: str) -> DataFrame:
-        return table.select(*[F.col(c).alias(name if c == "id" else f"{name}_{c}") for c in table.columns])
+        return table.select(*[F.col(c).alias(name if c == "node" else f"{name}_{c}") for c in table.columns])
 
     near = pairs.distinct().join(side(sketches, "a"), "a").join(side(sketches, "b"), "b")
     sizes = 100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")
@@ -176,27 +177,35 @@ def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, i: np.n
 
 
 def _block_links(members: DataFrame, sketches: DataFrame, sets: DataFrame, percent: int, block: int = 512) -> DataFrame:
-    """Links across components among ``members`` (cluster, id, component) of each cluster, fewer than its rows for each task.
+    """Links across components among ``members`` (cluster, node, component) of each cluster, fewer than its rows for each task.
 
-    A cluster of c members is dealt into c / block blocks, and each row goes to the blocks it meets; so no task
-    has more than two blocks at once. Packed minima sort out pairs, full sets confirm them, and a forest of the
-    links stands for all of them.
+    ``cluster`` is the component that most members of a bucket are in. Its own members are linked already, so
+    they are only held against the others, and the others among themselves. Both kinds are dealt into blocks of
+    about ``block`` rows, and each row goes to the blocks it meets; so no task has more than two blocks at once. Packed
+    minima sort out pairs, full sets confirm them, and a forest of the links stands for all of them.
     """
     limit = most_differing(percent)
-    sized = members.join(members.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / block).alias("_blocks")), "cluster")
-    mine = F.pmod(F.xxhash64("id"), F.col("_blocks"))
-    rows = sized.withColumn("_mine", mine).join(sketches.select("id", "sketch"), "id").join(sets, "id")
-    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
-    rows = rows.select("cluster", "id", "component", "sketch", "shingles", (F.col("_mine") > F.col("_other")).alias("second"), F.least("_mine", "_other").alias("_i"), F.greatest("_mine", "_other").alias("_j"))
+    own = F.col("component") == F.col("cluster")
+    sizes = members.groupBy("cluster").agg(F.ceil(F.count_if(own) / block).alias("_own"), F.ceil(F.count_if(~own) / block).alias("_others"))
+    rows = members.join(cut(sizes), "cluster").join(sketches.select("node", "sketch"), "node").join(sets, "node")
+    upto = lambda c: F.when(F.col(c) > 0, F.sequence(F.lit(0).cast("long"), F.col(c) - 1)).otherwise(F.array().cast("array<long>"))
+    h = F.xxhash64("node")
+    # A meeting has the block of each side; blocks of the cluster's own members are numbered below zero and stand on the left.
+    place = F.when(own, -1 - F.pmod(h, F.col("_own"))).otherwise(F.pmod(h, F.col("_others")))
+    rows = rows.withColumn("_at", place)
+    meet = lambda o: F.struct(F.least("_at", o).alias("i"), F.greatest("_at", o).alias("j"), (F.col("_at") > o).alias("second"))
+    others = F.transform(upto("_others"), meet)
+    both = F.when(own, others).otherwise(F.concat(F.transform(upto("_own"), lambda o: meet(-1 - o)), others))
+    rows = rows.select("cluster", "node", "component", "sketch", "shingles", F.explode(both).alias("m")).select("cluster", "node", "component", "sketch", "shingles", "m.*")
 
     def compare(pdf):
         import pandas as pd
 
         words = np.array(pdf["sketch"].tolist(), np.int64).view(U64)
-        ids, comp, second = pdf["id"].to_numpy(), pdf["component"].to_numpy(), pdf["second"].to_numpy()
+        ids, comp, second = pdf["node"].to_numpy(), pdf["component"].to_numpy(), pdf["second"].to_numpy()
         sets = [np.asarray(x) for x in pdf["shingles"]]
         size = np.array([len(x) for x in sets])
-        same = pdf["_i"].iloc[0] == pdf["_j"].iloc[0]
+        same = pdf["i"].iloc[0] == pdf["j"].iloc[0]
         left, right = (np.arange(len(ids)),) * 2 if same else (np.flatnonzero(~second), np.flatnonzero(second))
         i, j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for k, a in enumerate(left):
@@ -209,71 +218,60 @@ def _block_links(members: DataFrame, sketches: DataFrame, sets: DataFrame, perce
             i.append(np.full(len(found), k))
             j.append(found)
         i, j = np.concatenate(i), np.concatenate(j)
-        both = _common(sets, left, right, i, j)
-        sure = 100 * both >= percent * (size[left[i]] + size[right[j]] - both)
-        a, b = left[i[sure]], right[j[sure]]
-        group = np.arange(len(ids))
-        while True:
-            low = group.copy()
-            np.minimum.at(low, a, group[b])
-            np.minimum.at(low, b, group[a])
-            low = low[low]
-            if (low == group).all():
-                break
-            group = low
+        shared = _common(sets, left, right, i, j)
+        sure = 100 * shared >= percent * (size[left[i]] + size[right[j]] - shared)
+        group = group_of(len(ids), left[i[sure]], right[j[sure]])
         moved = group != np.arange(len(ids))
-        return pd.DataFrame({"a": np.maximum(ids[moved], ids[group[moved]]), "b": np.minimum(ids[moved], ids[group[moved]])})
+        return pd.DataFrame({"a": ids[moved], "b": ids[group[moved]]})
 
-    return rows.groupBy("cluster", "_i", "_j").applyInPandas(compare, "a long, b long").distinct()
+    return rows.groupBy("cluster", "i", "j").applyInPandas(compare, "a long, b long").distinct()
 
 
-def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", rounds: int = 1) -> DataFrame:
+def near_dedup(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``id_col``, n_shingles, component_id, kept, text_sha256.
 
     Texts link when 100 * common >= percent * all of their shingle sets (``width`` words each; a shorter text
     is one shingle). ``component_id`` is the least id reachable over links, null if no row there has an id. Of
     each component exactly one row is kept: one with that id and, if several have it, the least SHA-256 of its
-    text. Each row is a node of its own, whether its id is null, repeated or neither. Texts without words link
-    with nothing and are kept. Links are confirmed on full sets of 64-bit hashes; what 32 bands of 4 miss at 0.8 is about
-    one link in 20 million.
+    text. Each row is a node of its own, whether its id is null, repeated or neither. Texts without words (null
+    ones too) link with nothing and are kept. An empty table gives no rows; ids may be of any type that can be
+    ordered, other columns are ignored. Links are confirmed on full sets of 64-bit hashes; what 32 bands of 4
+    miss at 0.8 is about one link in 20 million.
+
+    Equal sets are one class. A bucket is not paired out: its classes meet its least one first, then one of
+    another component; what is still in different components is compared in blocks. Components found so far go
+    on as stars, to which new links are added.
     """
-    # The checkpoint fixes the nodes' numbers. From heads on, id is such a number and doc the row's own id.
+    # The checkpoint fixes the nodes' numbers.
     rows = cut(signatures(docs, width, id_col, text_col).withColumn("node", F.monotonically_increasing_id()))
-    filled = rows.where("set_key IS NOT NULL")
-    first = F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("doc"), "sha", "node")
-    classes = filled.groupBy("set_key").agg(F.min(first).alias("best")).withColumn("id", F.col("best.node"))
-    heads = cut(filled.withColumnsRenamed({"id": "doc", "node": "id"}).join(classes, ["set_key", "id"], "left_semi").select("id", "doc", "sha", F.col("n_shingles").alias("n"), "bands", "sketch"))
-    sketches = heads.select("id", "n", "sketch")
-    entries = heads.select("id", F.explode("bands").alias("bucket"))
-    shared = entries.groupBy("bucket").agg(F.min("id").alias("pivot"), F.max("id").alias("_last"), F.count(F.lit(1)).alias("size")).where("pivot < _last")
-    members = cut(entries.join(shared.drop("_last"), "bucket").distinct())
-    involved = heads.join(members.select("id").distinct(), "id", "left_semi").select(F.col("id").alias("_node"), "doc", F.col("sha").alias("_sha"))
-    texts = _texts(docs, id_col, text_col).join(involved, F.col("id").eqNullSafe(F.col("doc")) & (F.col("sha") == F.col("_sha")))
-    sets = cut(_sets(texts.select(F.col("_node").alias("id"), "_text"), width)).dropDuplicates(["id"])  # repeated rows have the same set
-    edges = cut(_confirmed(members.where("id > pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")), sketches, sets, percent))
-    found = components(edges)
-    open_ = members.where("size > 2")
-    for k in range(rounds):
-        labelled = open_.join(found, "id", "left").select("bucket", "id", "pivot", "size", F.coalesce("component", "id").alias("component"))
-        pivot = F.max(F.struct(F.col("id") != F.col("pivot"), F.xxhash64("component", F.lit(k)), "component", "id")).alias("_pivot")
-        mixed = labelled.groupBy("bucket").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), pivot).where("_lo < _hi")
-        labelled = cut(labelled.join(mixed.select("bucket", "_pivot"), "bucket"))
-        far = labelled.where("component <> _pivot.component").select(F.greatest("id", F.col("_pivot.id")).alias("a"), F.least("id", F.col("_pivot.id")).alias("b"))
-        more = cut(_confirmed(far, sketches, sets, percent))
-        if not more.isEmpty():
-            edges = edges.union(more)
-            found = components(edges)
-        open_ = labelled.where("size > 3").select("bucket", "id", "pivot", "size")  # of three members, two pivots have met everyone
+    first = F.struct(F.col("doc").isNull().alias("none"), "doc", "sha", "node", F.col("n_shingles").alias("n"), "bands", "sketch")  # no two rows have one node
+    heads = cut(rows.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min(first).alias("h")).select("set_key", "h.*"))
+    sketches = heads.select("node", "n", "sketch")
+    entries = heads.select("node", F.explode(F.array_distinct("bands")).alias("bucket"))
+    shared = cut(entries.groupBy("bucket").agg(F.min("node").alias("pivot"), F.max("node").alias("_last"), F.count(F.lit(1)).alias("size")).where("pivot < _last").drop("_last"))
+    members = cut(entries.join(shared, "bucket"))
+    involved = heads.join(members.select("node").distinct(), "node", "left_semi").select("node", F.col("doc").alias("_doc"), F.col("sha").alias("_sha"))
+    texts = _texts(docs, id_col, text_col).join(involved, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("sha") == F.col("_sha")))
+    sets = cut(_sets(texts, width))
+    found = components(_confirmed(members.where("node > pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")), sketches, sets, percent))
+    # Buckets whose classes are in several components: all meet one of another component than the pivot's.
+    component = F.coalesce("component", "node").alias("component")
+    labelled = members.where("size > 2").join(found.withColumnRenamed("id", "node"), "node", "left").select("bucket", "node", "pivot", component)
+    second = F.max(F.struct(F.col("node") != F.col("pivot"), F.xxhash64("component"), "component", "node")).alias("_second")
+    mixed = cut(labelled.groupBy("bucket").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), second).where("_lo < _hi").select("bucket", "_second"))
+    open_ = cut(labelled.join(mixed, "bucket"))
+    far = open_.where("component <> _second.component").select(F.greatest("node", F.col("_second.node")).alias("a"), F.least("node", F.col("_second.node")).alias("b"))
+    stars = lambda links: components(links.unionByName(found.select(F.col("id").alias("a"), F.col("component").alias("b"))))
+    found = stars(_confirmed(far, sketches, sets, percent))
     # What is still open goes by the largest component of its bucket: many buckets of one dense group become one cluster.
-    labelled = open_.join(found, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
+    labelled = open_.select("bucket", "node").join(found.withColumnRenamed("id", "node"), "node", "left").select("bucket", "node", component)
     largest = labelled.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max(F.struct("count", "component")).alias("_most"), F.count(F.lit(1)).alias("_kinds")).where("_kinds > 1")
-    clusters = cut(labelled.join(largest, "bucket").select(F.col("_most.component").alias("cluster"), "id", "component").distinct())
-    if not clusters.isEmpty():
-        edges = edges.union(cut(_block_links(clusters, sketches, sets, percent)))
-        found = components(edges)
-    linked = classes.join(found, "id", "left")
-    tops = linked.where("component IS NOT NULL").groupBy("component").agg(F.min("best").alias("_top"))
-    reach = linked.join(tops, "component", "left").select("set_key", F.coalesce("_top", "best").alias("_top"))
-    out, alone = rows.join(reach, "set_key", "left"), F.col("set_key").isNull()
-    component = F.when(alone, F.col("id")).otherwise(F.col("_top.doc"))
-    return out.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"), (alone | (F.col("node") == F.col("_top.node"))).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
+    clusters = cut(labelled.join(cut(largest), "bucket").select(F.col("_most.component").alias("cluster"), "node", "component").distinct())
+    found = stars(_block_links(clusters, sketches, sets, percent))
+    best = heads.select("node", "set_key", F.struct("none", "doc", "sha", "node").alias("best")).join(found.withColumnRenamed("id", "node"), "node", "left")
+    tops = cut(best.where("component IS NOT NULL").groupBy("component").agg(F.min("best").alias("_top")))
+    reach = best.join(tops, "component", "left").select("set_key", F.coalesce("_top", "best").alias("_top"))
+    # Rows without words stay out of the join, where they would share one null key.
+    out = rows.where("set_key IS NOT NULL").join(reach, "set_key").select("doc", "sha", "n_shingles", F.col("_top.doc").alias("top"), (F.col("node") == F.col("_top.node")).alias("kept"))
+    out = out.unionByName(rows.where("set_key IS NULL").select("doc", "sha", "n_shingles", F.col("doc").alias("top"), F.lit(True).alias("kept")))
+    return out.select(F.col("doc").alias(id_col), "n_shingles", F.col("top").alias("component_id"), "kept", F.lower(F.hex("sha")).alias("text_sha256"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helio.llm import langid, toxicity
-from helio.llm.common import ascii_lower, keep_rows
+from helio.llm.common import keep_rows, shared_folder
 from helio.llm.exact_dedup import exact_dedup
 from helio.llm.minhash import near_dedup, text_sha
 from helio.llm.packing import pack_documents
@@ -45,7 +45,7 @@ def _keep_scored(docs: DataFrame, operator, model, condition: str) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts: one with the least id."""
     docs = docs.select(*COLUMNS)
-    return keep_rows(docs, exact_dedup(docs).where("kept"), text_sha(ascii_lower(F.col("text"))))
+    return exact_dedup(docs, carry=COLUMNS[1:]).where("kept").select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,10 +70,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to documents; each result is written to the shared folder and read again."""
-    import tempfile
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="helio-")
-    folder = f"{base.rstrip('/')}/corpus-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")

@@ -11,6 +11,7 @@ import gc
 import hashlib
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from heapq import heapify, heappop, heappush
 from itertools import chain
 
@@ -46,13 +47,13 @@ def _hashes(tokens: list[bytes]) -> np.ndarray:
 
 
 class PerfectHash:
-    """Minimal perfect hash by displacement: n keys, n slots.
+    """Minimal perfect hash by displacement: n keys, n slots; a slot holds its key and the key's value (its place among the keys unless ``values`` are given).
 
     Keys fall into n/2 buckets; large buckets first, each takes the least displacement that puts its keys
     into free slots; buckets of one key name a free slot themselves.
     """
 
-    def __init__(self, keys: list[bytes]):
+    def __init__(self, keys: list[bytes], values: list[int] | None = None):
         self.size, self.buckets = len(keys), max(1, len(keys) // 2)
         h = _hashes(keys) if keys else np.zeros(0, U64)
         if len(np.unique(h)) != len(keys):
@@ -80,19 +81,25 @@ class PerfectHash:
         rest = np.flatnonzero(free)
         for b, s in zip(np.flatnonzero(sizes == 1), rest, strict=True):
             self.shift[b], self.slot_key[s] = -1 - s, keys[order[edges[b]]]
+        of_key = dict(zip(keys, range(len(keys)) if values is None else values, strict=True))
+        self.slot_value = [of_key[k] for k in self.slot_key]
 
     def _slots(self, h: np.ndarray, d) -> np.ndarray:
         return (mix(h + d * U64(0x9E3779B97F4A7C15) + U64(1)) % U64(max(1, self.size))).astype(np.int64)
 
-    def find(self, tokens: list[bytes]) -> list[bool]:
-        """Whether each token is a key."""
+    @classmethod
+    def of_ranks(cls, ranks: dict[bytes, int]) -> PerfectHash:
+        return cls(list(ranks), list(ranks.values()))
+
+    def find(self, tokens: list[bytes]) -> list[int | None]:
+        """The value of each token that is a key, else None."""
         if not self.size:
-            return [False] * len(tokens)
+            return [None] * len(tokens)
         h = _hashes(tokens)
         d = self.shift[(h % U64(self.buckets)).astype(np.int64)]
         slot = np.where(d < 0, -1 - d, self._slots(h, np.maximum(d, 0).astype(U64)))
-        keys = self.slot_key
-        return [keys[s] == t for s, t in zip(slot.tolist(), tokens, strict=True)]
+        keys, values = self.slot_key, self.slot_value
+        return [values[s] if keys[s] == t else None for s, t in zip(slot.tolist(), tokens, strict=True)]
 
 
 def merge(word: bytes, rank_of) -> tuple[int, ...]:
@@ -137,7 +144,7 @@ class Codec:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, table: PerfectHash | None = None, memory: int = 250_000):
         self.ranks, self.pattern, self.memory = ranks, compile_pattern(pattern), memory
-        self.table = table or PerfectHash(list(ranks))
+        self.table = table or PerfectHash.of_ranks(ranks)
         self.ids: dict[str, tuple[int, ...]] = {}
         self.old: dict[str, tuple[int, ...]] = {}
         size = max(ranks.values(), default=-1) + 1
@@ -152,8 +159,8 @@ class Codec:
             self.old, self.ids = self.ids, {}
         raw = [t.encode("utf-8", "surrogatepass") for t in new]
         rank_of = self.ranks.get
-        for t, b, whole in zip(new, raw, self.table.find(raw), strict=True):
-            self.ids[t] = (rank_of(b),) if whole else merge(b, rank_of)
+        for t, b, rank in zip(new, raw, self.table.find(raw), strict=True):
+            self.ids[t] = merge(b, rank_of) if rank is None else (rank,)
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text."""
@@ -188,10 +195,21 @@ class Codec:
 _codecs: dict = {}
 
 
+@contextmanager
+def _without_gc():
+    """Nothing here makes cycles, and scanning a few hundred thousand kept tuples takes long; other operators of the worker get the collector back."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def _codec(shared) -> Codec:
     """One codec a worker process and broadcast, so that what it has met serves its later tasks too."""
     key, *parts = shared.value
-    gc.disable()  # nothing here makes cycles, and scanning a few hundred thousand kept tuples takes long
     if key not in _codecs:
         _codecs.clear()
         _codecs[key] = Codec(*parts)
@@ -210,14 +228,14 @@ def _encoded(codec: Codec, texts: list[str | None]) -> Iterator[tuple[int, list[
 
 
 def bpe_encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: ``id_col``, ids (array of int). A null or empty text has no ids. No special tokens."""
-    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, ranks, pattern, PerfectHash(list(ranks))))
+    """One row per input row: ``id_col``, ids (array of int). A null or empty text has no ids, an empty table no rows. No special tokens."""
+    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, ranks, pattern, PerfectHash.of_ranks(ranks)))
 
     def run(batches):
         codec = _codec(shared)
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            ids = pa.array([ids for _, ids in _encoded(codec, texts)], pa.list_(pa.int32()))
+            with _without_gc():
+                ids = pa.array([ids for _, ids in _encoded(codec, batch.column("_text").to_pylist())], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(id_col), ids], [id_col, "ids"])
 
     rows = docs.select(F.col(id_col), F.col(text_col).alias("_text"))
@@ -226,7 +244,7 @@ def bpe_encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: s
 
 def bpe_decode(encoded: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """One row per input row: ``id_col``, bytes (binary). Null ids decode to no bytes."""
-    shared = encoded.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, ranks, pattern, PerfectHash(list(ranks))))
+    shared = encoded.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, ranks, pattern, PerfectHash.of_ranks(ranks)))
 
     def run(batches):
         codec = _codec(shared)
@@ -242,19 +260,20 @@ def bpe_round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_co
     """Encode each text and decode its ids again in one pass; digests of both: ``id_col``, n_tokens, ids_sha256, decoded_sha256.
 
     The first digest is of the decimal ids joined by commas, the second of the decoded bytes, both lowercase
-    hex. Null counts as empty. Rows come back as often as they are given.
+    hex. Null counts as empty. Rows come back as often as they are given; an empty table gives none.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, ranks, pattern, PerfectHash(list(ranks))))
+    shared = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, ranks, pattern, PerfectHash.of_ranks(ranks)))
 
     def run(batches):
         codec = _codec(shared)
         decimal = [str(i) for i in range(len(codec.lengths))].__getitem__
         for batch in batches:
             out = [[], [], []]
-            for _, ids in _encoded(codec, batch.column("_text").to_pylist()):
-                out[0].append(len(ids))
-                out[1].append(hashlib.sha256(",".join(map(decimal, ids)).encode()).hexdigest())
-                out[2].append(hashlib.sha256(codec.decode(ids)).hexdigest())
+            with _without_gc():
+                for _, ids in _encoded(codec, batch.column("_text").to_pylist()):
+                    out[0].append(len(ids))
+                    out[1].append(hashlib.sha256(",".join(map(decimal, ids)).encode()).hexdigest())
+                    out[2].append(hashlib.sha256(codec.decode(ids)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column(id_col), pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string())], [id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     rows = docs.select(F.col(id_col), F.col(text_col).alias("_text"))

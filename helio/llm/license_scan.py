@@ -3,7 +3,7 @@
 All rolling word k-grams of a text join the k-grams of license templates by hash. Hits with the same
 difference of text and template position lie on one diagonal; a diagonal that holds every k-gram of a
 phrase is a verbatim place. Neighbouring diagonals (words put in or left out) are merged, and spans that
-cover enough of a template count as a looser match.
+are verified to cover enough of a template, in its order, count as a looser match.
 """
 
 from __future__ import annotations
@@ -52,9 +52,11 @@ def template_grams(spark: SparkSession, templates=TEMPLATES, k: int = K) -> Data
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES, drift: int = 2, cover: float = 0.8) -> DataFrame:
     """One row per input row: ``id_col``, n_words, n_base, first_word, last_word, base_labels, labels, score, spans.
 
-    Diagonals at most ``drift`` apart are merged; a merged span counts from ``cover`` of a template's k-grams.
+    Diagonals at most ``drift`` apart are merged; a merged span counts from ``cover`` of a template's k-grams,
+    each taken once and in the template's order.
     spans: array of (label, start, coverage), looser ones included. score: the largest coverage, 0 without a hit.
-    A null or empty text has no words and no labels. Repeated rows come back as often as they are given.
+    A null or empty text has no words and no labels. Repeated rows come back as often as they are given; an empty
+    table gives no rows, and other columns are ignored. A text's words have to fit in a task, some times over.
     """
     spark = docs.sparkSession
     grams = template_grams(spark, templates)
@@ -74,15 +76,23 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     hits = each.join(F.broadcast(grams), same)
     # Copies of one row hit the same places, hence the distinct template positions; the mark counts the copies.
     diagonals = hits.groupBy("_id", "_key", "t", "label", "base", "n_grams", (F.col("_pos") - F.col("tpos")).alias("_diag")).agg(
-        F.countDistinct("tpos").alias("_votes"), F.max("_n").alias("_n"), F.sum(F.when(F.col("t") < 0, 1)).alias("_copies"))
+        F.sort_array(F.collect_set("tpos")).alias("_at"), F.max("_n").alias("_n"), F.sum(F.when(F.col("t") < 0, 1)).alias("_copies"))
     order = Window.partitionBy("_id", "_key", "t").orderBy("_diag")
     new = F.coalesce((F.col("_diag") - F.lag("_diag").over(order) > drift).cast("int"), F.lit(1))
     merged = diagonals.withColumn("_new", new).withColumn("_span", F.sum("_new").over(order))
-    exact = F.col("base") & (F.col("_votes") == F.col("n_grams"))
-    spans = merged.groupBy("_id", "_key", "t", "label", "n_grams", "_span").agg(
-        F.min("_diag").alias("_start"), F.least(F.lit(1.0), F.sum("_votes") / F.greatest(F.first("n_grams"), F.lit(1))).alias("_cover"),
-        F.max("_n").alias("_n"), F.max("_copies").alias("_copies"),
+    # Spans are verified: each template position counts once, and only where it stands behind those before it.
+    exact = F.col("base") & (F.size("_at") == F.col("n_grams"))
+    each = merged.withColumn("_whole", exact).select("*", F.posexplode("_at").alias("_k", "_tpos"))
+    exact = F.col("_whole") & (F.col("_k") == 0)  # a diagonal counts at its first position
+    places = each.groupBy("_id", "_key", "t", "label", "n_grams", "_span", "_tpos").agg(
+        F.min(F.col("_diag") + F.col("_tpos")).alias("_place"), F.min("_diag").alias("_start"), F.max("_n").alias("_n"), F.max("_copies").alias("_copies"),
         F.count_if(exact).alias("_exact"), F.min(F.when(exact, F.col("_diag"))).alias("_first"), F.max(F.when(exact, F.col("_diag"))).alias("_last"))
+    before = Window.partitionBy("_id", "_key", "t", "_span").orderBy("_tpos").rowsBetween(Window.unboundedPreceding, -1)
+    places = places.withColumn("_ordered", F.coalesce(F.col("_place") > F.max("_place").over(before), F.lit(True)))
+    spans = places.groupBy("_id", "_key", "t", "label", "n_grams", "_span").agg(
+        F.min("_start").alias("_start"), (F.count_if("_ordered") / F.greatest(F.first("n_grams"), F.lit(1))).alias("_cover"),
+        F.max("_n").alias("_n"), F.max("_copies").alias("_copies"),
+        F.sum("_exact").alias("_exact"), F.min("_first").alias("_first"), F.max("_last").alias("_last"))
     found = (F.col("t") >= 0) & ((F.col("_cover") >= cover) | (F.col("_exact") > 0))
     out = spans.groupBy("_id", "_key").agg(
         F.max("_n").alias("n_words"), F.max("_copies").alias("_copies"), F.sum("_exact").alias("n_base"),

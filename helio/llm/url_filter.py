@@ -28,10 +28,11 @@ def url_filter(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     goes on to ``?``, ``#`` or the end; a null url or one without ``://`` gives two empty strings. A rule fits
     its host and all subdomains when the path starts with the rule's path. The longest rule (host and path
     together) wins; of equally long ones the one with the longer host, and then ``block`` before ``allow``.
-    Without a rule the verdict is ``default``. Repeated rows and null ids come back as often as they are given.
+    Without a rule the verdict is ``default``. Repeated rows and null ids come back as often as they are given;
+    an empty table gives no rows, and other columns are ignored.
 
     Each url is expanded only into suffixes and prefixes of lengths that some rule has. The expressions join
-    the rules on a short hash prefix; the full digest decides. Rules are broadcast up to ``broadcast_rules``.
+    the rules on a short hash prefix alone; what shares it is confirmed by the full digest. Rules are broadcast up to ``broadcast_rules``.
     """
     rules = rules.select("verdict", ascii_lower(F.col("rule_host")).alias("_rh"), F.col("rule_path").alias("_rp")).where("_rh IS NOT NULL AND _rp IS NOT NULL").distinct()
     shape = rules.agg(F.collect_set(F.size(F.split("_rh", r"\."))).alias("h"), F.collect_set(F.char_length("_rp")).alias("p"), F.count(F.lit(1)).alias("n")).first()
@@ -55,8 +56,8 @@ def url_filter(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
         if shape["n"] <= broadcast_rules:
             keyed = F.broadcast(keyed)
         urls = rows.withColumn("_s", F.explode(suffixes)).withColumn("_p", F.explode(prefixes)).withColumn("_digest", digest(F.col("_s"), F.col("_p")))
-        hit = urls.join(keyed, (F.substring(F.col("_digest"), 1, 8) == F.col("_short")) & (F.col("_digest") == F.col("_full")), "left")
-        rank = F.when(F.col("_rh").isNotNull(), F.struct(
+        hit = urls.join(keyed, F.substring(F.col("_digest"), 1, 8) == F.col("_short"), "left")  # the prefix alone; the full digest confirms
+        rank = F.when(F.col("_digest") == F.col("_full"), F.struct(
             (F.char_length("_rh") + F.char_length("_rp")).alias("len"), F.char_length("_rh").alias("host_len"),
             (F.col("verdict") == "block").alias("block"), F.concat("_rh", "_rp").alias("rule"), F.col("verdict").alias("verdict"),
         ))

@@ -65,13 +65,14 @@ def carried(docs: DataFrame, id_col: str, text_col: str, carry: tuple[str, ...])
 def fit_on_sample(rows: DataFrame, most: int, fit: Callable[[list, list], Any], labels: tuple | None = None) -> Any:
     """``fit(texts, labels)`` on a bounded sample, in one task, so that neither sample nor training weighs on the driver.
 
-    ``rows``: h (64-bit hash), t (text), y (label). The sample holds the ``most`` rows of least hash, of each of
-    ``labels`` if given; all if there are fewer. A first pass counts, the second brings only the share of the
-    hash range that is needed, so the sample does not grow with the table or its partitions.
+    ``rows``: h (64-bit hash of id and text), t (text), y (label). Rows of one hash and label count once, so that rows
+    that are often repeated, with an id or without, do not swell the sample. It holds the ``most`` rows of least
+    hash, of each of ``labels`` if given; all if there are fewer. A first pass estimates how many there are, the
+    second brings only the share of the hash range that is needed, so the sample does not grow with the table.
     """
     places = 1 << 40
     groups = [F.lit(True)] if labels is None else [F.col("y") == v for v in labels]
-    counts = rows.agg(*[F.count_if(g).alias(f"n{i}") for i, g in enumerate(groups)]).first()
+    counts = rows.agg(*[F.approx_count_distinct(F.when(g, F.col("h")), 0.02).alias(f"n{i}") for i, g in enumerate(groups)]).first()
     near = F.pmod(F.col("h"), F.lit(places))
     kept = reduce(or_, [g & (near < int(min(1.0, 1.2 * most / max(n, 1)) * places)) for g, n in zip(groups, counts, strict=True)])
 
@@ -82,5 +83,5 @@ def fit_on_sample(rows: DataFrame, most: int, fit: Callable[[list, list], Any],
         used = [x for one in sets for x in one[:most]]
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit([t for _, t, _ in used], [y for _, _, y in used]))], pa.binary())], ["model"])
 
-    row = rows.select("h", "t", "y").where(kept).repartition(1).mapInArrow(run, "model binary").first()
+    row = rows.select("h", "t", "y").where(kept).dropDuplicates(["h", "y"]).coalesce(1).mapInArrow(run, "model binary").first()
     return pickle.loads(row["model"]) if row else fit([], [])

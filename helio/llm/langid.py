@@ -22,8 +22,8 @@ from helio.llm.textgrams import Words, pieces
 GRAMS, BITS, LEXICON_BITS = (2, 3, 4), 16, 17
 
 
-def forward_backward(emit: np.ndarray, first: np.ndarray, trans: np.ndarray, start: np.ndarray, steps: int = 64):
-    """Marginals (n, labels) and expected transition counts of chains laid end to end.
+def forward_backward(emit: np.ndarray, first: np.ndarray, trans: np.ndarray, start: np.ndarray, steps: int = 64, pairs: bool = True):
+    """Marginals (n, labels) and, with ``pairs``, expected transition counts of chains laid end to end.
 
     emit: positive potentials (n, labels); first: where a chain begins. The row of chains is cut into equal
     chunks that advance together; products of each chunk's matrices carry messages from chunk to chunk.
@@ -64,6 +64,8 @@ def forward_backward(emit: np.ndarray, first: np.ndarray, trans: np.ndarray, sta
         b = b / b.sum(1, keepdims=True)
     gamma = alpha * beta
     gamma = (gamma / gamma.sum(2, keepdims=True)).reshape(-1, m)[:n]
+    if not pairs:
+        return gamma, None
     alpha, beta, e = alpha.reshape(-1, m), beta.reshape(-1, m), e.reshape(-1, m)
     pair = (alpha[: n - 1, :, None] * trans) * (e * beta)[1:n, None, :]
     pair /= np.maximum(pair.sum((1, 2), keepdims=True), 1e-300)
@@ -98,10 +100,10 @@ class Model:
     def potentials(self, scores: np.ndarray) -> np.ndarray:
         return np.exp(np.clip(scores - scores.max(1, keepdims=True), -30, 0)).astype(float) if len(scores) else scores
 
-    def marginals(self, words: Words) -> np.ndarray:
-        first = np.diff(words.text, prepend=-1) > 0
-        s = self.scores(words)
-        return forward_backward(self.potentials(s), first, np.exp(self.trans), np.exp(self.start))[0] if len(s) else s
+    def marginals(self, scores: np.ndarray, text: np.ndarray) -> np.ndarray:
+        """Marginals of words from their ``scores``; each ``text`` is a chain."""
+        first = np.diff(text, prepend=-1) > 0
+        return forward_backward(self.potentials(scores), first, np.exp(self.trans), np.exp(self.start), pairs=False)[0]
 
 
 def fit(texts: list[str], langs: list[str], epochs: int = 4, batch: int = 20_000, rate: float = 0.3, seed: int = 7) -> Model:
@@ -175,11 +177,16 @@ def _predictor(shared, id_col: str, carry: dict[str, str]):
         for batch in batches:
             texts = batch.column("_text").to_pylist()
             sums, counts = np.zeros((len(texts), max(1, m))), np.zeros(len(texts))
-            for run in pieces(texts) if m else ():
-                index = np.array([i for i, _ in run])
+            held: list[tuple[np.ndarray, np.ndarray]] = []  # scores of a long text's pieces: they are one chain
+            for run, more in pieces(texts) if m else ():
                 words = Words([t for _, t in run])
-                if len(words.starts):
-                    gamma, at = model.marginals(words), index[words.text]
+                held.append((model.scores(words), np.array([i for i, _ in run])[words.text]))
+                if more:
+                    continue
+                scores, at = (np.concatenate(x) for x in zip(*held, strict=True))
+                held = []
+                if len(at):
+                    gamma = model.marginals(scores, at)
                     counts += np.bincount(at, minlength=len(texts))
                     for k in range(m):
                         sums[:, k] += np.bincount(at, gamma[:, k], len(texts))
@@ -195,16 +202,17 @@ def _predictor(shared, id_col: str, carry: dict[str, str]):
 
 
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most_docs: int = 2000, most_chars: int = 4000) -> Model:
-    """Fit on a bounded sample: the ``most_docs`` rows first by a hash of their id among those of 20 to ``most_chars`` characters."""
+    """Fit on a bounded sample: the ``most_docs`` rows first by a hash of id and text among those of 20 to ``most_chars`` characters."""
     rows = labelled.where(F.col(lang_col).isNotNull() & F.char_length(text_col).between(20, most_chars))
-    return fit_on_sample(rows.select(F.xxhash64(id_col).alias("h"), F.col(text_col).alias("t"), F.col(lang_col).alias("y")), most_docs, fit)
+    return fit_on_sample(rows.select(F.xxhash64(id_col, text_col).alias("h"), F.col(text_col).alias("t"), F.col(lang_col).alias("y")), most_docs, fit)
 
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per input row: ``id_col``, lang_pred, score (mean marginal), mixture (mean marginal by language) and ``carry``.
 
-    A null text or one without letters, and any text if no language was learned, is ``und`` with score 0.
-    Chains of texts over about a million characters are cut between words. Ties go to the first language by name.
+    A null text or one without letters, and any text if no language was learned, is ``und`` with score 0. A text of
+    any length is one chain. Ties go to the first language by name. Repeated rows come back as often as they are
+    given; an empty table gives no rows, and other columns are ignored.
     """
     rows, sources, kinds = carried(docs, id_col, text_col, carry)
     shared = docs.sparkSession.sparkContext.broadcast(model)

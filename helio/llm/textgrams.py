@@ -81,22 +81,46 @@ class Words:
         return out
 
 
+def _gaps(text: str) -> np.ndarray:
+    return np.flatnonzero(_letters()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")] == 0)
+
+
+def _cut_place(text: str, most: int) -> int:
+    """Where to cut a text of over ``most`` characters: at the last one before that is no letter, else at the next one, else nowhere (its length)."""
+    gaps = _gaps(text[1:most])
+    if len(gaps):
+        return 1 + int(gaps[-1])
+    for lo in range(most, len(text), most):
+        gaps = _gaps(text[lo : lo + most])
+        if len(gaps):
+            return lo + int(gaps[0])
+    return len(text)
+
+
 def pieces(texts: list[str], most: int = 1 << 20):
-    """(index, text) pairs in runs of about ``most`` characters; longer texts are cut between words where there is a space."""
+    """(run, more): (index, text) pairs in runs of about ``most`` characters. Longer texts make runs of their own.
+
+    These are cut where there is no letter, so words and their n-grams are as in the whole text; ``more`` says that
+    the same text goes on in the next run.
+    """
     run, size = [], 0
     for i, t in enumerate(texts):
         t = t or ""
-        while len(t) > most:
-            at = t.rfind(" ", 1, most)
-            at = most if at < 1 else at
+        if len(t) > most:
             if run:
-                yield run
-            yield [(i, t[:at])]
-            run, size, t = [], 0, t[at:]
+                yield run, False
+            while len(t) > most:
+                at = _cut_place(t, most)
+                yield [(i, t[:at])], at < len(t)
+                t = t[at:]
+            if t:
+                yield [(i, t)], False
+            run, size = [], 0
+            continue
         run.append((i, t))
         size += len(t)
         if size >= most:
-            yield run
+            yield run, False
             run, size = [], 0
     if run:
-        yield run
+        yield run, False

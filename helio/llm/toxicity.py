@@ -39,8 +39,8 @@ class Model:
         return [(t @ (self.out[:, 1] - self.out[:, 0])).astype(np.float32) for t in self.tables]
 
 
-def fit(texts: list[str], toxic: list[int], epochs: int = 12, batch: int = 64, rate: float = 1.0, sparse: float = 2e-5, least: int = 3, seed: int = 5) -> Model:
-    """Train on texts with labels 0 and 1. Without texts of both labels the bias alone says which there are.
+def fit(texts: list[str], toxic: list[int], steps: int = 900, batch: int = 64, rate: float = 1.0, sparse: float = 2e-5, least: int = 3, seed: int = 5) -> Model:
+    """Train on texts with labels 0 and 1, which weigh alike, for ``steps`` batches however few texts there are. Without texts of both labels the bias alone says which there are.
 
     Vectors begin at zero, those of features in fewer than ``least`` texts stay there, and an adaptive
     group lasso (``sparse``) pulls back to zero those that are about as frequent under both labels, so rare or unseen neutral words do not sway the mean.
@@ -65,7 +65,8 @@ def fit(texts: list[str], toxic: list[int], epochs: int = 12, batch: int = 64, r
             s[k] = tuple(x[seen[s[k][0]] >= least] for x in s[k])
     squares = [np.full(1 << BITS, 1e-8) for _ in model.tables]
     out_sq, bias_sq = np.full(model.out.shape, 1e-4), np.full(2, 1e-4)
-    for _ in range(epochs):
+    weight = (len(y) / 2 / np.bincount(y, minlength=2))[y]  # both labels count alike
+    for _ in range(-(-steps * batch // len(texts))):
         order = rng.permutation(len(texts))
         for lo in range(0, len(order), batch):
             ids = order[lo : lo + batch]
@@ -79,7 +80,7 @@ def fit(texts: list[str], toxic: list[int], epochs: int = 12, batch: int = 64, r
             logits = v @ model.out + model.bias
             p = np.exp(logits - logits.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
-            diff = (np.eye(2)[y[ids]] - p) / len(ids)
+            diff = (np.eye(2)[y[ids]] - p) * weight[ids, None] / len(ids)
             back = diff @ model.out.T
             for (b, w, r), table, sq, keep in zip(rows, model.tables, squares, pull, strict=True):
                 u, at = np.unique(b, return_inverse=True)
@@ -100,7 +101,7 @@ def _scorer(shared, id_col: str, carry: dict[str, str]):
         for batch in batches:
             texts = batch.column("_text").to_pylist()
             sums, counts = np.zeros(len(texts)), np.zeros(len(texts))
-            for run in pieces(texts):
+            for run, _ in pieces(texts):
                 index = np.array([i for i, _ in run])
                 words = Words([t for _, t in run])
                 if not len(words.starts):
@@ -119,13 +120,13 @@ def _scorer(shared, id_col: str, carry: dict[str, str]):
 
 
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most_each: int = 1500, most_chars: int = 6000) -> Model:
-    """Fit on a bounded sample: for each label the ``most_each`` texts first by a hash of their id among those of up to ``most_chars`` characters."""
-    rows = labelled.where(F.char_length(text_col).between(1, most_chars)).select(F.col(text_col).alias("t"), F.col(label_col).alias("y"), F.xxhash64(id_col).alias("h"))
+    """Fit on a bounded sample: for each label the ``most_each`` texts first by a hash of id and text among those of up to ``most_chars`` characters."""
+    rows = labelled.where(F.char_length(text_col).between(1, most_chars)).select(F.col(text_col).alias("t"), F.col(label_col).alias("y"), F.xxhash64(id_col, text_col).alias("h"))
     return fit_on_sample(rows, most_each, fit, labels=(0, 1))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
-    """One row per input row: ``id_col``, score (probability of label 1) and ``carry``. A text without words gets what the bias alone says; a null text counts as empty."""
+    """One row per input row: ``id_col``, score (probability of label 1) and ``carry``. A text without words gets what the bias alone says; a null text counts as empty. Repeated rows come back as often as they are given; an empty table gives no rows."""
     rows, sources, kinds = carried(docs, id_col, text_col, carry)
     shared = docs.sparkSession.sparkContext.broadcast((model.weights(), float(model.bias[1] - model.bias[0])))
     return rows.mapInArrow(_scorer(shared, id_col, sources), f"{id_col} {rows.schema[id_col].dataType.simpleString()}, score double{kinds}")

@@ -58,10 +58,10 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
             marker = F.when((F.col("role") == role) & (style == k), text).otherwise(marker)
     bare = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(5)) == 0
     raw = turns.withColumn("text", F.concat(F.when(bare, "").otherwise(marker), F.coalesce("text", F.lit(""))))
-    lines = chat.transcript_lines(raw, carry=("role",))
-    model = chat.count_model(lines.where(langid.fold(F.col("conv"), 4) != 2))
-    found = chat.parse_transcripts(lines.drop("role"), model)
-    return found.select(F.col("conv").alias("conv_id"), "block", "turn_no", "role", "text", F.sha2("rendered", 256).alias("rendered_sha256"))
+    rows = chat.transcript_rows(raw, carry=("role",))
+    model = chat.count_model(rows.where(langid.fold(F.col("conv"), 4) != 2))
+    found = chat.parse_transcripts(rows.drop("role"), model)
+    return found.select(F.col("conv").alias("conv_id"), "turn_no", "role", "text", F.sha2("rendered", 256).alias("rendered_sha256"))
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,14 +1,17 @@
 import hashlib
+import itertools
+import re
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from helio.llm import bpe, chat, langid, packing, toxicity
+from helio.llm import bpe, chat, common, langid, packing, textgrams, toxicity
 from helio.llm.components import components
 from helio.llm.exact_dedup import exact_dedup
 from helio.llm.license_scan import license_scan
@@ -59,6 +62,31 @@ def test_license_scan(spark):
     assert got == sorted([twice, twice, (2, 0, 0, None, None, ""), (3, 3, 1, 0, 0, "cc-by-nc"), (None, 2, 0, None, None, "")], key=str)
 
 
+def _license_base(text):
+    """Words, and places of each base phrase, by plain search."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    at = [(i, label) for label, phrase in (("mit", "under the mit license"), ("apache-2", "apache license version 2"), ("cc-by-nc", "cc by nc")) for i in range(len(words)) if words[i : i + len(phrase.split())] == phrase.split()]
+    return len(words), len(at), min((i for i, _ in at), default=None), max((i for i, _ in at), default=None), ",".join(sorted({label for _, label in at}))
+
+
+def test_license_base_against_brute_force(spark):
+    rng = np.random.default_rng(6)
+    bits = ["under the", "mit", "license", "MIT License", "Apache License,", "version 2", "2 cc by", "by-nc", "CC BY NC", "é the", "\u3000 x", "under\x7fthe mit"]
+    texts = [" ".join(rng.choice(bits, int(rng.integers(0, 30)))) for _ in range(300)] + ["cc by " * 4000 + "nc"]
+    out = {r["doc_id"]: tuple(r)[1:6] for r in license_scan(docs(spark, texts)).collect()}
+    assert out == {i: _license_base(t) for i, t in enumerate(texts)}
+
+
+def test_license_spans_are_verified(spark):
+    whole = "permission is hereby granted free of charge to any person obtaining a copy of this software"
+    words = whole.split()
+    loose = " ".join([*words[:6], "now", *words[6:]])
+    part = " ".join(words[:9])
+    out = {r["doc_id"]: (r["labels"], r["score"]) for r in license_scan(docs(spark, [whole, loose, f"{part} {part} {part}", " ".join(words[8:] + words[:8])])).collect()}
+    assert out[0] == ("mit", 1.0) and out[1][0] == "mit" and 0.8 <= out[1][1] < 1
+    assert out[2][0] == "" and out[2][1] <= 0.5 and out[3][0] == ""  # one part again and again, and halves in the wrong order
+
+
 def test_url_filter(spark):
     urls = ["http://A.Example.ORG/es/x?q", "https://example.org/en/12#f", "x.org/no", None, "http://org", "http://a.com/de/", "http://com/fr/1", "http://b.net:80/de/", "ftp://u://v.org/p"]
     out = {r["page_id"]: tuple(r)[1:] for r in url_filter(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rule_table(spark)).collect()}
@@ -173,6 +201,43 @@ def test_near_vectors(spark):
     assert all(out[i] == (0, i, True) for i in (4, 5, 6, 7, 8, 9, 11)) and out[None] == (0, None, True)
 
 
+@pytest.mark.parametrize("cells", [1 << 18, 1 << 10])
+def test_near_vectors_against_brute_force(spark, cells):
+    rng = np.random.default_rng(9)
+    rows = []
+    for label, size, dims in ((0, 130, 64), (1, 130, 64), (1, 40, 20), (2, 30, 5)):
+        heads = rng.standard_normal((size // 4, dims))
+        for k in range(size):
+            noise = rng.standard_normal(dims) * rng.choice([0.0, 0.1, 0.14, 0.2])
+            rows.append((len(rows), ((heads[k % len(heads)] + noise) * rng.choice([1, 1e-200, 1e200])).tolist(), label))
+    rows += [(len(rows) + k, v, 3) for k, v in enumerate([[1e-200, 1e-200], [2e-200, 2e-200], [1e200, 1.0], [2e200, 2.0], [5e-324, 0.0], [0.0, 5e-324]])]
+    out = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), tile_cells=cells).collect()}
+    norm = [np.array(v) / np.abs(v).max() for _, v, _ in rows]
+    norm = [v / np.sqrt((v * v).sum()) for v in norm]
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if rows[i][2] == rows[j][2] and len(norm[i]) == len(norm[j]) and norm[i] @ norm[j] >= 0.98]
+    count, group = [0] * len(rows), list(range(len(rows)))
+    for i, j in links:
+        count[i] += 1
+        count[j] += 1
+        if group[i] != group[j]:
+            lo, hi = sorted((group[i], group[j]))
+            group = [lo if g == hi else g for g in group]
+    assert len(links) > 100 and out == {i: (count[i], group[i]) for i in range(len(rows))}
+
+
+@pytest.mark.parametrize("size", [1, 7, 1000])
+def test_components_in_several_tasks(spark, size):
+    rng = np.random.default_rng(size)
+    pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (220, 2))] + [(500, k) for k in range(501, 560)] + [(k, k + 1) for k in range(600, 640)]
+    group = {x: x for p in pairs for x in p if p[0] != p[1]}
+    for a, b in pairs:
+        if a != b and group[a] != group[b]:
+            lo, hi = sorted((group[a], group[b]))
+            group = {x: lo if g == hi else g for x, g in group.items()}
+    out = components(spark.createDataFrame(pairs, "a long, b long"), rows_a_task=size * 10).collect()
+    assert {r["id"]: r["component"] for r in out} == group and len(out) == len(group)
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 30)] + [(40, 41), (41, 40), (50, 50), (None, 3)], "a long, b long")
     out = {r["id"]: r["component"] for r in components(edges).collect()}
@@ -193,6 +258,34 @@ def test_forward_backward_against_enumeration():
     assert np.allclose(langid.forward_backward(emit, first, trans, start, steps=2)[0], sums / total)
 
 
+def test_samples_are_bounded(spark):
+    rows = spark.range(30_000).select(F.lit(None).cast("long").alias("doc_id"), F.concat(F.lit("t"), F.when(F.col("id") < 20_000, F.lit(1)).otherwise(F.col("id"))).alias("t"), F.lit("en").alias("y"))
+    seen = common.fit_on_sample(rows.select(F.xxhash64("doc_id", "t").alias("h"), "t", "y"), 500, lambda texts, labels: (len(texts), len(set(texts))))
+    assert 450 < seen[0] <= 500 and seen[0] == seen[1]
+
+
+def test_long_texts_are_as_uncut():
+    rng = np.random.default_rng(1)
+    words = ["the", "house", "und", "der", "baum", "tree"]
+    texts = ["the house and the tree", " ".join(rng.choice(words, 3000)) + "," + "x" * 500 + "." + "\u3000".join(rng.choice(words, 200)), "a" * 700, "", None]
+    for most in (64, 1000):
+        whole = [t for run, _ in textgrams.pieces(texts, most) for t in run]
+        assert ["".join(t for i, t in whole if i == k) for k in range(len(texts))] == [t or "" for t in texts]
+        parts = sorted(sum((textgrams.Words([t]).hashes().tolist() for _, t in whole), []))
+        assert parts == sorted(textgrams.Words([t or "" for t in texts]).hashes().tolist())
+    model = langid.fit(["the house and the tree"] * 9 + ["das haus und der baum"] * 9, ["en"] * 9 + ["de"] * 9)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array(texts)], ["doc_id", "_text"])
+    got = []
+    for most in (64, 1 << 20):
+        class Shared:
+            value = model
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(langid, "pieces", lambda t, most=most: textgrams.pieces(t, most))
+            (out,) = langid._predictor(Shared, "doc_id", {})([batch])
+        got.append(out.column("score").to_numpy())
+    assert np.allclose(got[0], got[1], atol=1e-12)
+
+
 def test_language_and_toxicity_learn(spark):
     rows = [(i, ("the house and the tree " if i % 2 else "das haus und der baum ") * 4 + ("idiot" if i % 3 == 0 else "nice") + f" {i}", "en" if i % 2 else "de", int(i % 3 == 0)) for i in range(240)]
     known = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
@@ -203,13 +296,61 @@ def test_language_and_toxicity_learn(spark):
     assert scores[4] > 0.7 > scores[5] and scores[2] == scores[3]
 
 
+def _chat(spark, turns, parts=None):
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").withColumn("lines", F.lit(1))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", str(parts or before))
+        rows = chat.transcript_rows(df, carry=("role",))
+        return chat.parse_transcripts(rows.drop("role"), chat.count_model(rows)).orderBy("conv", "turn_no").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
 def test_chat_roles(spark):
     turns = [(c, t, r, f"{m}: some words {t}\nand more") for c in range(30) for t, (r, m) in enumerate([("user", "User"), ("assistant", "Bot"), ("user", "Q"), ("assistant", "A")])]
-    df = spark.createDataFrame([*turns, (99, 0, "user", None)], "conv_id long, turn long, role string, text string")
-    lines = chat.transcript_lines(df, carry=("role",))
-    out = chat.parse_transcripts(lines.drop("role"), chat.count_model(lines)).where("conv = 7").orderBy("turn_no").collect()
-    assert [r["role"] for r in out] == ["user", "assistant", "user", "assistant"]
-    assert out[0]["rendered"] == "<|user|>\nsome words 0\nand more<|end|>"
+    out = _chat(spark, [*turns, (99, 0, "user", None), (None, None, "user", "User: x"), (None, 3, "assistant", "Bot: y")])
+    mine = [r for r in out if r["conv"] == 7]
+    assert [(r["turn_no"], r["role"]) for r in mine] == [(0, "user"), (1, "assistant"), (2, "user"), (3, "assistant")]
+    assert mine[0]["rendered"] == "<|user|>\nsome words 0\nand more<|end|>"
+    assert [r["text"] for r in out if r["conv"] == 99] == [""] and [r["text"] for r in out if r["conv"] is None] == ["x", "y"]
+    assert chat.parse_transcripts(chat.transcript_rows(spark.createDataFrame([], "conv_id long, turn long, text string")), {"shown": [], "moves": []}).count() == 0
+
+
+def test_chat_keeps_words_that_look_like_markers(spark):
+    text = {"user": "User: Answer: is this it?\nCustomer-facing words\nAI-based words", "assistant": "Assistant: User: yes\nModel-driven"}
+    turns = [(c, t, r, text[r]) for c in range(20) for t, r in enumerate(["user", "assistant"])]
+    out = [(r["role"], r["text"]) for r in _chat(spark, turns) if r["conv"] == 3]
+    assert out == [("user", "Answer: is this it?\nCustomer-facing words\nAI-based words"), ("assistant", "User: yes\nModel-driven")]
+
+
+def test_chat_of_long_conversations_is_as_uncut(spark):
+    rng = np.random.default_rng(4)
+    marks = {"user": ["User: ", "Q: ", ""], "assistant": ["Bot: ", "A: ", ""]}
+    turns = []
+    for c in (1, 2, 3):
+        for t in range(900 if c == 2 else 20):
+            r = ("user", "assistant")[t % 2]
+            turns.append((c, t, r, str(rng.choice(marks[r])) + "\n".join("w" * int(rng.integers(1, 200 if r == "user" else 900)) for _ in range(int(rng.integers(1, 4))))))
+    turns += [(2, 5, "user", "User: again")] * 300  # one place, many times
+    one, many = _chat(spark, turns, 1), _chat(spark, turns, 13)
+    assert one == many and len(one) > 500
+
+
+def test_viterbi_against_enumeration():
+    rng = np.random.default_rng(8)
+    start, move = np.log(rng.random(3)), np.log(rng.random((3, 3)))
+    show = {k: np.log(rng.random(3)) for k in "ab"}
+    text = "abbab"
+    value = lambda p: start[p[0]] + sum(show[c][s] for c, s in zip(text, p, strict=True)) + sum(move[x, y] for x, y in zip(p, p[1:], strict=False))
+    best = max(itertools.product(range(3), repeat=5), key=value)
+    assert tuple(chat.viterbi(list(text), start, move, show, np.zeros(3))) == best
+    first = start + show["a"] + 0
+    parts = [(first[:, None] + chat.transfer(list("b"), move, show, np.zeros(3))).max(0), chat.transfer(list("ba"), move, show, np.zeros(3)), chat.transfer(list("b"), move, show, np.zeros(3))]
+    assert chat.chained(parts) == [(None, best[1]), (best[1], best[3]), (best[3], best[4])]
+    assert tuple(chat.viterbi(list("ba"), start, move, show, np.zeros(3), best[1], best[3])) == best[2:4]
 
 
 @pytest.mark.parametrize("keys", [0, 1, 2, 1000])
@@ -217,4 +358,5 @@ def test_perfect_hash(keys):
     words = [f"k{i}".encode() for i in range(keys)]
     table = bpe.PerfectHash(words)
     assert sorted(table.slot_key) == sorted(words)
-    assert all(table.find(words)) and not any(table.find([b"no", b""])) if keys else table.find([b"no"]) == [False]
+    assert table.find([*words, b"no", b""]) == [*range(keys), None, None]
+    assert bpe.PerfectHash.of_ranks({w: i * 3 for i, w in enumerate(words)}).find(words) == [i * 3 for i in range(keys)]

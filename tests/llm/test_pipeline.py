@@ -68,7 +68,7 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
     expected = _expected(spark, rows, labels)
     for (name, stage), want in zip(corpus_pipeline.STAGES, expected, strict=False):
-        docs = stage(spark, docs, str(tmp_path)).localCheckpoint()
+        docs = stage(spark, docs, str(tmp_path)).checkpoint()
         got = [tuple(r) for r in docs.collect()]
         pick = (lambda r: r[0]) if name == "near_dedup" else (lambda r: r[:2])
         assert Counter(map(pick, got)) == Counter(map(pick, want)), name

@@ -8,6 +8,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 DEFAULT_ZONE = "Australia/Brisbane"
+#: Zone and hours from UTC of the networks.
+NETWORK_ZONES = {"NEM": "Australia/Brisbane", "WEM": "Australia/Perth"}
+NETWORK_OFFSETS = {"NEM": 10, "WEM": 8}
 #: Concentration band and index band of PM2.5.
 PM25_BANDS = ((0.0, 12.0, 0, 50), (12.1, 35.4, 51, 100), (35.5, 55.4, 101, 150), (55.5, 150.4, 151, 200), (150.5, 250.4, 201, 300), (250.5, 500.0, 301, 500))
 
@@ -34,6 +37,22 @@ def time_of_day(hour: Column) -> Column:
     return F.when(hour < 6, "Night").when(hour < 12, "Morning").when(hour < 17, "Afternoon").when(hour < 21, "Evening").when(hour.isNotNull(), "Night")
 
 
+def by_code(code: Column, values: dict, default) -> Column:
+    """The value of a code in a small fixed map, else ``default``."""
+    out = None
+    for k, v in values.items():
+        out = F.when(code == k, v) if out is None else out.when(code == k, v)
+    return F.lit(default) if out is None else out.otherwise(default)
+
+
+def network_zone(network: Column) -> Column:
+    return by_code(network, NETWORK_ZONES, DEFAULT_ZONE)
+
+
+def network_offset(network: Column) -> Column:
+    return by_code(network, NETWORK_OFFSETS, 10)
+
+
 def local_time(ts: Column, zone: Column | str = DEFAULT_ZONE) -> Column:
     return F.from_utc_timestamp(ts, zone)
 

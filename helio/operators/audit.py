@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from helio.operators.ranks import exact_quantiles, with_quantiles
 
 
+PERCENTS = (0.01, 0.05, 0.1, 0.5, 0.9, 0.95, 0.99)
+
+
 def _stack(one_row: DataFrame, columns: list[str], figures: list[str]) -> DataFrame:
     """From one row with <column>__<figure> fields to one row per column."""
     rows = F.array(*[F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{f}").alias(f) for f in figures]) for c in columns])
@@ -40,7 +43,7 @@ def bounds_profile(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> Dat
 
 def quality_summary(df: DataFrame, group: str) -> DataFrame:
     flag = lambda f: F.count_if(F.col("quality_flag") == f).alias(f.lower())
-    return df.groupBy(group).agg(flag("GOOD"), flag("WARNING"), flag("BAD"), F.min("date_hour").alias("first_hour"), F.max("date_hour").alias("last_hour"))
+    return df.groupBy(group).agg(flag("GOOD"), flag("WARNING"), flag("BAD"), F.round(F.try_divide(F.sum(F.col("completeness_pct").cast("decimal(18,6)")).cast("double"), F.count("completeness_pct")), 4).alias("avg_completeness"), F.min("date_hour").alias("first_hour"), F.max("date_hour").alias("last_hour"))
 
 
 def orphan_keys(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
@@ -49,11 +52,11 @@ def orphan_keys(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> Data
     return reduce(DataFrame.unionAll, [one(k, d, c) for k, (d, c) in dims.items()])
 
 
-def distribution(df: DataFrame, column: str, group: list[str], percents=(0.05, 0.5, 0.95), exact: bool = False) -> DataFrame:
-    """Count, least, mean, most and percentiles. ``exact`` ranks values over ranges; the default is the sketch, in one pass."""
+def distribution(df: DataFrame, column: str, group: list[str], percents=PERCENTS, exact: bool = False) -> DataFrame:
+    """Count, least, mean, deviation, most and percentiles. ``exact`` ranks values over ranges; the default is the sketch, in one pass."""
     names = {f"p{round(p * 100)}": p for p in percents}
     mean = F.try_divide(F.sum(F.col(column).cast("decimal(18,6)")).cast("double"), F.count(column))
-    figures = [F.count(column).alias("n"), F.min(column).alias("min_value"), F.round(mean, 4).alias("avg_value"), F.max(column).alias("max_value")]
+    figures = [F.count(column).alias("n"), F.min(column).alias("min_value"), F.round(mean, 4).alias("avg_value"), F.round(F.stddev_samp(column), 2).alias("std_value"), F.max(column).alias("max_value")]
     if not exact:
         return df.groupBy(*group).agg(*figures, *[F.round(F.percentile_approx(column, F.lit(p)), 4).alias(n) for n, p in names.items()])
     out = with_quantiles(df.groupBy(*group).agg(*figures), exact_quantiles(df, column, names, group), group)
@@ -93,3 +96,25 @@ def peak_reference(df: DataFrame, column: str, ts: str, exact: bool = False) ->
     """Most, 95th and 99th percentile and mean of a column from 10 to 14 o'clock."""
     rows = df.where(F.hour(ts).between(10, 14))
     return distribution(rows, column, [], (0.95, 0.99), exact).select("max_value", "p95", "p99", "avg_value")
+
+
+def describe(df: DataFrame, columns: list[str], percents=(0.25, 0.5, 0.75, 0.95, 0.99), exact: bool = False) -> DataFrame:
+    """Distribution of each of several columns, as rows (column_name, n, least, mean, deviation, most, percentiles). The columns are unpivoted, so it is one pass over the table."""
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column_name", "value")
+    return distribution(long, "value", ["column_name"], percents, exact)
+
+
+def bounds_study(tables: list[tuple[DataFrame, dict[str, tuple[float, float]]]], exact: bool = False) -> DataFrame:
+    """``describe`` with 1 to 99 % of the measures of several tables, with the bounds in force and how much room there is on either side of them."""
+    parts = []
+    for df, bounds in tables:
+        limits = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for c, (lo, hi) in bounds.items()])
+        mine = lambda f: F.filter(limits, lambda x: x["c"] == F.col("column_name"))[0][f]
+        parts.append(describe(df, list(bounds), (0.01, 0.05, 0.5, 0.95, 0.99), exact).withColumns({"bound_low": mine("lo"), "bound_high": mine("hi")}))
+    out = reduce(DataFrame.unionByName, parts)
+    return out.withColumns({"room_low": F.round(F.col("min_value") - F.col("bound_low"), 4), "room_high": F.round(F.col("bound_high") - F.col("max_value"), 4)})
+
+
+def span(df: DataFrame, key: str, day: str) -> DataFrame:
+    """Distinct keys, and first and last day."""
+    return df.agg(F.count_distinct(key).alias("keys"), F.min(F.to_date(day)).alias("first_day"), F.max(F.to_date(day)).alias("last_day"))

@@ -2,17 +2,50 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from helio.functions.scalars import date_key, humidity
 from helio.operators.dims import lookup, range_lookup
+from helio.operators.rules import AIR_BOUNDS, WEATHER_BOUNDS
+
+
+#: Columns of the environmental fact and, where they are cast, their types.
+FACT_COLUMNS = {
+    "facility_key": None, "date_key": None, "time_key": None, "aqi_category_key": None, "energy_mwh": "decimal(12,6)", "intervals_count": None,
+    "shortwave_radiation": "decimal(10,4)", "direct_radiation": "decimal(10,4)", "diffuse_radiation": "decimal(10,4)", "direct_normal_irradiance": "decimal(10,4)",
+    "irr_kwh_m2_hour": "decimal(10,6)", "sunshine_hours": "decimal(6,3)", "temperature_2m": None, "dew_point_2m": None, "humidity_2m": None,
+    "cloud_cover": None, "cloud_cover_low": None, "cloud_cover_mid": None, "cloud_cover_high": None, "precipitation": None,
+    "wind_speed_10m": None, "wind_direction_10m": None, "wind_gusts_10m": None, "pressure_msl": None,
+    "pm2_5": None, "pm10": None, "dust": None, "nitrogen_dioxide": None, "ozone": None, "sulphur_dioxide": None, "carbon_monoxide": None, "uv_index": None, "uv_index_clear_sky": None,
+    "aqi_value": None, "is_valid": None, "quality_flag": None, "completeness_pct": None, "yr_weighted_kwh": "decimal(16,6)",
+}
+
+
+def one_per(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row for each key: the first by all other columns, nulls last."""
+    order = [F.col(c).asc_nulls_last() for c in df.columns if c not in keys]
+    return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_rn = 1").drop("_rn")
+
+
+def typed(df: DataFrame, columns: dict[str, str | None], absent: str = "double") -> DataFrame:
+    """The columns of a schema list in its order; what is absent is null, what does not fit its type too."""
+    pick = lambda c, kind: F.col(c) if c in df.columns else F.lit(None).cast(kind or absent)
+    return df.select(*[(pick(c, kind).try_cast(kind) if kind else pick(c, kind)).alias(c) for c, kind in columns.items()])
+
+
+def require(**tables: DataFrame | None) -> None:
+    """Raise if a table is missing or has no rows."""
+    empty = [name for name, df in tables.items() if df is None or df.isEmpty()]
+    if empty:
+        raise ValueError(f"missing or empty: {', '.join(empty)}")
 
 
 def fact_environmental(energy: DataFrame, weather: DataFrame, air: DataFrame, facilities: DataFrame, aqi: DataFrame) -> DataFrame:
-    """One row per energy hour: keys, measures of all sources, completeness and flags. Weather and air join on (facility, hour)."""
-    w = weather.select("facility_code", "date_hour", "shortwave_radiation", "temperature_2m", "dew_point_2m", "cloud_cover", "sunshine_duration").dropDuplicates(["facility_code", "date_hour"])
-    a = air.select("facility_code", "date_hour", "pm2_5", "aqi_value").dropDuplicates(["facility_code", "date_hour"])
+    """One row per energy hour: keys, measures of all sources, completeness and flags. Weather and air join on (facility, hour); of several rows there, the first by their measures counts."""
+    keys = ["facility_code", "date_hour"]
+    w = one_per(weather.select(*keys, *[c for c in WEATHER_BOUNDS if c in weather.columns]), keys)
+    a = one_per(air.select(*keys, *[c for c in AIR_BOUNDS if c in air.columns], "aqi_value"), keys)
     fact = energy.select("facility_code", "date_hour", "energy_mwh", "intervals_count").join(w, ["facility_code", "date_hour"], "left").join(a, ["facility_code", "date_hour"], "left")
     fact = lookup(fact, facilities, [(F.col("facility_code"), "facility_code")], ["facility_key", "total_capacity_mw"])
     fact = range_lookup(fact, "aqi_value", aqi, "aqi_range_min", "aqi_range_max", ["aqi_category_key"])
@@ -34,3 +67,22 @@ def fact_forecast(predictions: DataFrame, actual: str, predicted: str, keys: lis
     ape = F.try_divide(F.abs(a - p), F.abs(a)) * 100
     return predictions.select(F.xxhash64(*keys).alias("forecast_id"), *keys, a.alias("actual"), p.alias("predicted"), (a - p).alias("residual"), F.abs(a - p).alias("absolute_error"),
                               ape.alias("ape_pct"), (100 - ape).alias("accuracy_pct"), F.coalesce(ape <= 10, F.lit(False)).alias("is_accurate_forecast"))
+
+
+def fact_forecast_star(forecast: DataFrame, model: DataFrame, facilities: DataFrame, dates: DataFrame, times: DataFrame) -> DataFrame:
+    """Forecast rows with the attributes of facility, date and time, joined on their keys, and the figures of their model.
+
+    ``forecast``: as from ``fact_forecast`` with facility_key, date_key, time_key and model_version_key; ``model``: a row
+    for each model_version_key with mae, rmse and r2. Types are those of the table.
+    """
+    out = lookup(forecast, facilities, [(F.col("facility_key"), "facility_key")], ["facility_code", "facility_name"])
+    out = lookup(out, dates.withColumnRenamed("day_of_month", "day"), [(F.col("date_key"), "date_key")], ["year", "month", "day"])
+    out = lookup(out, times, [(F.col("time_key"), "time_key")], ["hour"])
+    out = lookup(out, model, [(F.col("model_version_key"), "model_version_key")], ["mae", "rmse", "r2"])
+    dec = lambda c, kind, name: F.col(c).try_cast(kind).alias(name)
+    return out.select(
+        "forecast_id", "facility_key", "date_key", "time_key", "model_version_key", "facility_code", "facility_name", "year", "month", "day", "hour",
+        dec("actual", "decimal(12,6)", "actual_energy_mwh"), dec("predicted", "decimal(12,6)", "predicted_energy_mwh"), dec("residual", "decimal(12,6)", "forecast_error_mwh"),
+        dec("residual", "decimal(12,6)", "residual_mwh"), dec("ape_pct", "decimal(10,4)", "absolute_percentage_error"), dec("ape_pct", "decimal(10,4)", "mape_pct"),
+        dec("accuracy_pct", "decimal(10,4)", "prediction_accuracy_pct"), dec("mae", "decimal(12,6)", "mae_metric"), dec("rmse", "decimal(12,6)", "rmse_metric"), dec("r2", "decimal(10,6)", "r2_score"), "is_accurate_forecast",
+    )

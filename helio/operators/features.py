@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helio.operators.ranks import exact_quantiles, with_quantiles
+from helio.sources.shared import cut
 
 EPSILON = 1e-6
 
@@ -37,6 +38,8 @@ def interactions(df: DataFrame) -> DataFrame:
     sun, t, cloud = F.col("shortwave_radiation"), F.col("temperature_2m"), F.col("cloud_cover")
     ratio = lambda a, b: F.when(b > EPSILON, a / b).otherwise(0.0)
     out = {"radiation_temp_interaction": sun * t, "cloud_radiation_ratio": ratio(cloud, sun), "hour_radiation_interaction": F.col("hour_of_day") * sun, "shortwave_radiation_sq": sun * sun, "temperature_sq": t * t, "cloud_temp_interaction": cloud * t}
+    if "completeness_pct" in df.columns:
+        out["completeness_radiation_interaction"] = F.col("completeness_pct") * sun
     if "wind_speed_10m" in df.columns:
         out["wind_temp_interaction"] = F.col("wind_speed_10m") * t
     if {"direct_radiation", "diffuse_radiation"} <= set(df.columns):
@@ -50,6 +53,44 @@ def indicators(df: DataFrame, least_radiation: float = 10.0, low_energy: float |
     return df if low_energy is None else df.withColumn("is_low_energy_period", F.when(F.col("energy_mwh") <= low_energy, 1.0).otherwise(0.0))
 
 
+#: Features of the production model by group, and the least rows to train on.
+FEATURES = {
+    "Energy Features": ["intervals_count", "completeness_pct"],
+    "Temporal Features": ["hour_of_day", "day_of_week", "month", "is_weekend", "hour_sin", "hour_cos", "month_sin", "month_cos"],
+    "Weather Features": ["temperature_2m", "cloud_cover", "shortwave_radiation", "direct_radiation", "diffuse_radiation", "wind_speed_10m"],
+    "Derived Weather": ["radiation_temp_interaction", "cloud_radiation_ratio", "hour_radiation_interaction", "completeness_radiation_interaction", "wind_temp_interaction", "direct_diffuse_ratio", "shortwave_radiation_sq", "temperature_sq", "cloud_temp_interaction"],
+    "LAG Features": ["energy_lag_1h", "energy_lag_24h", "energy_lag_168h"],
+    "Production Features": ["is_production_hour", "is_low_energy_period"],
+    "Air Quality": ["pm2_5", "pm10", "ozone", "nitrogen_dioxide"],
+}
+LEAST_ROWS = 100
+
+
+def prepare(df: DataFrame, low_energy: float | None = None, lags: bool = True) -> DataFrame:
+    """All features of joined hourly rows: calendar, cycles, lags by rows, interactions, indicators. ``low_energy`` adds the indicator that uses the target."""
+    out = temporal(df)
+    if lags:
+        out = lag_rows(out).withColumnsRenamed({f"energy_mwh_lag_{n}": f"energy_lag_{n}h" for n in (1, 24, 168)})
+    return indicators(interactions(out), low_energy=low_energy)
+
+
+def select_features(df: DataFrame, air: bool = False, target: str = "energy_mwh") -> DataFrame:
+    """Keys, target and those features that the table has."""
+    names = [f for group, fs in FEATURES.items() if air or group != "Air Quality" for f in fs]
+    return df.select("facility_code", "date_hour", target, *[c for c in names if c in df.columns])
+
+
+def validated(df: DataFrame, least_rows: int = LEAST_ROWS) -> DataFrame:
+    """Lags that are null become 0, rows with other nulls go (keys may be null); too few rows raise. The check stops counting at ``least_rows``."""
+    lags = [c for c in df.columns if "lag" in c]
+    out = df.fillna(0.0, lags) if lags else df
+    out = out.dropna(subset=[c for c in out.columns if c not in ("facility_code", "date_hour", *lags)])
+    n = out.limit(least_rows).count()
+    if n < least_rows:
+        raise ValueError(f"insufficient data: {n} rows (at least {least_rows})")
+    return out
+
+
 def temporal_split(df: DataFrame, ts: str = "date_hour", tie: str = "facility_code", train: float = 0.70, validate: float = 0.15) -> DataFrame:
     """Label rows train, validation or test by their place in time order.
 
@@ -99,12 +140,53 @@ def train_trees(df: DataFrame, features: list[str], label: str, kind: str = "gbt
     return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip"), tree]).fit(df.dropna(subset=[label]))
 
 
+def importances(spark, model, features: list[str]) -> DataFrame:
+    """(feature_name, importance) of a fitted pipeline; as many rows as features."""
+    return spark.createDataFrame([(f, float(v)) for f, v in zip(features, model.stages[-1].featureImportances.toArray(), strict=True)], "feature_name string, importance double")
+
+
+def category_of(name: Column) -> Column:
+    """The group of a feature."""
+    out = None
+    for group, names in FEATURES.items():
+        out = F.when(name.isin(names), group) if out is None else out.when(name.isin(names), group)
+    return out.otherwise(F.when(name.contains("lag"), "LAG Features").otherwise("Other"))
+
+
+def rank_importances(df: DataFrame, top: int = 15, version: int = 1) -> DataFrame:
+    """The importance dimension from (feature_name, feature_category, importance): percentages, running share, ranks overall and in the category, flags.
+
+    Ties go by name. The window over all features is small: a model has a bounded number of them.
+    """
+    order = [F.desc("importance"), F.asc("feature_name")]
+    rank, inside = F.row_number().over(Window.orderBy(*order)), F.row_number().over(Window.partitionBy("feature_category").orderBy(*order))
+    running = F.sum(F.col("importance").cast("decimal(20,10)")).over(Window.orderBy(*order)).cast("double")
+    return df.select(
+        rank.alias("feature_importance_key"), "feature_name", "feature_category", F.col("importance").alias("importance_value"), F.round(F.col("importance") * 100, 6).alias("importance_percentage"),
+        F.round(running * 100, 6).alias("cumulative_importance"), rank.alias("rank_overall"), inside.alias("rank_in_category"), (rank <= top).alias("is_top_15"), F.col("feature_name").contains("lag").alias("is_lag_feature"), F.lit(version).alias("model_version_key"))
+
+
+def top_features(ranked: DataFrame, n: int = 15) -> DataFrame:
+    return ranked.orderBy("rank_overall").limit(n)
+
+
 def importance_rank(spark, model, features: list[str], top: int = 15) -> DataFrame:
-    """Features by importance with rank, running share and flags; as many rows as features."""
-    rows = [(f, float(v), "lag" in f) for f, v in zip(features, model.stages[-1].featureImportances.toArray(), strict=True)]
-    order = Window.orderBy(F.desc("importance"), "feature_name")
-    df = spark.createDataFrame(rows, "feature_name string, importance double, is_lag_feature boolean")
-    return df.withColumns({"rank": F.row_number().over(order), "cumulative": F.sum("importance").over(order)}).withColumn("is_top", F.col("rank") <= top)
+    """Features of a fitted pipeline by importance, as ``rank_importances`` has them."""
+    return rank_importances(importances(spark, model, features).withColumn("feature_category", category_of(F.col("feature_name"))), top)
+
+
+def train_evaluate(rows: DataFrame, features: list[str], label: str, kind: str = "gbt", **params) -> tuple:
+    """Split by time, fit on the training part, and give the pipeline, the metrics of validation and test part (split, n, rmse and so on) and the ranked importances.
+
+    ``rows`` are cut first: they are read once for each tree otherwise.
+    """
+    split = cut(temporal_split(rows))
+    model = train_trees(split.where("split = 'train'"), features, label, kind, **params)
+    figures = None
+    for part in ("validation", "test"):
+        one = metrics(model.transform(split.where(F.col("split") == part)), label, "prediction").withColumn("split", F.lit(part))
+        figures = one if figures is None else figures.unionByName(one)
+    return model, figures, importance_rank(rows.sparkSession, model, features)
 
 
 def residual_stats(df: DataFrame, label: str, predicted: str, exact: bool = False) -> DataFrame:

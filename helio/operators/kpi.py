@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+
 def performance_ratio() -> Column:
     """Energy over what the irradiance allows, in percent."""
     total = lambda c, kind: F.sum(F.col(c).cast(kind)).cast("double")
@@ -42,14 +43,20 @@ def pr_sensitivity(fact: DataFrame, spark: SparkSession, thresholds=(0.02, 0.05,
 
 
 def filter_waterfall(fact: DataFrame) -> DataFrame:
-    """Rows that pass each filter alone and all filters so far."""
-    steps = [("energy_positive", F.col("energy_mwh") > 0), ("has_capacity", F.col("total_capacity_mw") > 0), ("irradiance", F.col("irr_kwh_m2_hour") >= 0.02), ("good_quality", F.col("quality_flag") == "GOOD")]
+    """Rows that pass each filter alone and all filters so far, as shares, and what is lost against the step before and in all."""
+    steps = [("no_filter", F.lit(True)), ("energy_positive", F.col("energy_mwh") > 0), ("has_capacity", F.col("total_capacity_mw") > 0), ("irradiance", F.col("irr_kwh_m2_hour") >= 0.02), ("good_quality", F.col("quality_flag") == "GOOD")]
     so_far, aggs = F.lit(True), []
     for i, (_, cond) in enumerate(steps):
         so_far = so_far & cond
         aggs += [F.count_if(cond).alias(f"a{i}"), F.count_if(so_far).alias(f"c{i}")]
-    rows = F.array(*[F.struct(F.lit(i + 1).alias("step"), F.lit(n).alias("filter_name"), F.col(f"a{i}").alias("alone"), F.col(f"c{i}").alias("cumulative"), (F.col("total" if not i else f"c{i - 1}") - F.col(f"c{i}")).alias("lost")) for i, (n, _) in enumerate(steps)])
-    return fact.agg(F.count(F.lit(1)).alias("total"), *aggs).select(F.inline(rows))
+    pct = lambda part, whole: F.round(F.try_divide(part * 100.0, whole), 4)
+    total = F.col("total")
+    rows = []
+    for i, (n, _) in enumerate(steps):
+        alone, kept = F.col(f"a{i}"), F.col(f"c{i}")
+        before = F.col(f"c{i - 1}") if i else total
+        rows.append(F.struct(F.lit(i).alias("step"), F.lit(n).alias("filter_name"), alone.alias("alone"), pct(alone, total).alias("alone_pct"), kept.alias("cumulative"), pct(kept, total).alias("retention_pct"), (before - kept).alias("lost"), pct(before - kept, before).alias("lost_pct"), pct(total - kept, total).alias("total_loss_pct")))
+    return fact.agg(F.count(F.lit(1)).alias("total"), *aggs).select(F.inline(F.array(*rows)))
 
 
 def plant_kpis(fact: DataFrame) -> DataFrame:
@@ -61,8 +68,9 @@ def plant_kpis(fact: DataFrame) -> DataFrame:
 
 
 def kpi_rows(kpis: DataFrame) -> DataFrame:
-    """The same as (facility, metric, value)."""
-    return kpis.unpivot("facility_code", [c for c in kpis.columns if c != "facility_code"], "metric", "value")
+    """The same as (facility, metric, value, unit)."""
+    rows = kpis.unpivot("facility_code", [c for c in kpis.columns if c != "facility_code"], "metric", "value")
+    return rows.withColumn("unit", F.when(F.col("metric") == "total_mwh", "MWh").when(F.col("metric") == "specific_yield", "kWh/kWp").otherwise("%"))
 
 
 #: Named filters of the study.
@@ -108,3 +116,22 @@ def daily_stats(fact: DataFrame) -> DataFrame:
     days = fact.groupBy("facility_code", "date_key").agg(F.sum(F.col("energy_mwh").cast("decimal(18,6)")).alias("_sum"), F.count("energy_mwh").alias("_n"))
     mean = lambda c: F.round(F.try_divide(F.sum(c).cast("double"), F.count(c)), 4)
     return days.groupBy("facility_code").agg(F.count(F.lit(1)).alias("days"), mean("_sum").alias("avg_daily_mwh"), mean("_n").alias("avg_daily_rows"))
+
+
+def daily_totals(fact: DataFrame) -> DataFrame:
+    """Energy and irradiation of all facilities by day."""
+    total = lambda c: F.round(F.sum(F.col(c).cast("decimal(18,6)")).cast("double"), 4)
+    return fact.groupBy("date_key").agg(total("energy_mwh").alias("total_mwh"), total("irr_kwh_m2_hour").alias("total_irradiation"), F.count(F.lit(1)).alias("row_count"))
+
+
+#: Fixed value: capacity in MW where none is known.
+DEFAULT_CAPACITY_MW = 102.0
+
+
+def local_hours(energy: DataFrame, facilities: DataFrame, weather: DataFrame, capacity: float = DEFAULT_CAPACITY_MW) -> DataFrame:
+    """Energy rows with their facility's capacity (``capacity`` where that is unknown) and the weather of their facility at the same local date and hour; rows without weather go."""
+    at = lambda df: [F.to_date("date_hour").alias("local_date"), F.hour("date_hour").alias("hour")]
+    known = energy.select("facility_code", *at(energy), "energy_mwh").join(facilities.select("facility_code", "total_capacity_mw"), "facility_code", "left")
+    known = known.withColumn("total_capacity_mw", F.coalesce(F.col("total_capacity_mw").cast("double"), F.lit(capacity)))
+    w = weather.select("facility_code", *at(weather), (F.col("shortwave_radiation") / 1000.0).alias("irr_kwh_m2_hour"), "temperature_2m", "wind_speed_10m", "cloud_cover")
+    return known.join(w, ["facility_code", "local_date", "hour"]).withColumn("date_key", F.date_format("local_date", "yyyyMMdd").cast("int"))

@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _fixed(ranges: DataFrame) -> DataFrame:
-    """The ranges are drawn once: a second drawing could differ."""
-    return ranges.checkpoint(eager=True) if ranges.sparkSession.sparkContext.getCheckpointDir() else ranges.localCheckpoint(eager=True)
+from helio.sources.shared import cut
 
 
 def global_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
@@ -19,7 +16,7 @@ def global_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """
     keys = [f"_o{i}" for i in range(len(order))]
     ranges = df.withColumns(dict(zip(keys, order, strict=True))).repartitionByRange(*[F.col(k).asc_nulls_last() for k in keys]).withColumn("_range", F.spark_partition_id())
-    ranges = _fixed(ranges)
+    ranges = cut(ranges)  # a second drawing of ranges could differ
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     base = ranges.groupBy("_range").count().select("_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_base"))
     inside = F.row_number().over(Window.partitionBy("_range").orderBy(*[F.col(k).asc_nulls_last() for k in keys]))
@@ -34,7 +31,7 @@ def exact_quantiles(df: DataFrame, column: str, percents: dict[str, float], grou
     """
     by = [f"_g{i}" for i in range(len(group))]
     counts = df.select(*[F.col(g).alias(b) for g, b in zip(group, by, strict=True)], F.col(column).cast("double").alias("_v")).where("_v IS NOT NULL").groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranges = _fixed(counts.repartitionByRange(*by, "_v").withColumn("_range", F.spark_partition_id()))
+    ranges = cut(counts.repartitionByRange(*by, "_v").withColumn("_range", F.spark_partition_id()))
     part = ranges.groupBy(*by, "_range").agg(F.sum("_c").alias("_n")).withColumnsRenamed({b: f"_b{b}" for b in by} | {"_range": "_r"})
     whole = Window.partitionBy(*[f"_b{b}" for b in by])
     before = whole.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)

@@ -19,6 +19,7 @@ AIR_BOUNDS = {
     "pm2_5": (0.0, 500.0), "pm10": (0.0, 500.0), "dust": (0.0, 500.0), "nitrogen_dioxide": (0.0, 500.0), "ozone": (0.0, 500.0),
     "sulphur_dioxide": (0.0, 500.0), "carbon_monoxide": (0.0, 500.0), "uv_index": (0.0, 15.0), "uv_index_clear_sky": (0.0, 15.0),
 }
+#: Fixed value: energy of a full peak hour; hours and shares in the rules below are fixed values too.
 PEAK_MWH = 186.0
 
 

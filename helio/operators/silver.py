@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from helio.functions.scalars import aqi_from_pm25, aqi_label, clean_number, local_time, row_hash
+from helio.functions.scalars import DEFAULT_ZONE, aqi_from_pm25, aqi_label, by_code, clean_number, local_time, row_hash
 from helio.operators.rules import AIR_BOUNDS, WEATHER_BOUNDS, air_rules, apply_rules, energy_rules, weather_rules
 
 
@@ -14,10 +14,13 @@ def with_columns_or_null(df: DataFrame, names, kind: str = "double") -> DataFram
     return df.withColumns({c: F.lit(None).cast(kind) for c in names if c not in df.columns})
 
 
-def hourly_energy(readings: DataFrame, zone: str = "Australia/Brisbane") -> DataFrame:
-    """Energy by facility and local hour (labelled by its end), with quality rules. Sums are decimal, so their order does not matter."""
+def hourly_energy(readings: DataFrame, zone: str = DEFAULT_ZONE, zones: dict[str, str] | None = None) -> DataFrame:
+    """Energy by facility and local hour (labelled by its end), with quality rules. Sums are decimal, so their order does not matter.
+
+    ``zones`` has the zones of facilities by code; the others are in ``zone``.
+    """
     rows = readings.where("facility_code IS NOT NULL AND interval_ts IS NOT NULL AND metric = 'energy'").withColumn("value", clean_number(F.col("value")))
-    hour = F.date_trunc("hour", local_time(F.col("interval_ts"), zone) + F.expr("INTERVAL 1 HOUR"))
+    hour = F.date_trunc("hour", local_time(F.col("interval_ts"), by_code(F.col("facility_code"), zones or {}, zone)) + F.expr("INTERVAL 1 HOUR"))
     out = (
         rows.groupBy("facility_code", "facility_name", "network_code", "network_region", hour.alias("date_hour"))
         .agg(F.sum(F.col("value").cast("decimal(18,6)")).cast("double").alias("energy_mwh"), F.count("value").alias("intervals_count"))
@@ -27,9 +30,9 @@ def hourly_energy(readings: DataFrame, zone: str = "Australia/Brisbane") -> Data
     return apply_rules(out, energy_rules(F.hour("date_hour"), F.col("energy_mwh"))).drop("is_valid")
 
 
-def forward_fill(df: DataFrame, column: str, key: str, order: str, most_rows: int = 100) -> DataFrame:
-    """Fill nulls with the last known value among the ``most_rows`` rows before."""
-    before = Window.partitionBy(key).orderBy(order).rowsBetween(-most_rows, 0)
+def forward_fill(df: DataFrame, column: str, keys: list[str], order: str, most_rows: int = 100) -> DataFrame:
+    """Fill nulls with the last known value among the ``most_rows`` rows before with equal ``keys``."""
+    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(-most_rows, 0)
     return df.withColumn(column, F.coalesce(column, F.last(column, ignorenulls=True).over(before)))
 
 
@@ -40,7 +43,7 @@ def _clean(df: DataFrame, time_col: str, measures) -> DataFrame:
 
 
 def hourly_weather(raw: DataFrame) -> DataFrame:
-    rows = forward_fill(_clean(raw, "weather_timestamp", WEATHER_BOUNDS), "total_column_integrated_water_vapour", "facility_code", "weather_timestamp")
+    rows = forward_fill(_clean(raw, "weather_timestamp", WEATHER_BOUNDS), "total_column_integrated_water_vapour", ["facility_code", "date"], "weather_timestamp")
     return apply_rules(rows, weather_rules(F.hour("weather_timestamp"))).select("facility_code", "facility_name", "date_hour", "date", *WEATHER_BOUNDS, "is_valid", "quality_flag", "quality_issues")
 
 
@@ -55,3 +58,38 @@ def scd2(history: DataFrame, key: str, effective: str, attributes: list[str], ti
     hashed = history.withColumn("row_hash", row_hash(attributes)).withColumn("_before", F.lag("row_hash").over(order))
     changed = hashed.where(F.col("_before").isNull() | (F.col("_before") != F.col("row_hash"))).withColumn("effective_to", F.lead(effective).over(order))
     return changed.withColumn("is_current", F.col("effective_to").isNull()).select(key, effective, "effective_to", *attributes, "row_hash", "is_current")
+
+
+#: Decimal columns of the facility master, and the attributes whose change starts a new version.
+MASTER_DECIMALS = {"location_lat": "decimal(10,6)", "location_lng": "decimal(10,6)", "total_capacity_mw": "decimal(10,4)", "total_capacity_registered_mw": "decimal(10,4)", "total_capacity_maximum_mw": "decimal(10,4)"}
+MASTER_ATTRIBUTES = ["facility_name", "network_id", "network_region", "location_lat", "location_lng", "unit_count", "total_capacity_mw", "total_capacity_registered_mw", "total_capacity_maximum_mw", "unit_fueltech_summary", "unit_status_summary", "facility_description"]
+
+
+def facility_master(raw: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """Versions of facilities with validity: facility_code, effective_from and to, attributes, row_hash, is_current, is_valid, quality_flag.
+
+    ``raw`` has an effective_from; columns that it lacks are null. The current versions of ``existing`` stand before
+    the new rows, so an unchanged facility makes no new version; they come back with their end, to be upserted on
+    (facility_code, effective_from).
+    """
+    rows = with_columns_or_null(raw.where("facility_code IS NOT NULL"), MASTER_DECIMALS, "double")
+    rows = with_columns_or_null(rows, ["unit_count"], "int")
+    rows = with_columns_or_null(rows, MASTER_ATTRIBUTES, "string")
+    rows = rows.withColumns({c: F.col(c).try_cast(kind) for c, kind in MASTER_DECIMALS.items()})
+    columns = ["facility_code", "effective_from", *MASTER_ATTRIBUTES]
+    rows = rows.select(*columns, F.lit(1).alias("_source"))
+    if existing is not None:
+        rows = existing.where("is_current").select(*columns, F.lit(0).alias("_source")).unionByName(rows)
+    out = scd2(rows, "facility_code", "effective_from", MASTER_ATTRIBUTES, "_source")
+    return out.withColumn("is_valid", F.coalesce(F.col("total_capacity_mw") > 0, F.lit(False))).withColumn("quality_flag", F.when(F.col("is_valid"), "GOOD").otherwise("CAPACITY_INVALID"))
+
+
+def with_load_times(df: DataFrame, now: Column) -> DataFrame:
+    """created_at (kept where it is known) and updated_at."""
+    created = F.coalesce("created_at", now) if "created_at" in df.columns else now
+    return df.withColumn("created_at", created).withColumn("updated_at", now)
+
+
+def ingested(df: DataFrame, mode: str, now: Column) -> DataFrame:
+    """Columns that say how and when rows came in: ingest_mode, ingest_timestamp, ingest_date."""
+    return df.withColumns({"ingest_mode": F.lit(mode), "ingest_timestamp": now, "ingest_date": F.to_date(now)})

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from helio.sources.shared import cut
+
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key, the first by ``order``. Give a full order: ties are otherwise broken at will."""
@@ -19,18 +21,53 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: list[str], order:
     return target.join(source.select(*keys), keys, "left_anti").unionByName(source, allowMissingColumns=True)
 
 
+def wide_keys(columns: list[str]) -> list[str]:
+    """Key of an hourly table, from its columns: the facility and its weather time, else its air time, else its date."""
+    times = [c for c in ("weather_timestamp", "air_timestamp", "date") if c in columns]
+    if not times:
+        raise ValueError("no time column to merge on")
+    return ["facility_code", times[0]]
+
+
+def upsert_listed(target: DataFrame | None, source: DataFrame, columns: list[str], keys: list[str] | None = None) -> DataFrame:
+    """Upsert that sets only ``columns`` (and keys): other columns of rows that exist stay, those of new rows are null.
+
+    Without ``keys`` they come from the source's schema. The source has each key once. One shuffle of either side.
+    """
+    keys = keys or wide_keys(source.columns)
+    rows = source.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(c).alias(f"_s_{c}") for c in columns if c not in keys], F.lit(True).alias("_new"))
+    if target is None:
+        return source.select(*keys, *[c for c in columns if c not in keys])
+    on = [F.col(k) == F.col(f"_k_{k}") for k in keys]
+    both = target.join(rows, on, "full_outer")
+    out = [F.coalesce(c, f"_k_{c}").alias(c) if c in keys else F.when(F.col("_new"), F.col(f"_s_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in target.columns]
+    return both.select(*out)
+
+
+def backfill(source: DataFrame, path: str, keys: list[str], order: list[Column]) -> None:
+    """Overwrite a whole table with the latest row of each key."""
+    latest_per_key(source, keys, order).write.mode("overwrite").parquet(path)
+
+
 def upsert_partitions(spark, path: str, source: DataFrame, keys: list[str], partition: str, order: list[Column] | None = None) -> None:
-    """Upsert into a partitioned Parquet table; only partitions that the source touches are rewritten, through a checkpoint."""
+    """Upsert into a partitioned Parquet table, through a checkpoint. Only partitions that hold a key of the source, or will, are rewritten; so a key that moves leaves its old one."""
     try:
         target = spark.read.parquet(path)
     except Exception as e:  # no table yet
         if "PATH_NOT_FOUND" not in str(e):
             raise
         target = None
+    whole = target
     if target is not None:
-        target = target.join(source.select(partition).distinct(), partition, "left_semi")
-    merged = upsert(target, source, keys, order).checkpoint()
-    overwrite_partitions(merged, path, partition)
+        held = target.join(source.select(*keys), keys, "left_semi").select(partition).distinct()
+        touched = cut(held.unionByName(source.select(partition)).distinct())
+        target = target.join(touched, partition, "left_semi")
+    merged = cut(upsert(target, source, keys, order))
+    if target is not None and not touched.join(merged.select(partition).distinct(), partition, "left_anti").isEmpty():
+        # A partition has lost its last row; dynamic mode would leave it, so this once the table is written as a whole.
+        cut(upsert(whole, source, keys, order)).write.mode("overwrite").partitionBy(partition).parquet(path)
+    else:
+        overwrite_partitions(merged, path, partition)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition: str, most_rows: int = 5_000_000) -> None:

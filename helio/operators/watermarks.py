@@ -11,14 +11,29 @@ def next_hour(df: DataFrame, ts: str) -> DataFrame:
     return df.agg((F.max(ts) + F.expr("INTERVAL 1 HOUR")).alias("start_ts"))
 
 
-def reload_day(df: DataFrame, ts: str) -> DataFrame:
-    """Start of the next load: the day of the last row, which is loaded again."""
-    return df.agg(F.to_date(F.max(ts)).alias("start_date"))
+def reload_day(df: DataFrame, ts: str, today: Column) -> DataFrame:
+    """Start of the next load: the day of the last row, which is loaded again; for an empty table the day before ``today``."""
+    return df.agg(F.coalesce(F.to_date(F.max(ts)), F.date_sub(today, 1)).alias("start_date"))
 
 
-def lookback(df: DataFrame, ts: str, hours: int) -> DataFrame:
-    """Start of the next load: ``hours`` before the last hour."""
-    return df.agg((F.max(ts) - F.expr(f"INTERVAL {hours} HOURS")).alias("start_ts"))
+def check_window(start, end) -> None:
+    """Raise unless the end is at or after the start."""
+    if end < start:
+        raise ValueError(f"end {end} is before start {start}")
+
+
+def lookback(df: DataFrame, ts: str, hours: int, now: Column | None = None) -> DataFrame:
+    """Start of the next load: ``hours`` before the last hour, or before the hour of ``now`` if the last one is later; null for an empty table."""
+    last = F.date_trunc("hour", F.max(ts))
+    if now is not None:
+        last = F.when(last.isNotNull(), F.least(last, F.date_trunc("hour", now)))
+    return df.agg((last - F.expr(f"INTERVAL {hours} HOURS")).alias("start_ts"))
+
+
+def next_day(df: DataFrame, day: str, today: Column) -> DataFrame:
+    """Start of the next load of a table kept by day: the day after the last one, ``today`` at the latest; null for an empty table."""
+    last = F.max(day)
+    return df.agg(F.when(last.isNotNull(), F.least(F.date_add(last, 1), today)).alias("start_date"))
 
 
 def first_load(df: DataFrame, ts: str, asked: Column | None = None) -> DataFrame:
@@ -28,14 +43,16 @@ def first_load(df: DataFrame, ts: str, asked: Column | None = None) -> DataFrame
 
 
 def gold_start(fact: DataFrame, sources: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """The last loaded day (loaded again), else the least of the sources' last times."""
+    """start_ts and start_key: the last loaded day (loaded again), else what follows the least of the sources' last times: the next hour, or the next day for dates."""
     lasts = None
     for df, ts in sources.values():
-        one = df.agg(F.max(ts).alias("t"))
+        step = F.date_add(F.max(ts), 1).cast("timestamp") if dict(df.dtypes)[ts] == "date" else F.max(ts) + F.expr("INTERVAL 1 HOUR")
+        one = df.agg(step.alias("t"))
         lasts = one if lasts is None else lasts.unionAll(one)
     last = fact.agg(F.max("date_key").alias("k"))
     both = last.crossJoin(lasts.agg(F.min("t").alias("t")))  # one row each
-    return both.select(F.coalesce("k", F.date_format("t", "yyyyMMdd").cast("int")).alias("start_key"))
+    start = F.coalesce(F.to_timestamp(F.col("k").cast("string"), "yyyyMMdd"), "t")
+    return both.select(start.alias("start_ts"), F.date_format(start, "yyyyMMdd").cast("int").alias("start_key"))
 
 
 def within(ts: str, start, end) -> Column:

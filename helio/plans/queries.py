@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +12,7 @@ from helio.operators import audit, dims, facts, features, kpi, silver, upsert, w
 from helio.operators.rules import AIR_BOUNDS, WEATHER_BOUNDS
 from helio.plans.sample import VIEWS, view
 from helio.sources import nested
+from helio.sources.shared import shared_folder
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -40,7 +40,7 @@ CTES["energy"] = """SELECT facility_code, facility_name, network_code, network_r
  concat_ws('|', CASE WHEN r1 THEN 'OUT_OF_BOUNDS' END, CASE WHEN r2 THEN 'NIGHT_ENERGY_ANOMALY' END, CASE WHEN r3 THEN 'DAYTIME_ZERO_ENERGY' END, CASE WHEN r4 THEN 'EQUIPMENT_DOWNTIME' END,
  CASE WHEN r5 THEN 'TRANSITION_HOUR_LOW_ENERGY' END, CASE WHEN r6 THEN 'PEAK_HOUR_LOW_ENERGY' END) AS quality_issues,
  CASE WHEN r1 THEN 'BAD' WHEN r2 OR r3 OR r4 OR r5 OR r6 THEN 'WARNING' ELSE 'GOOD' END AS quality_flag FROM energy1"""
-_fill = "coalesce(total_column_integrated_water_vapour, last_value(total_column_integrated_water_vapour IGNORE NULLS) OVER (PARTITION BY facility_code ORDER BY weather_timestamp ROWS BETWEEN 100 PRECEDING AND CURRENT ROW))"
+_fill = "coalesce(total_column_integrated_water_vapour, last_value(total_column_integrated_water_vapour IGNORE NULLS) OVER (PARTITION BY facility_code, CAST(weather_timestamp AS DATE) ORDER BY weather_timestamp ROWS BETWEEN 100 PRECEDING AND CURRENT ROW))"
 CTES["weather0"] = f"SELECT facility_code, facility_name, weather_timestamp AS date_hour, {', '.join(f'round({c}, 4) AS {c}' for c in _W[:-1])}, round({_fill}, 4) AS {_W[-1]} FROM raw_weather"
 _wr = {
     "NIGHT_RADIATION_SPIKE": f"coalesce(({_h} < 6 OR {_h} >= 22) AND shortwave_radiation > 100, false)",
@@ -64,7 +64,7 @@ CTES["air"] = f"""SELECT facility_code, facility_name, date_hour, CAST(date_hour
  concat_ws('|', {_ai}, CASE WHEN aqi_value NOT BETWEEN 0 AND 500 THEN 'AQI_OUT_OF_RANGE' END) AS quality_issues FROM air1"""
 CTES["aqi"] = "SELECT * FROM (VALUES " + ", ".join(str(r) for r in dims.AQI_RANGES) + ") v(aqi_category_key, aqi_category, aqi_range_min, aqi_range_max, pm2_5_min, pm2_5_max)"
 CTES["fac"] = "SELECT CAST(row_number() OVER (ORDER BY facility_code) AS INTEGER) AS facility_key, facility_code, facility_name, CAST(location_lat AS DECIMAL(10,6)) AS location_lat, CAST(location_lng AS DECIMAL(10,6)) AS location_lng, CAST(total_capacity_mw AS DECIMAL(10,4)) AS total_capacity_mw FROM raw_facilities"
-CTES["fact0"] = """SELECT e.facility_code, e.date_hour, e.energy_mwh, e.intervals_count, w.shortwave_radiation, w.temperature_2m, w.dew_point_2m, w.cloud_cover, w.sunshine_duration, a.pm2_5, a.aqi_value,
+CTES["fact0"] = f"""SELECT e.facility_code, e.date_hour, e.energy_mwh, e.intervals_count, {', '.join(f'w.{c}' for c in WEATHER_BOUNDS)}, {', '.join(f'a.{c}' for c in AIR_BOUNDS)}, a.aqi_value,
  f.facility_key, f.total_capacity_mw, q.aqi_category_key, CAST(strftime(e.date_hour, '%Y%m%d') AS INTEGER) AS date_key, CAST(extract(hour FROM e.date_hour) AS INTEGER) AS time_key,
  CAST((CASE WHEN e.energy_mwh IS NULL THEN 0 ELSE 33.33 END) + (CASE WHEN w.shortwave_radiation IS NULL THEN 0 ELSE 33.33 END) + (CASE WHEN a.pm2_5 IS NULL THEN 0 ELSE 33.34 END) AS DECIMAL(5,2)) AS completeness_pct,
  coalesce(e.energy_mwh >= 0, false) AS is_valid, w.shortwave_radiation / 1000E0 AS irr_kwh_m2_hour, w.sunshine_duration / 3600E0 AS sunshine_hours,
@@ -157,8 +157,8 @@ def hourly_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT facility_code, weather_timestamp, {_fill} AS total_column_integrated_water_vapour FROM raw_weather")
 def weather_ffill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = view(spark, sf_dir, "raw_weather").select("facility_code", "weather_timestamp", "total_column_integrated_water_vapour")
-    return silver.forward_fill(rows, "total_column_integrated_water_vapour", "facility_code", "weather_timestamp")
+    rows = view(spark, sf_dir, "raw_weather").select("facility_code", "weather_timestamp", F.to_date("weather_timestamp").alias("day"), "total_column_integrated_water_vapour")
+    return silver.forward_fill(rows, "total_column_integrated_water_vapour", ["facility_code", "day"], "weather_timestamp").drop("day")
 
 
 @query("SELECT * FROM air")
@@ -228,13 +228,17 @@ def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return upsert.latest_per_key(view(spark, sf_dir, "orders"), ["o_custkey"], [F.desc("o_orderdate"), F.desc("o_orderkey")]).select("o_orderkey", "o_custkey", "o_orderdate")
 
 
-_SRC = "SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus FROM orders WHERE o_orderkey % 3 = 0"
+_SRC = "SELECT CASE WHEN l_returnflag = 'R' THEN -l_orderkey ELSE l_orderkey END AS o_orderkey, max(l_suppkey) AS o_custkey, max(l_returnflag) AS o_orderstatus FROM lineitem WHERE l_shipdate >= TIMESTAMP '1996-01-01 00:00:00' GROUP BY 1"
 
 
-@query(f"SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderkey % 2 = 0 AND o_orderkey NOT IN (SELECT o_orderkey FROM ({_SRC})) UNION ALL {_SRC}")
+@query(f"SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM ({_SRC})) UNION ALL SELECT * FROM ({_SRC})")
 def upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders, with changes from lines shipped since 1996: those of an order change it, returned ones make an order of their own (negative key)."""
     orders = view(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    return upsert.upsert(orders.where("o_orderkey % 2 = 0"), orders.where("o_orderkey % 3 = 0").withColumn("o_orderstatus", F.lit("U")), ["o_orderkey"], [F.desc("o_custkey")])
+    lines = view(spark, sf_dir, "lineitem").where(F.col("l_shipdate") >= F.lit("1996-01-01").cast("timestamp"))
+    key = F.when(F.col("l_returnflag") == "R", -F.col("l_orderkey")).otherwise(F.col("l_orderkey"))
+    changes = lines.select(key.alias("o_orderkey"), F.col("l_suppkey").alias("o_custkey"), F.col("l_returnflag").alias("o_orderstatus")).groupBy("o_orderkey").agg(F.max("o_custkey").alias("o_custkey"), F.max("o_orderstatus").alias("o_orderstatus"))
+    return upsert.upsert(orders, changes, ["o_orderkey"])
 
 
 @query("SELECT 'orders' AS table_name, count(*) FILTER (CAST(o_orderdate AS DATE) BETWEEN DATE '1995-01-01' AND DATE '1996-12-31') AS affected FROM orders UNION ALL SELECT 'lineitem', count(*) FILTER (CAST(l_shipdate AS DATE) BETWEEN DATE '1995-01-01' AND DATE '1996-12-31') FROM lineitem")
@@ -249,16 +253,15 @@ def delete_range_result(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def partition_overwrite_result(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write orders by status, overwrite one status, read back."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="helio-")
-    path = f"{base.rstrip('/')}/orders-{uuid.uuid4().hex}"
+    """Write all orders by status as revision 1, overwrite one status with revision 2, read back."""
+    path = f"{shared_folder(spark)}/orders-{uuid.uuid4().hex}"
     orders = view(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    upsert.overwrite_partitions(orders, path, "o_orderstatus")
-    upsert.overwrite_partitions(orders.where("o_orderstatus = 'F' AND o_orderkey % 2 = 0"), path, "o_orderstatus")
-    return spark.read.parquet(path).select("o_orderkey", "o_custkey", "o_orderstatus")
+    upsert.overwrite_partitions(orders.withColumn("revision", F.lit(1)), path, "o_orderstatus")
+    upsert.overwrite_partitions(orders.where("o_orderstatus = 'F'").withColumn("revision", F.lit(2)), path, "o_orderstatus")
+    return spark.read.parquet(path).select("o_orderkey", "o_custkey", "o_orderstatus", "revision")
 
 
-ORACLES["partition_overwrite_result"] = "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'F' OR o_orderkey % 2 = 0"
+ORACLES["partition_overwrite_result"] = "SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 1 END AS revision FROM orders"
 
 
 @query("SELECT max(interval_ts) + INTERVAL 1 HOUR AS start_ts FROM readings")
@@ -271,7 +274,7 @@ def watermark_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return watermarks.lookback(_energy(spark, sf_dir), "date_hour", 13)
 
 
-@query("SELECT max(date_key) AS start_key FROM fact")
+@query("SELECT max(date_key) AS start_key, CAST(strptime(CAST(max(date_key) AS VARCHAR), '%Y%m%d') AS TIMESTAMP) AS start_ts FROM fact")
 def watermark_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return watermarks.gold_start(_fact(spark, sf_dir), {"energy": (_energy(spark, sf_dir), "date_hour"), "weather": (_weather(spark, sf_dir), "date_hour")})
 
@@ -310,7 +313,7 @@ def dup_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.duplicate_keys({"energy": (_energy(spark, sf_dir), ["facility_code", "date_hour"]), "lineitem": (view(spark, sf_dir, "lineitem"), ["l_orderkey"])})
 
 
-@query("SELECT facility_code, count(*) FILTER (quality_flag = 'GOOD') AS good, count(*) FILTER (quality_flag = 'WARNING') AS warning, count(*) FILTER (quality_flag = 'BAD') AS bad, min(date_hour) AS first_hour, max(date_hour) AS last_hour FROM energy GROUP BY 1")
+@query("SELECT facility_code, count(*) FILTER (quality_flag = 'GOOD') AS good, count(*) FILTER (quality_flag = 'WARNING') AS warning, count(*) FILTER (quality_flag = 'BAD') AS bad, round(avg(completeness_pct), 4) AS avg_completeness, min(date_hour) AS first_hour, max(date_hour) AS last_hour FROM energy GROUP BY 1")
 def quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.quality_summary(_energy(spark, sf_dir), "facility_code")
 
@@ -334,8 +337,8 @@ _SD = "round(CAST(sum(CAST({c} AS DECIMAL(18,6))) AS DOUBLE) / count({c}), 4)"
 
 
 def _dist_sql(column: str, group: str, table: str) -> str:
-    p = ", ".join(f"round(quantile_cont({column}, {q}), 4) AS p{round(q * 100)}" for q in (0.05, 0.5, 0.95))
-    return f"SELECT {group}, count({column}) AS n, min({column}) AS min_value, {_SD.format(c=column)} AS avg_value, max({column}) AS max_value, {p} FROM {table} GROUP BY 1"
+    p = ", ".join(f"round(quantile_cont({column}, {q / 100}), 4) AS p{q}" for q in (1, 5, 10, 50, 90, 95, 99))
+    return f"SELECT {group}, count({column}) AS n, min({column}) AS min_value, {_SD.format(c=column)} AS avg_value, round(stddev_samp({column}), 2) AS std_value, max({column}) AS max_value, {p} FROM {table} GROUP BY 1"
 
 
 @query(_dist_sql("l_quantity", "l_returnflag", "lineitem"))
@@ -384,8 +387,9 @@ _c1, _c2, _c3, _c4 = "energy_mwh > 0", "total_capacity_mw > 0", "irr_kwh_m2_hour
 _f = lambda c: f"count(*) FILTER ({c})"
 
 
-@query(f"""SELECT unnest([1, 2, 3, 4]) AS step, unnest(['energy_positive', 'has_capacity', 'irradiance', 'good_quality']) AS filter_name, unnest([a1, a2, a3, a4]) AS alone, unnest([b1, b2, b3, b4]) AS cumulative, unnest([t - b1, b1 - b2, b2 - b3, b3 - b4]) AS lost
- FROM (SELECT count(*) AS t, {_f(_c1)} AS a1, {_f(_c2)} AS a2, {_f(_c3)} AS a3, {_f(_c4)} AS a4, {_f(_c1)} AS b1, {_f(f"{_c1} AND {_c2}")} AS b2, {_f(f"{_c1} AND {_c2} AND {_c3}")} AS b3, {_f(f"{_c1} AND {_c2} AND {_c3} AND {_c4}")} AS b4 FROM fact)""")
+@query(f"""SELECT step, filter_name, alone, round(alone * 100E0 / nullif(t, 0), 4) AS alone_pct, cumulative, round(cumulative * 100E0 / nullif(t, 0), 4) AS retention_pct, lost, round(lost * 100E0 / nullif(cumulative + lost, 0), 4) AS lost_pct, round((t - cumulative) * 100E0 / nullif(t, 0), 4) AS total_loss_pct FROM (
+ SELECT t, unnest([0, 1, 2, 3, 4]) AS step, unnest(['no_filter', 'energy_positive', 'has_capacity', 'irradiance', 'good_quality']) AS filter_name, unnest([t, a1, a2, a3, a4]) AS alone, unnest([t, b1, b2, b3, b4]) AS cumulative, unnest([0, t - b1, b1 - b2, b2 - b3, b3 - b4]) AS lost
+ FROM (SELECT count(*) AS t, {_f(_c1)} AS a1, {_f(_c2)} AS a2, {_f(_c3)} AS a3, {_f(_c4)} AS a4, {_f(_c1)} AS b1, {_f(f"{_c1} AND {_c2}")} AS b2, {_f(f"{_c1} AND {_c2} AND {_c3}")} AS b3, {_f(f"{_c1} AND {_c2} AND {_c3} AND {_c4}")} AS b4 FROM fact))""")
 def filter_waterfall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.filter_waterfall(_fact(spark, sf_dir))
 
@@ -399,15 +403,15 @@ def plant_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.plant_kpis(_fact(spark, sf_dir))
 
 
-@query(" UNION ALL ".join(f"SELECT facility_code, '{m}' AS metric, {m} AS value FROM ({_KPI})" for m in ("total_mwh", "pr_pct", "cf_calendar_pct", "cf_observed_pct", "specific_yield")))
+@query(" UNION ALL ".join(f"SELECT facility_code, '{m}' AS metric, {m} AS value, '{u}' AS unit FROM ({_KPI})" for m, u in (("total_mwh", "MWh"), ("pr_pct", "%"), ("cf_calendar_pct", "%"), ("cf_observed_pct", "%"), ("specific_yield", "kWh/kWp"))))
 def plant_kpi_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.kpi_rows(kpi.plant_kpis(_fact(spark, sf_dir)))
 
 
-@query("SELECT o_custkey, count(*) AS n_orders, CAST(sum(l_quantity) AS DOUBLE) AS sum_qty, round(CAST(sum(CAST(l_extendedprice AS DECIMAL(18,4))) AS DOUBLE), 2) AS sum_price FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1")
+@query("SELECT o_custkey, count(DISTINCT o_orderkey) AS n_orders, count(*) AS n_lines, CAST(sum(l_quantity) AS DOUBLE) AS sum_qty, round(CAST(sum(CAST(l_extendedprice AS DECIMAL(18,4))) AS DOUBLE), 2) AS sum_price FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1")
 def customer_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = view(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").join(view(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_quantity", "l_extendedprice"), "o_orderkey")
-    return lines.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n_orders"), F.sum("l_quantity").cast("double").alias("sum_qty"), F.round(F.sum(F.col("l_extendedprice").cast("decimal(18,4)")).cast("double"), 2).alias("sum_price"))
+    return lines.groupBy("o_custkey").agg(F.count_distinct("o_orderkey").alias("n_orders"), F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").cast("double").alias("sum_qty"), F.round(F.sum(F.col("l_extendedprice").cast("decimal(18,4)")).cast("double"), 2).alias("sum_price"))
 
 
 _PI = "2 * pi() * extract({p} FROM date_hour) / {n}"
@@ -434,11 +438,19 @@ def features_lag_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.lag_hours(_energy(spark, sf_dir).groupBy("facility_code", "date_hour").agg(F.max("energy_mwh").alias("energy_mwh")))
 
 
-@query(f"""SELECT facility_code, date_hour, round(shortwave_radiation * temperature_2m, 4) AS radiation_temp_interaction, round(CASE WHEN shortwave_radiation > 1e-6 THEN cloud_cover / shortwave_radiation ELSE 0 END, 6) AS cloud_radiation_ratio, round({_h} * shortwave_radiation, 4) AS hour_radiation_interaction,
- round(CASE WHEN diffuse_radiation > 1e-6 THEN direct_radiation / diffuse_radiation ELSE 0 END, 6) AS direct_diffuse_ratio, CASE WHEN shortwave_radiation >= 10 THEN 1E0 ELSE 0E0 END AS is_production_hour FROM weather""")
+_INTERACTIONS = f"""round(shortwave_radiation * temperature_2m, 4) + 0 AS radiation_temp_interaction, round(CASE WHEN shortwave_radiation > 1e-6 THEN cloud_cover / shortwave_radiation ELSE 0 END, 6) AS cloud_radiation_ratio, round({_h} * shortwave_radiation, 4) AS hour_radiation_interaction,
+ round(completeness_pct * shortwave_radiation, 4) AS completeness_radiation_interaction, round(wind_speed_10m * temperature_2m, 4) + 0 AS wind_temp_interaction, round(CASE WHEN diffuse_radiation > 1e-6 THEN direct_radiation / diffuse_radiation ELSE 0 END, 6) AS direct_diffuse_ratio,
+ round(shortwave_radiation * shortwave_radiation, 4) AS shortwave_radiation_sq, round(temperature_2m * temperature_2m, 4) AS temperature_sq, round(cloud_cover * temperature_2m, 4) + 0 AS cloud_temp_interaction,
+ CASE WHEN shortwave_radiation >= 10 THEN 1E0 ELSE 0E0 END AS is_production_hour"""
+INTERACTIONS = {"radiation_temp_interaction": 4, "cloud_radiation_ratio": 6, "hour_radiation_interaction": 4, "completeness_radiation_interaction": 4, "wind_temp_interaction": 4, "direct_diffuse_ratio": 6, "shortwave_radiation_sq": 4, "temperature_sq": 4, "cloud_temp_interaction": 4}
+
+
+@query(f"SELECT facility_code, date_hour, {_INTERACTIONS}, CASE WHEN energy_mwh <= 0.1 THEN 1E0 ELSE 0E0 END AS is_low_energy_period FROM (SELECT e.energy_mwh, e.completeness_pct, w.* FROM energy e JOIN weather w ON e.facility_code = w.facility_code AND e.date_hour = w.date_hour)")
 def features_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = features.indicators(features.interactions(_weather(spark, sf_dir).withColumn("hour_of_day", F.hour("date_hour"))))
-    return out.select("facility_code", "date_hour", *[F.round(c, n).alias(c) for c, n in (("radiation_temp_interaction", 4), ("cloud_radiation_ratio", 6), ("hour_radiation_interaction", 4), ("direct_diffuse_ratio", 6))], "is_production_hour")
+    keys = ["facility_code", "date_hour"]
+    rows = _energy(spark, sf_dir).select(*keys, "energy_mwh", "completeness_pct").join(_weather(spark, sf_dir), keys).withColumn("hour_of_day", F.hour("date_hour"))
+    out = features.indicators(features.interactions(rows), low_energy=0.1)
+    return out.select(*keys, *[(F.round(c, n) + 0.0).alias(c) for c, n in INTERACTIONS.items()], "is_production_hour", "is_low_energy_period")
 
 
 @query("SELECT split, count(*) AS n, min(date_hour) AS first_hour, max(date_hour) AS last_hour FROM (SELECT date_hour, CASE WHEN rn <= floor(t * 0.7E0) THEN 'train' WHEN rn <= floor(t * 0.85E0) THEN 'validation' ELSE 'test' END AS split FROM (SELECT date_hour, row_number() OVER (ORDER BY date_hour, facility_code) AS rn, count(*) OVER () AS t FROM hourly)) GROUP BY 1")
@@ -459,11 +471,11 @@ def regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.metrics(rows, "y", "p")
 
 
-@query(f"SELECT l_orderkey, l_linenumber, {_y} AS actual, {_p} AS predicted, round({_y} - {_p}, 4) AS residual, round(abs({_y} - {_p}) / abs({_y}) * 100, 4) AS ape_pct, coalesce(abs({_y} - {_p}) / nullif(abs({_y}), 0) * 100 <= 10, false) AS is_accurate_forecast FROM lineitem")
+@query(f"SELECT l_orderkey, l_linenumber, {_y} AS actual, {_p} AS predicted, round({_y} - {_p}, 4) AS residual, round(abs({_y} - {_p}), 4) AS absolute_error, round(abs({_y} - {_p}) / abs({_y}) * 100, 4) AS ape_pct, round(100 - abs({_y} - {_p}) / abs({_y}) * 100, 4) AS accuracy_pct, coalesce(abs({_y} - {_p}) / nullif(abs({_y}), 0) * 100 <= 10, false) AS is_accurate_forecast FROM lineitem")
 def forecast_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = view(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_extendedprice").cast("double").alias("y"), (F.col("l_quantity").cast("double") * 1500.0).alias("p"))
     out = facts.fact_forecast(rows, "y", "p", ["l_orderkey", "l_linenumber"])
-    return out.select("l_orderkey", "l_linenumber", "actual", "predicted", F.round("residual", 4).alias("residual"), F.round("ape_pct", 4).alias("ape_pct"), "is_accurate_forecast")
+    return out.select("l_orderkey", "l_linenumber", "actual", "predicted", *[F.round(c, 4).alias(c) for c in ("residual", "absolute_error", "ape_pct", "accuracy_pct")], "is_accurate_forecast")
 
 
 _TREE = ["shortwave_radiation", "temperature_2m", "cloud_cover", "hour_of_day", "energy_mwh_lag_1"]
@@ -499,45 +511,54 @@ def flatten_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.flatten_series(packed.select(F.from_json(payload, nested.SERIES).alias("j")).select("j.*"), units)
 
 
-_PLANTS = """SELECT s_suppkey, s_name, n_name FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey"""
-
-
 def _plants(spark, d):
-    """Suppliers as plants, with their parts of size over 40 as units."""
-    units = view(spark, d, "lineitem").select("l_suppkey", "l_partkey").distinct().join(view(spark, d, "part").where("p_size > 40"), F.col("l_partkey") == F.col("p_partkey"))
-    unit = F.struct(F.concat(F.lit("P"), F.lpad(F.col("p_partkey").cast("string"), 9, "0")).alias("code"), F.concat(F.lit("s"), F.col("p_size").cast("string")).alias("fueltech_id"), F.col("p_size").cast("double").alias("capacity_mw"), F.lit(None).cast("double").alias("capacity_registered"))
-    packed = units.groupBy("l_suppkey").agg(F.collect_list(unit).alias("units"))
+    """Suppliers as plants, with all their parts as units in the order of their codes."""
+    units = view(spark, d, "lineitem").select("l_suppkey", "l_partkey").distinct().join(view(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    size = F.col("p_size").cast("double")
+    unit = F.struct(
+        F.concat(F.lit("P"), F.lpad(F.col("p_partkey").cast("string"), 9, "0")).alias("code"), F.when(F.col("p_size") > 25, "Operating").otherwise("RETIRED").alias("status_id"),
+        F.concat(F.lit("S"), (F.col("p_size") % 10).cast("string")).alias("fueltech_id"), F.when(F.col("p_size") < 10, "generator").when(F.col("p_size") < 40, "load").alias("dispatch_type"),
+        F.when(F.col("p_size") % 3 == 0, 0.0).when(F.col("p_size") % 3 == 1, size).alias("capacity_mw"), F.when(F.col("p_size") % 2 == 0, size / 2).alias("capacity_registered"), (size * 2).alias("registered_capacity"), size.alias("capacity_maximum"))
+    packed = units.groupBy("l_suppkey").agg(F.array_sort(F.collect_list(unit)).alias("units"))
     plants = view(spark, d, "supplier").join(view(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left")
-    return plants.join(packed, F.col("s_suppkey") == F.col("l_suppkey"), "left").select(F.col("s_suppkey").cast("string").alias("code"), F.col("s_name").alias("name"), F.col("n_name").alias("network_region"), F.coalesce("units", F.array().cast(packed.schema["units"].dataType)).alias("units"))
+    network = F.when(F.col("s_nationkey") < 20, "NEM").otherwise("WEM")
+    return plants.join(packed, F.col("s_suppkey") == F.col("l_suppkey"), "left").select(F.col("s_suppkey").cast("string").alias("code"), F.col("s_name").alias("name"), network.alias("network_id"), F.col("n_name").alias("network_region"), F.coalesce("units", F.array().cast(packed.schema["units"].dataType)).alias("units"))
 
 
-CTES["units"] = "SELECT DISTINCT l_suppkey, p_partkey, p_size FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size > 40"
+CTES["units"] = """SELECT DISTINCT l_suppkey, p_partkey, p_size, CASE WHEN p_size > 25 THEN 'operating' ELSE 'retired' END AS status, 's' || (p_size % 10) AS fuel, CASE WHEN p_size < 10 THEN 'GENERATOR' WHEN p_size < 40 THEN 'LOAD' END AS dispatch,
+ CASE WHEN p_size % 3 = 1 THEN p_size WHEN p_size % 2 = 0 THEN p_size / 2E0 ELSE p_size * 2E0 END AS capacity, CASE WHEN p_size % 2 = 0 THEN p_size / 2E0 ELSE p_size * 2E0 END AS registered FROM lineitem JOIN part ON l_partkey = p_partkey"""
+_kinds = lambda c, name: f"(SELECT l_suppkey AS sk_{name}, string_agg(k || ':' || n, '; ' ORDER BY k) AS {name} FROM (SELECT l_suppkey, {c} AS k, count(*) AS n FROM units WHERE {c} IS NOT NULL GROUP BY 1, 2) GROUP BY 1)"
 
 
-@query("""SELECT CAST(s_suppkey AS STRING) AS code, s_name AS name, CAST(coalesce(n, 0) AS INTEGER) AS unit_count, cap AS total_capacity_mw, coalesce(summary, '') AS unit_fueltech_summary, coalesce(codes, '') AS unit_codes FROM supplier
- LEFT JOIN (SELECT l_suppkey, count(*) AS n, CAST(sum(p_size) AS DOUBLE) AS cap, string_agg('P' || lpad(CAST(p_partkey AS STRING), 9, '0'), ',' ORDER BY p_partkey) AS codes FROM units GROUP BY 1) u ON u.l_suppkey = s_suppkey
- LEFT JOIN (SELECT l_suppkey, string_agg('s' || p_size || ':' || n2, '; ' ORDER BY 's' || p_size) AS summary FROM (SELECT l_suppkey, p_size, count(*) AS n2 FROM units GROUP BY 1, 2) GROUP BY 1) k ON k.l_suppkey = s_suppkey""")
+@query(f"""SELECT CAST(s_suppkey AS STRING) AS code, s_name AS name, CAST(coalesce(n, 0) AS INTEGER) AS unit_count, total_capacity_mw, total_capacity_registered_mw, total_capacity_maximum_mw, CAST(NULL AS DOUBLE) AS total_capacity_storage_mwh, unit_fueltech_summary, unit_status_summary, unit_dispatch_summary, unit_codes FROM supplier
+ LEFT JOIN (SELECT l_suppkey, count(*) AS n, round(sum(capacity), 3) AS total_capacity_mw, round(sum(registered), 3) AS total_capacity_registered_mw, CAST(sum(p_size) AS DOUBLE) AS total_capacity_maximum_mw, string_agg('P' || lpad(CAST(p_partkey AS STRING), 9, '0'), ',' ORDER BY p_partkey) AS unit_codes FROM units GROUP BY 1) u ON u.l_suppkey = s_suppkey
+ LEFT JOIN {_kinds("fuel", "unit_fueltech_summary")} ON sk_unit_fueltech_summary = s_suppkey LEFT JOIN {_kinds("status", "unit_status_summary")} ON sk_unit_status_summary = s_suppkey LEFT JOIN {_kinds("dispatch", "unit_dispatch_summary")} ON sk_unit_dispatch_summary = s_suppkey""")
 def facility_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.facility_summary(_plants(spark, sf_dir))
 
 
-@query("SELECT CAST(s_suppkey AS STRING) AS code, s_name AS name FROM supplier WHERE EXISTS (SELECT 1 FROM units WHERE l_suppkey = s_suppkey AND p_size = 45)")
+@query("SELECT CAST(s_suppkey AS STRING) AS code, s_name AS name, n_name AS network_region FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey WHERE s_nationkey < 20 AND EXISTS (SELECT 1 FROM units WHERE l_suppkey = s_suppkey AND status = 'operating' AND fuel IN ('s5', 's7'))")
 def facility_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested.select_facilities(_plants(spark, sf_dir), fueltech="s45").select("code", "name")
+    return nested.select_facilities(_plants(spark, sf_dir), networks=["nem"], statuses=["OPERATING"], fueltechs=["S5", "s7"]).select("code", "name", "network_region")
+
+
+@query("SELECT CAST(s_suppkey AS STRING) AS code, s_name AS name FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_name = (SELECT min(n_name) FROM nation)")
+def facility_select_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    region = view(spark, sf_dir, "nation").agg(F.min("n_name")).first()[0]
+    return nested.select_facilities(_plants(spark, sf_dir), region=f" {region} ").select("code", "name")
 
 
-@query("SELECT facility_code AS code, date_trunc('second', interval_ts) AS date, value FROM readings")
+@query("SELECT facility_code, facility_name, -20E0 AS latitude, 140E0 AS longitude, date_trunc('second', interval_ts) AS date, value FROM readings")
 def hourly_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings packed as columnar arrays by facility and day, and unpacked again."""
-    rows = view(spark, sf_dir, "readings").select("facility_code", F.date_trunc("second", "interval_ts").alias("t"), "value")
-    packed = rows.groupBy(F.col("facility_code").alias("code"), F.to_date("t").alias("d")).agg(F.collect_list(F.struct("t", "value")).alias("x"))
-    return nested.hourly_arrays(packed.select("code", F.struct(F.col("x.t").alias("time"), F.col("x.value").alias("value")).alias("hourly")), ["value"])
+    rows = view(spark, sf_dir, "readings").select("facility_code", "facility_name", F.date_trunc("second", "interval_ts").alias("t"), "value")
+    packed = rows.groupBy("facility_code", "facility_name", F.to_date("t").alias("d")).agg(F.collect_list(F.struct("t", "value")).alias("x"))
+    return nested.hourly_arrays(packed.select("facility_code", "facility_name", F.lit(-20.0).alias("latitude"), F.lit(140.0).alias("longitude"), F.struct(F.col("x.t").alias("time"), F.col("x.value").alias("value")).alias("hourly")), ["value"])
 
 
 def _round_trip(kind: str):
     def f(spark: SparkSession, sf_dir: str) -> DataFrame:
-        base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="helio-")
-        path = f"{base.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+        path = f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
         orders = view(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
         schema = "o_orderkey long, o_custkey long, o_orderstatus string"
         if kind == "csv":
@@ -639,7 +660,10 @@ def daily_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT facility_code, date_key, energy_mwh FROM fact WHERE date_key BETWEEN 20240105 AND 20240112")
 def date_key_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _fact(spark, sf_dir).where(F.col("date_key").between(20240105, 20240112)).select("facility_code", "date_key", "energy_mwh")
+    """The fact written by date_key and read again for some days: only their partitions are listed and read."""
+    path = f"{shared_folder(spark)}/fact-{uuid.uuid4().hex}"
+    upsert.overwrite_partitions(_fact(spark, sf_dir).select("facility_code", "date_key", "energy_mwh"), path, "date_key")
+    return spark.read.parquet(path).where(F.col("date_key").between(20240105, 20240112)).select("facility_code", "date_key", "energy_mwh")
 
 
 @query(f"SELECT count(r) AS n, round({_dd.format(x='r')} / count(r), 4) AS mean_residual, round(quantile_cont(r, 0.5), 4) AS median_residual, round(stddev_samp(r), 2) AS residual_std, min(r) AS min_residual, max(r) AS max_residual FROM (SELECT {_y} - {_p} AS r FROM lineitem)")

@@ -26,8 +26,15 @@ def _bounds_sql(bounds: dict, have: set[str]) -> tuple[str, str]:
 
 _W = ("shortwave_radiation", "direct_radiation", "diffuse_radiation", "direct_normal_irradiance", "temperature_2m", "dew_point_2m", "cloud_cover", "sunshine_duration", "wind_speed_10m", "wind_direction_10m", "pressure_msl", "total_column_integrated_water_vapour")
 _A = ("pm2_5", "pm10", "dust", "nitrogen_dioxide", "ozone", "uv_index")
-_wi, _wb = _bounds_sql(WEATHER_BOUNDS, set(_W))
-_ai, _ab = _bounds_sql(AIR_BOUNDS, set(_A))
+#: Fixed values, written down for the twins apart from the operators' own.
+TWIN_LIMITS = {
+    "shortwave_radiation": (0.0, 1150.0), "direct_radiation": (0.0, 1050.0), "diffuse_radiation": (0.0, 520.0), "direct_normal_irradiance": (0.0, 1060.0),
+    "temperature_2m": (-10.0, 50.0), "dew_point_2m": (-20.0, 30.0), "cloud_cover": (0.0, 100.0), "sunshine_duration": (0.0, 3600.0), "total_column_integrated_water_vapour": (0.0, 100.0),
+    "wind_speed_10m": (0.0, 50.0), "wind_direction_10m": (0.0, 360.0), "pressure_msl": (985.0, 1050.0),
+    "pm2_5": (0.0, 500.0), "pm10": (0.0, 500.0), "dust": (0.0, 500.0), "nitrogen_dioxide": (0.0, 500.0), "ozone": (0.0, 500.0), "uv_index": (0.0, 15.0),
+}
+_wi, _wb = _bounds_sql(TWIN_LIMITS, set(_W))
+_ai, _ab = _bounds_sql(TWIN_LIMITS, set(_A))
 _h = "extract(hour FROM date_hour)"
 CTES = dict(VIEWS)
 CTES["energy0"] = """SELECT facility_code, facility_name, network_code, network_region, date_trunc('hour', interval_ts + INTERVAL 11 HOUR) AS date_hour,
@@ -62,7 +69,7 @@ CTES["air"] = f"""SELECT facility_code, facility_name, date_hour, CAST(date_hour
  CASE WHEN aqi_value <= 50 THEN 'Good' WHEN aqi_value <= 100 THEN 'Moderate' WHEN aqi_value <= 200 THEN 'Unhealthy' WHEN aqi_value IS NOT NULL THEN 'Hazardous' END AS aqi_category,
  NOT {_aq} AS is_valid, CASE WHEN {_aq} THEN 'WARNING' ELSE 'GOOD' END AS quality_flag,
  concat_ws('|', {_ai}, CASE WHEN aqi_value NOT BETWEEN 0 AND 500 THEN 'AQI_OUT_OF_RANGE' END) AS quality_issues FROM air1"""
-CTES["aqi"] = "SELECT * FROM (VALUES " + ", ".join(str(r) for r in dims.AQI_RANGES) + ") v(aqi_category_key, aqi_category, aqi_range_min, aqi_range_max, pm2_5_min, pm2_5_max)"
+CTES["aqi"] = "SELECT * FROM (VALUES (1, 'Good', 0, 50, 0.0, 12.0), (2, 'Moderate', 51, 100, 12.1, 35.0), (3, 'Unhealthy for Sensitive', 101, 150, 35.1, 55.0), (4, 'Unhealthy', 151, 200, 55.1, 150.0), (5, 'Very Unhealthy', 201, 300, 150.1, 250.0), (6, 'Hazardous', 301, 500, 250.1, 500.0)) v(aqi_category_key, aqi_category, aqi_range_min, aqi_range_max, pm2_5_min, pm2_5_max)"
 CTES["fac"] = "SELECT CAST(row_number() OVER (ORDER BY facility_code) AS INTEGER) AS facility_key, facility_code, facility_name, CAST(location_lat AS DECIMAL(10,6)) AS location_lat, CAST(location_lng AS DECIMAL(10,6)) AS location_lng, CAST(total_capacity_mw AS DECIMAL(10,4)) AS total_capacity_mw FROM raw_facilities"
 CTES["fact0"] = f"""SELECT e.facility_code, e.date_hour, e.energy_mwh, e.intervals_count, {', '.join(f'w.{c}' for c in WEATHER_BOUNDS)}, {', '.join(f'a.{c}' for c in AIR_BOUNDS)}, a.aqi_value,
  f.facility_key, f.total_capacity_mw, q.aqi_category_key, CAST(strftime(e.date_hour, '%Y%m%d') AS INTEGER) AS date_key, CAST(extract(hour FROM e.date_hour) AS INTEGER) AS time_key,
@@ -122,13 +129,14 @@ def _fac(spark, d):
     return dims.dim_facility(view(spark, d, "raw_facilities"))
 
 
-def _fact(spark, d):
-    return facts.fact_environmental(_energy(spark, d), _weather(spark, d), _air(spark, d), _fac(spark, d), dims.dim_aqi(spark))
+def _fact(spark, d, fac=None):
+    return facts.fact_environmental(_energy(spark, d), _weather(spark, d), _air(spark, d), fac if fac is not None else _fac(spark, d), dims.dim_aqi(spark))
 
 
 @query(f"SELECT date_key, f.facility_code, facility_name, round({_SE}, 4) AS total_mwh, round(CAST(sum(CAST(shortwave_radiation AS DECIMAL(18,6))) AS DOUBLE), 4) AS total_radiation, count(*) AS hours FROM fact f JOIN fac USING (facility_key) GROUP BY ALL")
 def bi_daily_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = _fact(spark, sf_dir).join(_fac(spark, sf_dir).select("facility_key", "facility_name"), "facility_key")
+    fac = _fac(spark, sf_dir)
+    star = _fact(spark, sf_dir, fac).join(fac.select("facility_key", "facility_name"), "facility_key")
     total = lambda c: F.round(F.sum(F.col(c).cast("decimal(18,6)")).cast("double"), 4)
     return star.groupBy("date_key", "facility_code", "facility_name").agg(total("energy_mwh").alias("total_mwh"), total("shortwave_radiation").alias("total_radiation"), F.count(F.lit(1)).alias("hours"))
 
@@ -323,14 +331,15 @@ def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.null_profile(_air(spark, sf_dir), list(_A))
 
 
-@query(" UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) FILTER ({c} NOT BETWEEN {WEATHER_BOUNDS[c][0]} AND {WEATHER_BOUNDS[c][1]}) AS out_count, round(count(*) FILTER ({c} NOT BETWEEN {WEATHER_BOUNDS[c][0]} AND {WEATHER_BOUNDS[c][1]}) * 100E0 / count({c}), 2) AS out_pct, min({c}) AS min_value, max({c}) AS max_value FROM weather" for c in _W))
+@query(" UNION ALL ".join(f"SELECT '{c}' AS column_name, count(*) FILTER ({c} NOT BETWEEN {TWIN_LIMITS[c][0]} AND {TWIN_LIMITS[c][1]}) AS out_count, round(count(*) FILTER ({c} NOT BETWEEN {TWIN_LIMITS[c][0]} AND {TWIN_LIMITS[c][1]}) * 100E0 / count({c}), 2) AS out_pct, min({c}) AS min_value, max({c}) AS max_value FROM weather" for c in _W))
 def bounds_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.bounds_profile(_weather(spark, sf_dir), {c: WEATHER_BOUNDS[c] for c in _W})
 
 
 @query("SELECT 'facility_key' AS key_name, count(*) AS orphans FROM fact f WHERE facility_key IS NOT NULL AND facility_key NOT IN (SELECT facility_key FROM fac) UNION ALL SELECT 'aqi_category_key', count(*) FROM fact f WHERE aqi_category_key IS NOT NULL AND aqi_category_key NOT IN (SELECT aqi_category_key FROM aqi)")
 def fk_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit.orphan_keys(_fact(spark, sf_dir), {"facility_key": (_fac(spark, sf_dir), "facility_key"), "aqi_category_key": (dims.dim_aqi(spark), "aqi_category_key")})
+    fac = _fac(spark, sf_dir)
+    return audit.orphan_keys(_fact(spark, sf_dir, fac), {"facility_key": (fac, "facility_key"), "aqi_category_key": (dims.dim_aqi(spark), "aqi_category_key")})
 
 
 _SD = "round(CAST(sum(CAST({c} AS DECIMAL(18,6))) AS DOUBLE) / count({c}), 4)"
@@ -641,14 +650,21 @@ def _by_filter_sql(cond: str) -> str:
     return f"SELECT facility_code, count(*) AS total, count(*) FILTER ({cond}) AS n, round({e} * 1000 / nullif({y}, 0) * 100, 4) AS pr FROM fact GROUP BY 1"
 
 
+_known = "yr_weighted_kwh IS NOT NULL"
+_TWIN_SCENARIOS = {
+    "all_filters": f"is_valid AND irr_kwh_m2_hour >= 0.02 AND {_known}", "without_is_valid": f"irr_kwh_m2_hour >= 0.02 AND {_known}", "irradiance_0.01": f"is_valid AND irr_kwh_m2_hour >= 0.01 AND {_known}",
+    "irradiance_0.005": f"is_valid AND irr_kwh_m2_hour >= 0.005 AND {_known}", "without_irradiance": f"is_valid AND {_known}",
+}
+
+
 @query("SELECT *, retention_pct >= 70 AND coalesce(avg_pr > 60, false) AS compliant FROM (SELECT scenario, CAST(sum(n) AS BIGINT) AS records, round(sum(n) * 100E0 / sum(total), 4) AS retention_pct, round(avg(pr), 3) AS avg_pr, min(pr) AS min_pr, max(pr) AS max_pr FROM ("
-       + " UNION ALL ".join(f"SELECT '{k}' AS scenario, * FROM ({_by_filter_sql(c)})" for k, c in kpi.SCENARIOS.items()) + ") GROUP BY 1)")
+       + " UNION ALL ".join(f"SELECT '{k}' AS scenario, * FROM ({_by_filter_sql(c)})" for k, c in _TWIN_SCENARIOS.items()) + ") GROUP BY 1)")
 def filter_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.filter_scenarios(_fact(spark, sf_dir))
 
 
 @query(f"""SELECT *, new_n - old_n AS added, round(new_pr - old_pr, 4) AS pr_change, new_retention >= 70 AND new_pr > 60 AS compliant FROM (SELECT facility_code, o.total, o.n AS old_n, w.n AS new_n, round(o.n * 100E0 / o.total, 4) AS old_retention, round(w.n * 100E0 / o.total, 4) AS new_retention, coalesce(o.pr, 0) AS old_pr, coalesce(w.pr, 0) AS new_pr
- FROM ({_by_filter_sql(kpi.SCENARIOS["all_filters"])}) o JOIN ({_by_filter_sql("is_valid AND irr_kwh_m2_hour IS NOT NULL AND yr_weighted_kwh IS NOT NULL")}) w USING (facility_code))""")
+ FROM ({_by_filter_sql(_TWIN_SCENARIOS["all_filters"])}) o JOIN ({_by_filter_sql("is_valid AND irr_kwh_m2_hour IS NOT NULL AND yr_weighted_kwh IS NOT NULL")}) w USING (facility_code))""")
 def filter_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpi.filter_comparison(_fact(spark, sf_dir))
 

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import pickle
-import tempfile
 from collections.abc import Callable
 from functools import reduce
 from operator import or_
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from helio.sources.shared import cut, shared_folder  # noqa: F401  the corpus operators take them from here
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -21,24 +22,6 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it; a temporary one where that is unset on one machine, an error on a cluster."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    return tempfile.mkdtemp(prefix="helio-")
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that all executors share."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
-
-
 def keep_rows(docs: DataFrame, kept: DataFrame, digest: Column, id_col: str = "doc_id") -> DataFrame:
     """Of the rows of ``docs`` with one id and one ``digest`` of their text as many as ``kept`` (``id_col``, text_sha256) has, all columns.
 

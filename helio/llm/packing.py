@@ -232,20 +232,22 @@ def tokenize_pieces(docs: DataFrame, tokenizer_path: str, size: int = 1024, end_
     return rows.mapInArrow(run, schema)
 
 
-def pack_pieces(pieces: DataFrame, size: int = 1024, id_col: str = "doc_id") -> DataFrame:
-    """Add sequence_id and offset to pieces (``id_col``, piece, length and more) of 1 to ``size`` tokens; places are gapless from 0.
+def pack_pieces(pieces: DataFrame, size: int = 1024) -> DataFrame:
+    """Add sequence_id and offset to pieces (length and any other columns) of 1 to ``size`` tokens; places are gapless from 0.
 
-    ``pieces`` is read twice, so cut its lineage first. Ranks are counted within buckets of the id's hash,
-    so no length, however common, meets in one task; at most ``size`` counts reach the driver.
+    ``pieces`` is read several times, so cut its lineage first. Ranks are counted within buckets that rows are dealt
+    to by their place in the table, so no length and no id, however common, meets in one task; at most ``size`` counts
+    reach the driver.
     """
-    rows = pieces.withColumn("_bucket", F.pmod(F.xxhash64(id_col, "piece"), F.lit(BUCKETS)))
+    rows = pieces.withColumn("_row", F.monotonically_increasing_id())
+    rows = rows.withColumn("_bucket", F.pmod(F.xxhash64("_row"), F.lit(BUCKETS)))
     per_bucket = rows.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     histogram = {r["length"]: r["n"] for r in rows.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan, _ = make_plan(histogram, size)
     shared = pieces.sparkSession.sparkContext.broadcast(plan)
     before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = per_bucket.select("length", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy("length", "_bucket").orderBy(*[F.col(c) for c in pieces.columns if c not in ("length", "ids")])
+    inside = Window.partitionBy("length", "_bucket").orderBy("_row")
     ranked = rows.withColumn("_rn", F.row_number().over(inside)).join(base, ["length", "_bucket"])
     ranked = ranked.select(*pieces.columns, (F.col("_base") + F.col("_rn") - 1).alias("_rank"))
 
@@ -265,4 +267,4 @@ def pack_pieces(pieces: DataFrame, size: int = 1024, id_col: str = "doc_id") ->
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, size: int = 1024, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
     """Tokenize, cut and pack: one row per piece, as from ``tokenize_pieces`` and ``pack_pieces``. An empty table gives no rows."""
-    return pack_pieces(cut(tokenize_pieces(docs, tokenizer_path, size, end_id, id_col, text_col, keep_ids)), size, id_col)
+    return pack_pieces(cut(tokenize_pieces(docs, tokenizer_path, size, end_id, id_col, text_col, keep_ids)), size)

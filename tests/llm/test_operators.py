@@ -121,6 +121,14 @@ def test_packing_like_tokenizers(spark):
         assert at <= 1024
 
 
+def test_packing_of_null_and_repeated_ids(spark):
+    rows = docs(spark, ["one two three"] * 60 + [None] * 40, [None] * 80 + [7] * 20)
+    pieces = packing.pack_documents(rows, public_tokenizers.path("byte_bpe_50k.json"), size=16).collect()
+    assert len(pieces) == 100
+    places = sorted((r["sequence_id"], r["offset"], r["length"]) for r in pieces)
+    assert all(o == (p[1] + p[2] if p[0] == s else 0) and o + n <= 16 for p, (s, o, n) in zip([(None, 0, 0), *places], places, strict=False))
+
+
 def _optimum(items, size):
     best = [len(items)]
 

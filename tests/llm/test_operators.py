@@ -51,6 +51,9 @@ def test_exact_dedup_hot_group_and_repeated_row(spark):
     out = exact_dedup(rows, keep="min", carry=()).collect()
     assert all((r["keep_id"], r["group_size"]) == (0, 300) for r in out if r["doc_id"] < 300)
     assert sum(r["kept"] for r in out) == 1 + 50 + 1
+    for keep, stays in (("min", 3), ("max", 90)):  # null ids and a repeated row in a hot group
+        hot = exact_dedup(docs(spark, ["Hot"] * 300, [None] * 200 + [3, 3, 3, *range(4, 90)] + [90] * 11), keep=keep).collect()
+        assert len(hot) == 300 and {(r["keep_id"], r["group_size"]) for r in hot} == {(stays, 300)} and [r["doc_id"] for r in hot if r["kept"]] == [stays]
     assert next(r for r in out if r["doc_id"] == 0)["text_sha256"] == hashlib.sha256(b"hot").hexdigest()
 
 
@@ -89,7 +92,7 @@ def test_license_spans_are_verified(spark):
 
 def test_url_filter(spark):
     urls = ["http://A.Example.ORG/es/x?q", "https://example.org/en/12#f", "x.org/no", None, "http://org", "http://a.com/de/", "http://com/fr/1", "http://b.net:80/de/", "ftp://u://v.org/p"]
-    out = {r["page_id"]: tuple(r)[1:] for r in url_filter(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rule_table(spark)).collect()}
+    out = {r["page_id"]: tuple(r)[1:] for r in url_filter(spark.createDataFrame([(*x, "c", "c", "c", 1) for x in enumerate(urls)], "page_id long, url string, host string, rule string, _id string, _n int"), rule_table(spark)).collect()}
     assert out[0] == ("a.example.org", "/es/x", "example.org/es/", "block") and out[1] == ("example.org", "/en/12", "example.org/en/1", "block")
     assert out[2] == out[3] == ("", "", None, "allow") and out[4] == ("org", "", None, "allow")
     assert out[5][2:] == ("com/de/", "block") and out[6][2:] == ("com/fr/", "allow") and out[7] == ("b.net:80", "/de/", None, "allow") and out[8][0] == "u:"
@@ -204,7 +207,7 @@ def test_near_dedup_of_short_texts_alone(spark, texts, width):
 def test_near_vectors(spark):
     a, b = [1.0, 0.0, 0.0], [1.0, 0.1, 0.0]
     rows = [(1, a, 1), (2, b, 1), (3, a, 1), (4, a, 2), (5, [0.0] * 3, 1), (6, None, 1), (7, [1.0, None, 0.0], 1), (8, a, None), (9, [float("nan"), 1.0, 0.0], 1), (10, [2.0, 0.0, 0.0], 1), (None, [0.0, 1.0, 0.0], 1), (11, [1.0, 0.0], 1)]
-    out = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    out = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in near_vectors(spark.createDataFrame([(*r, 0, 0, 0, 0) for r in rows], "vec_id long, embedding array<double>, label int, id int, node int, n int, kept int")).collect()}
     assert out[1] == (3, 1, True) and out[2] == out[3] == out[10] == (3, 1, False)
     assert all(out[i] == (0, i, True) for i in (4, 5, 6, 7, 8, 9, 11)) and out[None] == (0, None, True)
 

@@ -62,7 +62,8 @@ def test_pipeline_against_brute_force(spark, tmp_path):
         row(800, "en", " ".join(f"y{k}" for k in range(24))), row(800, "de", " ".join(f"z{k}" for k in range(24))),  # one id on texts apart
         (900, "12 34", "en", "web", 5), (901, None, "en", "web", 0), (None, "", "en", "web", 0),
     ]
-    spark.createDataFrame(rows, KIND).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    extra = {c: F.lit("x") for c in ("toxic", "score", "kept", "_id", "node")}
+    spark.createDataFrame(rows, KIND).withColumns(extra).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
     spark.createDataFrame(labels, "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     # What brute force can choose freely among rows of one id (near copies of id 600) is compared by id.
     docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
@@ -79,6 +80,15 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     assert sum(n for _, n in pieces) == sum(len(plain.encode(r["text"], add_special_tokens=False).ids) + 1 for r in docs.collect())
 
 
+def test_pipeline_of_an_empty_table_and_one_long_text(spark, tmp_path):
+    long = " ".join(f"the house {i} and the tree" for i in range(60_000))
+    for name, rows in (("none", []), ("long", [(1, long, "en", "web", len(long)), (2, None, None, None, None)])):
+        spark.createDataFrame(rows, KIND).write.parquet(str(tmp_path / name / "documents.parquet"))
+        spark.createDataFrame([], "doc_id long, toxic int").write.parquet(str(tmp_path / name / "labels.parquet"))
+        out = corpus_pipeline.run(spark, str(tmp_path / name)).collect()
+        assert {r["doc_id"] for r in out} <= {1} and len({r["piece"] for r in out}) == len(out)
+
+
 def test_near_dedup_has_a_verdict_for_each_row(spark):
     text = " ".join(f"w{k}" for k in range(40))
     rows = [(1, text), (1, text), (1, text + " x"), (2, text), (None, text), (3, "a b c d e f"), (3, "g h i j k l"), (None, "m n o p q r"), (None, "m n o p q r"), (4, ""), (4, None)]

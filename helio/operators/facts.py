@@ -41,11 +41,21 @@ def require(**tables: DataFrame | None) -> None:
         raise ValueError(f"missing or empty: {', '.join(empty)}")
 
 
-def fact_environmental(energy: DataFrame, weather: DataFrame, air: DataFrame, facilities: DataFrame, aqi: DataFrame) -> DataFrame:
-    """One row per energy hour: keys, measures of all sources, completeness and flags. Weather and air join on (facility, hour); of several rows there, the first by their measures counts."""
+#: Measures that flags and figures come from.
+CORE_WEATHER = ["shortwave_radiation", "temperature_2m", "dew_point_2m", "cloud_cover", "sunshine_duration"]
+CORE_AIR = ["pm2_5", "aqi_value"]
+
+
+def fact_environmental(energy: DataFrame, weather: DataFrame, air: DataFrame, facilities: DataFrame, aqi: DataFrame, core: bool = False) -> DataFrame:
+    """One row per energy hour: keys, measures of all sources, completeness and flags. Weather and air join on (facility, hour).
+
+    Of several rows there the first by the core measures counts, then by the others. ``core`` leaves these out, so
+    studies that do not need them do not sort by them either.
+    """
     keys = ["facility_code", "date_hour"]
-    w = one_per(weather.select(*keys, *[c for c in WEATHER_BOUNDS if c in weather.columns]), keys)
-    a = one_per(air.select(*keys, *[c for c in AIR_BOUNDS if c in air.columns], "aqi_value"), keys)
+    more = lambda df, have, bounds: [] if core else [c for c in bounds if c in df.columns and c not in have]
+    w = one_per(weather.select(*keys, *CORE_WEATHER, *more(weather, CORE_WEATHER, WEATHER_BOUNDS)), keys)
+    a = one_per(air.select(*keys, *CORE_AIR, *more(air, CORE_AIR, AIR_BOUNDS)), keys)
     fact = energy.select("facility_code", "date_hour", "energy_mwh", "intervals_count").join(w, ["facility_code", "date_hour"], "left").join(a, ["facility_code", "date_hour"], "left")
     fact = lookup(fact, facilities, [(F.col("facility_code"), "facility_code")], ["facility_key", "total_capacity_mw"])
     fact = range_lookup(fact, "aqi_value", aqi, "aqi_range_min", "aqi_range_max", ["aqi_category_key"])

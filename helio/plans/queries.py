@@ -129,8 +129,8 @@ def _fac(spark, d):
     return dims.dim_facility(view(spark, d, "raw_facilities"))
 
 
-def _fact(spark, d, fac=None):
-    return facts.fact_environmental(_energy(spark, d), _weather(spark, d), _air(spark, d), fac if fac is not None else _fac(spark, d), dims.dim_aqi(spark))
+def _fact(spark, d, fac=None, core=True):
+    return facts.fact_environmental(_energy(spark, d), _weather(spark, d), _air(spark, d), fac if fac is not None else _fac(spark, d), dims.dim_aqi(spark), core)
 
 
 @query(f"SELECT date_key, f.facility_code, facility_name, round({_SE}, 4) AS total_mwh, round(CAST(sum(CAST(shortwave_radiation AS DECIMAL(18,6))) AS DOUBLE), 4) AS total_radiation, count(*) AS hours FROM fact f JOIN fac USING (facility_key) GROUP BY ALL")
@@ -228,7 +228,7 @@ def classify_air_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT * REPLACE (round(humidity_2m, 6) AS humidity_2m, round(yr_weighted_kwh, 6) AS yr_weighted_kwh) FROM fact")
 def fact_environmental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _fact(spark, sf_dir).withColumns({"humidity_2m": F.round("humidity_2m", 6), "yr_weighted_kwh": F.round("yr_weighted_kwh", 6)})
+    return _fact(spark, sf_dir, core=False).withColumns({"humidity_2m": F.round("humidity_2m", 6), "yr_weighted_kwh": F.round("yr_weighted_kwh", 6)})
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderdate FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1")

@@ -166,6 +166,15 @@ def rank_importances(df: DataFrame, top: int = 15, version: int = 1) -> DataFram
         F.round(running * 100, 6).alias("cumulative_importance"), rank.alias("rank_overall"), inside.alias("rank_in_category"), (rank <= top).alias("is_top_15"), F.col("feature_name").contains("lag").alias("is_lag_feature"), F.lit(version).alias("model_version_key"))
 
 
+#: Columns of the stored importance dimension, beside created_at.
+IMPORTANCE = "feature_importance_key int, feature_name string, feature_category string, importance_value double, importance_percentage double, cumulative_importance double, rank_overall int, rank_in_category int, is_top_15 boolean, is_lag_feature boolean, model_version_key int"
+
+
+def store_importances(ranked: DataFrame, path: str, now: Column) -> None:
+    """Add ranked importances, with created_at, to the table of all model versions; a version's rows replace its earlier ones."""
+    ranked.select(*[F.col(c).cast(kind).alias(c) for c, kind in (x.split() for x in IMPORTANCE.split(", "))], now.alias("created_at")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("model_version_key").parquet(path)
+
+
 def top_features(ranked: DataFrame, n: int = 15) -> DataFrame:
     return ranked.orderBy("rank_overall").limit(n)
 

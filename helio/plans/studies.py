@@ -102,8 +102,12 @@ CTES["shares"] = "SELECT p_brand AS feature_name, substr(p_brand, 1, 7) AS featu
 @query("""SELECT CAST(row_number() OVER o AS INTEGER) AS feature_importance_key, feature_name, feature_category, importance AS importance_value, round(importance * 100, 6) AS importance_percentage, round(CAST(sum(CAST(importance AS DECIMAL(20,10))) OVER o AS DOUBLE) * 100, 6) AS cumulative_importance,
  CAST(row_number() OVER o AS INTEGER) AS rank_overall, CAST(row_number() OVER (PARTITION BY feature_category ORDER BY importance DESC, feature_name) AS INTEGER) AS rank_in_category, row_number() OVER o <= 15 AS is_top_15, contains(feature_name, 'lag') AS is_lag_feature, 1 AS model_version_key FROM shares WINDOW o AS (ORDER BY importance DESC, feature_name)""")
 def importance_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The importance dimension over shares of brands in revenue, in place of a model's importances."""
-    return features.rank_importances(_shares(spark, sf_dir))
+    """The importance dimension over shares of brands in revenue, in place of a model's importances; stored for two versions, of which one is read."""
+    path = f"{shared_folder(spark)}/importance-{uuid.uuid4().hex}"
+    shares = _shares(spark, sf_dir)
+    for version in (1, 2, 1):
+        features.store_importances(features.rank_importances(shares, version=version), path, F.lit("2024-06-01").cast("timestamp"))
+    return spark.read.parquet(path).where("model_version_key = 1").drop("created_at")
 
 
 @query("SELECT feature_name, importance AS importance_value FROM shares ORDER BY importance DESC, feature_name LIMIT 15")

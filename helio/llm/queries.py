@@ -34,7 +34,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(langid.fold(F.col("doc_id"), 3) != 1)
-    model = toxicity.train(docs.join(labels, "doc_id"))
+    model = toxicity.train(docs, labels)
     out = toxicity.score(docs, model)
     return out.select("doc_id", (langid.fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 

@@ -54,44 +54,51 @@ def fit(texts: list[str], toxic: list[int], steps: int = 900, batch: int = 64, r
     for t in texts:
         cols = [b[b > 0] for b in _features(Words([t]))]
         sets.append([(u, n.astype(np.float32)) for u, n in (np.unique(c, return_counts=True) for c in cols)])
-    pull = []
+    pull, places, tables = [], [], []
     for k in range(len(model.tables)):
         seen, bad = (np.bincount(np.concatenate([s[k][0] for s, label in zip(sets, y, strict=True) if label >= low]), minlength=1 << BITS) for low in (0, 1))
-        odds = np.log((bad + 0.5) / (seen - bad + 0.5)) - np.log(y.sum() / (len(y) - y.sum()))
+        used = np.flatnonzero(seen >= least)
+        odds = np.log((bad[used] + 0.5) / (seen[used] - bad[used] + 0.5)) - np.log(y.sum() / (len(y) - y.sum()))
         pull.append(sparse / (odds * odds + 0.05))
+        places.append(used)
+        tables.append(np.zeros((len(used), DIM)))
+        dense = np.full(1 << BITS, -1)
+        dense[used] = np.arange(len(used))
         # How many features a text has is fixed before, so rare ones still count in the mean.
         for s in sets:
             s.append(s[k][1].sum())
-            s[k] = tuple(x[seen[s[k][0]] >= least] for x in s[k])
-    squares = [np.full(1 << BITS, 1e-8) for _ in model.tables]
+            at = dense[s[k][0]]
+            s[k] = (at[at >= 0], s[k][1][at >= 0])
+    squares = [np.full(len(t), 1e-8) for t in tables]
     out_sq, bias_sq = np.full(model.out.shape, 1e-4), np.full(2, 1e-4)
     weight = (len(y) / 2 / np.bincount(y, minlength=2))[y]  # both labels count alike
     for _ in range(-(-steps * batch // len(texts))):
         order = rng.permutation(len(texts))
         for lo in range(0, len(order), batch):
             ids = order[lo : lo + batch]
-            total = np.array([max(1, sum(sets[i][len(model.tables) :])) for i in ids])
-            rows = [(np.concatenate([sets[i][k][0] for i in ids]), np.concatenate([sets[i][k][1] / n for i, n in zip(ids, total, strict=True)]), np.repeat(np.arange(len(ids)), [len(sets[i][k][0]) for i in ids])) for k in range(len(model.tables))]
+            total = np.array([max(1, sum(sets[i][len(tables) :])) for i in ids])
+            rows = [(np.concatenate([sets[i][k][0] for i in ids]), np.concatenate([sets[i][k][1] / n for i, n in zip(ids, total, strict=True)]), np.repeat(np.arange(len(ids)), [len(sets[i][k][0]) for i in ids])) for k in range(len(tables))]
             v = np.zeros((len(ids), DIM))
-            for (b, w, r), table in zip(rows, model.tables, strict=True):
-                e = table[b] * w[:, None]
+            for (b, w, r), table in zip(rows, tables, strict=True):
                 for d in range(DIM):
-                    v[:, d] += np.bincount(r, e[:, d], len(ids))
+                    v[:, d] += np.bincount(r, table[b, d] * w, len(ids))
             logits = v @ model.out + model.bias
             p = np.exp(logits - logits.max(1, keepdims=True))
             p /= p.sum(1, keepdims=True)
             diff = (np.eye(2)[y[ids]] - p) * weight[ids, None] / len(ids)
             back = diff @ model.out.T
-            for (b, w, r), table, sq, keep in zip(rows, model.tables, squares, pull, strict=True):
-                u, at = np.unique(b, return_inverse=True)
-                g = np.stack([np.bincount(at, back[r, d] * w, len(u)) for d in range(DIM)], 1)
-                sq[u] += (g * g).mean(1)
-                step = rate / np.sqrt(sq[u])[:, None]
-                moved = table[u] + step * g
-                table[u] = moved * np.maximum(0, 1 - keep[u][:, None] * step / np.maximum(np.linalg.norm(moved, axis=1, keepdims=True), 1e-12))
+            for (b, w, r), table, sq, keep in zip(rows, tables, squares, pull, strict=True):
+                g = np.stack([np.bincount(b, back[r, d] * w, len(table)) for d in range(DIM)], 1)
+                sq += (g * g).mean(1)
+                step = (rate / np.sqrt(sq))[:, None]
+                table += step * g
+                met = np.bincount(b, minlength=len(table)) > 0  # others are not pulled in this batch
+                table *= np.where(met[:, None], np.maximum(0, 1 - keep[:, None] * step / np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-12)), 1)
             for t, g, sq in ((model.out, v.T @ diff, out_sq), (model.bias, diff.sum(0), bias_sq)):
                 sq += g * g
                 t += 0.2 * g / np.sqrt(sq)
+    for full, used, table in zip(model.tables, places, tables, strict=True):
+        full[used] = table
     return model
 
 
@@ -119,9 +126,15 @@ def _scorer(shared, id_col: str, carry: dict[str, str]):
     return run
 
 
-def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most_each: int = 1500, most_chars: int = 6000) -> Model:
-    """Fit on a bounded sample: for each label the ``most_each`` texts first by a hash of id and text among those of up to ``most_chars`` characters."""
-    rows = labelled.where(F.char_length(text_col).between(1, most_chars)).select(F.col(text_col).alias("t"), F.col(label_col).alias("y"), F.xxhash64(id_col, text_col).alias("h"))
+def train(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", most_each: int = 1500, most_chars: int = 6000) -> Model:
+    """Fit on a bounded sample: for each label the ``most_each`` texts first by a hash of id and text among those of up to ``most_chars`` characters.
+
+    Labels stand in ``docs`` or in a table of their own (id and label), joined behind the hash: counting shuffles no text.
+    """
+    own = [F.col(label_col).alias("y")] if labels is None else []
+    rows = docs.where(F.char_length(text_col).between(1, most_chars)).select(F.col(id_col).alias("_id"), F.col(text_col).alias("t"), F.xxhash64(id_col, text_col).alias("h"), *own)
+    if labels is not None:
+        rows = rows.join(labels.select(F.col(id_col).alias("_id"), F.col(label_col).alias("y")), "_id")
     return fit_on_sample(rows, most_each, fit, labels=(0, 1))
 
 

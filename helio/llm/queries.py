@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from helio.llm import bpe, chat, langid, toxicity
 from helio.llm.common import LOWER, UPPER
 from helio.llm.exact_dedup import exact_dedup
-from helio.llm.license_scan import license_scan
+from helio.llm.license_scan import TEMPLATES, license_scan
 from helio.llm.minhash import near_dedup
 from helio.llm.packing import pack_documents
 from helio.llm.url_filter import rule_table, url_filter
@@ -97,7 +97,41 @@ QUERIES = {
     "op10_url_filter": op10_url_filter,
 }
 
+_CLOSE = """reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)"""
+
 ORACLES = {
+    "op6_license_scan": rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+tw AS (SELECT t, label, base, string_split(words, ' ') AS w FROM (VALUES {', '.join(str((i, *x)) for i, x in enumerate(TEMPLATES))}) v(t, label, base, words)),
+tg AS (SELECT t, label, base, len(w) - 2 AS n, i AS tpos, w[i + 1] AS g0, w[i + 2] AS g1, w[i + 3] AS g2 FROM (SELECT *, unnest(range(len(w) - 2)) AS i FROM tw)),
+one AS (SELECT rid, unnest(w) AS g0, generate_subscripts(w, 1) - 1 AS pos FROM d),
+g AS (SELECT rid, pos, g0, lead(g0, 1) OVER o AS g1, lead(g0, 2) OVER o AS g2 FROM one WINDOW o AS (PARTITION BY rid ORDER BY pos)),
+diag AS (SELECT rid, t, label, base, n, pos - tpos AS dg, list(DISTINCT tpos) AS votes FROM g JOIN tg USING (g0, g1, g2) GROUP BY ALL),
+cuts AS (SELECT *, base AND len(votes) = n AS whole, CASE WHEN dg - lag(dg) OVER (PARTITION BY rid, t ORDER BY dg) <= 2 THEN 0 ELSE 1 END AS fresh FROM diag),
+m AS (SELECT *, sum(fresh) OVER (PARTITION BY rid, t ORDER BY dg) AS span FROM cuts),
+places AS (SELECT rid, t, span, n, tpos, min(dg + tpos) AS place FROM (SELECT *, unnest(votes) AS tpos FROM m) GROUP BY ALL),
+held AS (SELECT *, coalesce(place > max(place) OVER (PARTITION BY rid, t, span ORDER BY tpos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS ok FROM places),
+cover AS (SELECT rid, t, span, count(*) FILTER (ok) / any_value(n) AS cover FROM held GROUP BY ALL),
+exact AS (SELECT rid, t, span, label, count(*) FILTER (whole) AS hits, min(dg) FILTER (whole) AS lo, max(dg) FILTER (whole) AS hi FROM m GROUP BY ALL),
+s AS (SELECT * FROM cover JOIN exact USING (rid, t, span))
+SELECT doc_id, len(w) AS n_words, CAST(coalesce(sum(hits), 0) AS BIGINT) AS n_base, min(lo) AS first_word, max(hi) AS last_word, coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (hits > 0), '') AS base_labels,
+ coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (hits > 0 OR cover >= 0.8), '') AS labels, coalesce(max(CASE WHEN hits > 0 THEN 1 ELSE cover END), 0) AS score FROM d LEFT JOIN s USING (rid) GROUP BY rid, doc_id, w""",
+    "op7_minhash": rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, hash(s) AS h, s FROM (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * c >= 80 * (p.n + q.n - c)),
+{_CLOSE},
+least_of AS (SELECT a, min(b) AS b FROM reach GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(b, doc_id)) AS component_id, doc_id <= coalesce(b, doc_id) AS kept FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN least_of ON a = doc_id""",
+    "op8_vectors": f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+good AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM good x JOIN good y ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e) AND list_cosine_similarity(x.e, y.e) >= 0.98),
+{_CLOSE},
+least_of AS (SELECT a, min(b) AS b FROM reach GROUP BY 1), n AS (SELECT a, count(*) AS n FROM links GROUP BY 1)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(b, vec_id)) AS component_id, vec_id <= coalesce(b, vec_id) AS kept FROM embeddings LEFT JOIN least_of ON least_of.a = vec_id LEFT JOIN n ON n.a = vec_id""",
     "op9_exact_dedup": f"""
 WITH n AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS norm FROM documents),
 g AS (SELECT norm, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY norm)

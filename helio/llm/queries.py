@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helio.llm import bpe, chat, langid, toxicity
+from helio.llm import align, bpe, chat, langid, toxicity
 from helio.llm.common import LOWER, UPPER
 from helio.llm.exact_dedup import exact_dedup
 from helio.llm.license_scan import TEMPLATES, license_scan
@@ -84,6 +84,10 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(spark.read.parquet(f"{sf_dir}/pages.parquet"), rule_table(spark))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align_documents(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
@@ -95,6 +99,7 @@ QUERIES = {
     "op8_vectors": op8_vectors,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_url_filter": op10_url_filter,
+    "op11_token_alignment": op11_token_alignment,
 }
 
 _CLOSE = """reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)"""

@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from helio.llm import align, bpe, chat, langid, toxicity
 from helio.llm.common import LOWER, UPPER
+from helio.llm.decontaminate import decontaminate
 from helio.llm.exact_dedup import exact_dedup
 from helio.llm.license_scan import TEMPLATES, license_scan
 from helio.llm.minhash import near_dedup
 from helio.llm.packing import pack_documents
+from helio.llm.prefix_trie import branched, conversation_turns, prefix_trie
 from helio.llm.url_filter import rule_table, url_filter
 from helio.llm.vectors import near_vectors
 
@@ -88,6 +90,14 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align_documents(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(branched(conversation_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
@@ -100,6 +110,8 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_url_filter": op10_url_filter,
     "op11_token_alignment": op11_token_alignment,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_decontamination": op13_decontamination,
 }
 
 _CLOSE = """reach AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)"""
@@ -152,4 +164,29 @@ m AS (SELECT p.page_id, r.verdict, rh || rp AS rule,
       FROM p JOIN r ON (p.host = rh OR ends_with(p.host, '.' || rh)) AND starts_with(p.path, rp))
 SELECT p.page_id, p.host, p.path, m.rule, coalesce(m.verdict, 'allow') AS verdict
 FROM p LEFT JOIN m ON p.page_id = m.page_id AND m.rn = 1""",
+    "op12_prefix_trie": """
+WITH c AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+h AS (SELECT conv_id, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+ lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), list_transform(range(8), lambda z: CAST(0 AS BIGINT))), lambda x, z: xor(x >> 1, (x & 1) * CAST(3988292384 AS BIGINT)))), CAST(4294967295 AS BIGINT)) % 6 AS h FROM c),
+t0 AS (SELECT conv_id, turn, coalesce(text, '') AS text, sha256(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS k FROM conversations WHERE conv_id IS NOT NULL),
+t AS (SELECT conv_id, k, length(text) AS n, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) - 1 AS pos FROM t0),
+r AS (SELECT conv_id, k, n, pos FROM t JOIN h USING (conv_id) WHERE pos >= h UNION ALL SELECT h.conv_id, k, n, pos FROM h JOIN t ON t.conv_id = h.conv_id - h.conv_id % 100 WHERE pos < h),
+p AS (SELECT conv_id, n, row_number() OVER w AS depth, sha256(string_agg(k, '') OVER w) AS node FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY pos)
+ UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+q AS (SELECT *, lag(node) OVER (PARTITION BY conv_id ORDER BY depth) AS parent, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM p),
+nodes AS (SELECT node, any_value(depth) AS depth, any_value(parent) AS parent, any_value(n) AS n, count(*) AS n_convs, min(conv_id) AS conv_id, sha256(coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM q GROUP BY node),
+kids AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY 1),
+subtree AS (SELECT up.node, count(*) FILTER (n_children IS NULL) AS n_leaves, sum((n_convs - 1) * nodes.n) AS saved_tokens FROM nodes LEFT JOIN kids USING (node) JOIN p up ON up.conv_id = nodes.conv_id AND up.depth <= nodes.depth GROUP BY 1)
+SELECT nodes.conv_id, nodes.depth, above.conv_id AS parent_conv_id, nodes.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, nodes.ends_sha256
+FROM nodes JOIN subtree USING (node) LEFT JOIN kids USING (node) LEFT JOIN nodes above ON above.node = nodes.parent""",
+    "op13_decontamination": rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT item, least(len(w), 10) AS n, w[i:i + 9] AS words FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+one AS (SELECT DISTINCT n, words FROM win),
+pos AS (SELECT rid, n, i AS start, w[i:i + n - 1] AS words FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+occ AS (SELECT rid, start, n, words FROM pos JOIN one USING (n, words)),
+hit AS (SELECT rid, count(DISTINCT place) AS n_hit FROM (SELECT rid, unnest(range(start, start + n)) AS place FROM occ) GROUP BY 1),
+its AS (SELECT rid, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, n, words FROM occ) JOIN win USING (n, words) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated FROM d LEFT JOIN hit USING (rid) LEFT JOIN its USING (rid)""",
 }

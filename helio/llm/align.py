@@ -66,42 +66,35 @@ class Tokenizers:
 
 def align_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of tokens of either up to each common end. Both arrays rise and have the same last end (or are empty)."""
-    width = 8
-    raw_a, raw_b = ends_a.astype("<i8").tobytes(), ends_b.astype("<i8").tobytes()
-    a, b = ends_a.tolist(), ends_b.tolist()
+    n = len(ends_a)
+    x, y = np.append(ends_a, -1).astype("<i8"), np.append(ends_b, -2).astype("<i8")  # the last ones differ, so nothing runs over the end
+    raw_a, raw_b, a, b = x.tobytes(), y.tobytes(), x.tolist(), y.tolist()
     i = j = 0  # tokens before the cut; the shift is j - i
-    last, size = [], []  # A's index and the number of groups of each stretch, of one group where it is irregular
-    other = []
-    n, m = len(a), len(b)
+    last, other, size = [], [], []  # tokens up to the end of each stretch, and its groups: one where it is irregular
     while i < n:
-        start, step = i, 1
-        while True:  # doubling while the ends agree at this shift, then halving down to where they part
-            x, y = i * width, j * width
-            if i + step <= n and j + step <= m and raw_a[x : x + step * width] == raw_b[y : y + step * width]:
+        if a[i] == b[j]:
+            start, step = i, 2
+            i, j = i + 1, j + 1
+            while raw_a[8 * i : 8 * (i + step)] == raw_b[8 * j : 8 * (j + step)]:  # doubling while the ends agree at this shift
                 i, j, step = i + step, j + step, step * 2
-            elif step == 1:
-                break
-            else:
+            while step > 8:  # then halving down to where they part
                 step //= 2
-                while step:
-                    x, y = i * width, j * width
-                    if i + step <= n and j + step <= m and raw_a[x : x + step * width] == raw_b[y : y + step * width]:
-                        i, j = i + step, j + step
-                    step //= 2
-                break
-        if i > start:
+                if raw_a[8 * i : 8 * (i + step)] == raw_b[8 * j : 8 * (j + step)]:
+                    i, j = i + step, j + step
+            while a[i] == b[j]:
+                i, j = i + 1, j + 1
             last.append(i)
             other.append(j)
             size.append(i - start)
-        if i < n:
-            x, y = a[i], b[j]
-            while x != y:
-                if x < y:
+        else:
+            u, v = a[i], b[j]
+            while u != v:
+                if u < v:
                     i += 1
-                    x = a[i]
+                    u = a[i]
                 else:
                     j += 1
-                    y = b[j]
+                    v = b[j]
             i, j = i + 1, j + 1
             last.append(i)
             other.append(j)
@@ -155,13 +148,13 @@ class _Lot:
         return out
 
 
-def _lots(batches, key: str):
-    """(ids, texts) of about LOT_BYTES each."""
+def _lots(batches, key: str, most: int):
+    """(ids, texts) of about ``most`` characters each."""
     for batch in batches:
         texts, lo, size = batch.column("_text").to_pylist(), 0, 0
         for k, text in enumerate(texts):
             size += len(text or "")
-            if size >= LOT_BYTES or k + 1 == len(texts):
+            if size >= most or k + 1 == len(texts):
                 yield batch.column(key).slice(lo, k + 1 - lo), [x or "" for x in texts[lo : k + 1]]
                 lo, size = k + 1, 0
 
@@ -193,7 +186,7 @@ def aligned_blocks(docs: DataFrame, byte_bpe: str, pieces: str, id_col: str = "d
             held = {"_block": [task << 32 | number], "_block_row": [True], "pairs": [np.fromiter(known, np.int64, len(known))], "docs": [counts]}
             return pa.RecordBatch.from_arrays([pa.array(held.get(f.name, [None]), f.type) for f in schema], schema=schema)
 
-        for ids, texts in _lots(batches, "_id"):
+        for ids, texts in _lots(batches, "_id", LOT_BYTES):
             schema = schema or pa.schema([("_id", ids.type), *[(c, pa.string() if k == "string" else pa.int64()) for c, k in (x.split() for x in DOC.split(", "))], ("_block", pa.int64()), ("_block_row", pa.bool_()), ("places", pa.binary()), ("occurs", pa.binary()), ("pairs", pa.list_(pa.int64())), ("docs", pa.list_(pa.int64()))])
             lot = _Lot(t, texts)
             group, pairs, occurs = _links(lot.a, lot.b, lot.cut_a, lot.cut_b)
@@ -263,7 +256,7 @@ def token_groups(docs: DataFrame, byte_bpe: str, pieces: str, id_col: str = "doc
 
     def run(batches):
         t = Tokenizers(byte_bpe, pieces)
-        for ids, texts in _lots(batches, "_id"):
+        for ids, texts in _lots(batches, "_id", LOT_BYTES):
             lot, out, base = _Lot(t, texts), [[] for _ in texts], 0
             for g, d in enumerate(lot.doc.tolist()):
                 i, j = lot.cut_a[g], lot.cut_b[g]

@@ -14,6 +14,7 @@ sums over its members' own parts, which the second pass adds up in the same way.
 from __future__ import annotations
 
 import hashlib
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -162,36 +163,30 @@ def branched(turns: DataFrame, group: int = 100, most: int = 6) -> DataFrame:
     return own.select(columns).unionAll(taken.select(columns)).unionByName(convs, allowMissingColumns=True)
 
 
-def _tries(batches):
-    """Local tries of sequences with their weights, each expanded when it is full."""
+def _tries(most: int):
+    """Local tries of sequences with their weights, each expanded when it holds ``most`` turns."""
     schema = pa.schema([("node", pa.binary()), ("parent", pa.binary()), ("depth", pa.int64()), ("n_convs", pa.int64()), ("conv_id", pa.int64()), ("saved_tokens", pa.int64()), ("n_leaves", pa.int64())])
 
-    def rows(trie: ZFastTrie):
-        held = []
-        for row in trie.expand():
-            held.append(row)
-            if len(held) == 20_000:
-                yield held
-                held = []
-        if held:
-            yield held
-
-    def tables(trie: ZFastTrie):
-        for held in rows(trie):
+    def expanded(trie: ZFastTrie):
+        rows = trie.expand()
+        while held := list(islice(rows, 20_000)):
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), schema, strict=True)], schema=schema)
 
-    trie = ZFastTrie()
-    for batch in batches:
-        names = ("_seq", "_lengths", "_n", "_conv", "_since", "_leaf")
-        for seq, lengths, n, conv, since, leaf in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
-            node, until = trie.insert(seq.encode(), lengths)
-            owned = 0 if since is None else until[-1] - (until[since - 1] if since else 0)
-            node.add(n, conv, n * until[-1], owned, leaf or 0, since)
-            if trie.size >= MOST_TURNS:
-                yield from tables(trie)
-                trie = ZFastTrie()
-    if trie.size:
-        yield from tables(trie)
+    def run(batches):
+        trie = ZFastTrie()
+        for batch in batches:
+            names = ("_seq", "_lengths", "_n", "_conv", "_since", "_leaf")
+            for seq, lengths, n, conv, since, leaf in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+                node, until = trie.insert(seq.encode(), lengths)
+                owned = 0 if since is None else until[-1] - (until[since - 1] if since else 0)
+                node.add(n, conv, n * until[-1], owned, leaf or 0, since)
+                if trie.size >= most:
+                    yield from expanded(trie)
+                    trie = ZFastTrie()
+        if trie.size:
+            yield from expanded(trie)
+
+    return run
 
 
 _TRIE = "node binary, parent binary, depth long, n_convs long, conv_id long, saved_tokens long, n_leaves long"
@@ -240,7 +235,7 @@ def end_digests(ends: DataFrame) -> DataFrame:
     return texts.repartition("node").sortWithinPartitions("node", "_first").mapInArrow(digest, "node binary, ends_sha256 string")
 
 
-def prefix_trie(turns: DataFrame) -> DataFrame:
+def prefix_trie(turns: DataFrame, most_turns: int = MOST_TURNS) -> DataFrame:
     """A row for each distinct sequence of first turns: conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256.
 
     ``turns``: conv_id, _pos, _turn, _length as from ``conversation_turns``; a conversation whose rows all have a null _pos has
@@ -257,13 +252,13 @@ def prefix_trie(turns: DataFrame) -> DataFrame:
     distinct = distinct.repartitionByRange(F.substring("_seq", 1, 8 * TURN), "node")
     own = [F.lit(None).cast("long").alias("_since"), F.lit(None).cast("long").alias("_leaf")]
     columns = ["_seq", "_lengths", "_n", "_conv"]
-    first = distinct.select(*columns, *own).mapInArrow(_tries, _TRIE)
+    first = distinct.select(*columns, *own).mapInArrow(_tries(most_turns), _TRIE)
     nodes = first.groupBy("node").agg(F.first("parent").alias("parent"), F.first("depth").alias("depth"), F.sum("n_convs").alias("n_convs"), F.min("conv_id").alias("conv_id"))
     kids = nodes.groupBy(F.col("parent").alias("_of")).agg(F.count(F.lit(1)).alias("n_children"))
     nodes = cut(nodes.join(kids, F.col("node") == F.col("_of"), "left").select("node", "parent", "depth", "n_convs", "conv_id", F.coalesce("n_children", F.lit(0)).alias("n_children")))
     deepest = F.max(F.struct("depth", (F.col("n_children") == 0).cast("long").alias("leaf")))
     owners = nodes.groupBy(F.col("conv_id").alias("_owner")).agg(F.min("depth").alias("_since"), deepest.alias("_last")).select("_owner", "_since", F.col("_last.leaf").alias("_leaf"))
-    second = distinct.join(owners, F.col("_conv") == F.col("_owner"), "left").select(*columns, "_since", "_leaf").mapInArrow(_tries, _TRIE)
+    second = distinct.join(owners, F.col("_conv") == F.col("_owner"), "left").select(*columns, "_since", "_leaf").mapInArrow(_tries(most_turns), _TRIE)
     sums = second.select("node", "saved_tokens", "n_leaves").unionByName(end_digests(convs.select("node", "conv_id")), allowMissingColumns=True)
     sums = sums.groupBy(F.col("node").alias("_node")).agg(F.sum("saved_tokens").alias("saved_tokens"), F.sum("n_leaves").alias("n_leaves"), F.max("ends_sha256").alias("_ends"))
     parents = nodes.select(F.col("node").alias("_parent"), F.col("conv_id").alias("parent_conv_id"))

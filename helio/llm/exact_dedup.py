@@ -34,11 +34,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     whole = text_col in carry
     norm = lambda c: ascii_lower(F.coalesce(c, F.lit("")))
     rows = docs.select(F.col(id_col).alias("_id"), norm(F.col(text_col)).alias("_norm"), *[F.col(c).alias(f"_c{i}") for i, c in enumerate(carry)])
-    rows = rows.withColumns({"_h": F.xxhash64("_norm"), "_h2": F.xxhash64(F.lit(1), "_norm")})
+    rows = rows.withColumns({"_h": F.xxhash64("_norm"), "_sha": F.sha2("_norm", 256)})
     limit = hot_limit(docs.count())
-    # At most a million texts have more rows than the limit; here two hashes stand for a text, in the sorted runs it is compared in full.
-    counts = rows.groupBy("_h", "_h2").agg(best("_id").alias("_hot_keep"), F.count(F.lit(1)).alias("_hot_size")).where(F.col("_hot_size") > limit)
-    rows = rows.join(F.broadcast(counts.withColumn("_salts", F.ceil(F.col("_hot_size") / limit))), ["_h", "_h2"], "left")
+    # At most a million texts have more rows than the limit; here the SHA-256 stands for a text, in the sorted runs it is compared in full.
+    counts = rows.groupBy("_sha").agg(best("_id").alias("_hot_keep"), F.count(F.lit(1)).alias("_hot_size")).where(F.col("_hot_size") > limit)
+    rows = rows.join(F.broadcast(counts.withColumn("_salts", F.ceil(F.col("_hot_size") / limit))), "_sha", "left")
     # Rows that stay behind are spread at will; only rows with the identifier that stays must meet, as one of them is kept.
     spread = F.pmod(F.xxhash64("_id", F.monotonically_increasing_id()), F.col("_salts")) + 1
     salt = F.when(F.col("_salts").isNotNull() & ~F.col("_id").eqNullSafe(F.col("_hot_keep")), spread).otherwise(F.lit(0).cast("long"))
@@ -52,8 +52,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     all_ = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     kept_columns = [f"_c{i}" for i in range(len(carry))]
     runs = dealt.select(
-        "_id", "_norm", "_hot_keep", "_hot_size", *kept_columns, F.first("_id").over(all_).alias("_keep"), F.count(F.lit(1)).over(all_).alias("_size"), F.row_number().over(run).alias("_rn"),
-    ).withColumn("_sha", F.sha2("_norm", 256)).drop("_norm")
+        "_id", "_sha", "_hot_keep", "_hot_size", *kept_columns, F.first("_id").over(all_).alias("_keep"), F.count(F.lit(1)).over(all_).alias("_size"), F.row_number().over(run).alias("_rn"),
+    )
     out = runs.withColumn("_all_keep", F.when(F.col("_hot_size").isNull(), F.col("_keep")).otherwise(F.col("_hot_keep")))
     return out.select(
         F.col("_id").alias(id_col),

@@ -71,7 +71,8 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup(_documents(spark, sf_dir), width=4).drop("text_sha256")
+    out = near_dedup(_documents(spark, sf_dir), width=4).drop("text_sha256")
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))  # also of each row that shares that id
 
 
 def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

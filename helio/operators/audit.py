@@ -47,9 +47,13 @@ def quality_summary(df: DataFrame, group: str) -> DataFrame:
 
 
 def orphan_keys(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Fact rows whose key (not null) has no row in the dimension, by key."""
-    one = lambda key, dim, col: fact.where(F.col(key).isNotNull()).join(dim.select(F.col(col).alias("_k")), F.col(key) == F.col("_k"), "left_anti").agg(F.lit(key).alias("key_name"), F.count(F.lit(1)).alias("orphans"))
-    return reduce(DataFrame.unionAll, [one(k, d, c) for k, (d, c) in dims.items()])
+    """Fact rows whose key (not null) has no row in the dimension, by key: the fact is read once and meets each dimension's distinct keys."""
+    rows = fact.select(*dims)
+    for key, (dim, col) in dims.items():
+        known = dim.select(F.col(col).alias(f"_{key}")).where(F.col(col).isNotNull()).distinct()
+        rows = rows.join(known, F.col(key) == F.col(f"_{key}"), "left")
+    one = rows.agg(*[F.count_if(F.col(k).isNotNull() & F.col(f"_{k}").isNull()).alias(f"{k}__orphans") for k in dims])
+    return _stack(one, list(dims), ["orphans"]).withColumnRenamed("column_name", "key_name")
 
 
 def distribution(df: DataFrame, column: str, group: list[str], percents=PERCENTS, exact: bool = False) -> DataFrame:

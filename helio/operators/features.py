@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from helio.operators.ranks import exact_quantiles, with_quantiles
+from helio.operators.ranks import exact_quantiles, numbered, with_quantiles
 from helio.sources.shared import cut
 
 EPSILON = 1e-6
@@ -20,18 +20,48 @@ def temporal(df: DataFrame, ts: str = "date_hour") -> DataFrame:
     return out.withColumns({"hour_sin": F.sin(turn("hour_of_day", 24)), "hour_cos": F.cos(turn("hour_of_day", 24)), "month_sin": F.sin(turn("month", 12)), "month_cos": F.cos(turn("month", 12))})
 
 
-def lag_rows(df: DataFrame, value: str = "energy_mwh", steps=(1, 24, 168)) -> DataFrame:
-    """Values some rows before; gaps shift them."""
-    w = Window.partitionBy("facility_code").orderBy("date_hour")
-    return df.withColumns({f"{value}_lag_{n}": F.lag(value, n).over(w) for n in steps})
+#: Rows of one facility that a task sorts at once, beside those handed on from the stretch before.
+STRETCH = 100_000
 
 
-def lag_hours(df: DataFrame, value: str = "energy_mwh", steps=(1, 24, 168)) -> DataFrame:
-    """Values exactly some hours before, null where that hour is missing: one window over seconds."""
+def _handed_on(df: DataFrame, tail: Column) -> DataFrame:
+    """Rows in their ``_stretch``, those of ``tail`` once more in the next one, as ``_halo``; the input is read once."""
+    here, there = F.struct(F.col("_stretch").alias("at"), F.lit(False).alias("halo")), F.struct((F.col("_stretch") + 1).alias("at"), F.lit(True).alias("halo"))
+    rows = df.withColumn("_of", F.explode(F.when(tail, F.array(here, there)).otherwise(F.array(here))))
+    return rows.withColumns({"_stretch": F.col("_of.at"), "_halo": F.col("_of.halo")}).drop("_of")
+
+
+def lag_rows(df: DataFrame, value: str = "energy_mwh", steps=(1, 24, 168), stretch: int = STRETCH) -> DataFrame:
+    """Values some rows before; gaps shift them. Rows of one hour are ordered by value.
+
+    No task has a facility's whole history: rows are numbered within their facility by counts of ranges, cut into stretches of ``stretch``
+    rows, and the last rows of a stretch, as many as the longest step, go along with the next one.
+    """
+    most = max(steps)
+    stretch = max(stretch, most)
+    placed = numbered(df, ["facility_code"], ["date_hour", value], "_no").withColumn("_stretch", F.floor((F.col("_no") - 1) / stretch))  # numbers from 1
+    rows = _handed_on(placed, (F.col("_no") - 1) % stretch >= stretch - most)
+    w = Window.partitionBy("facility_code", "_stretch").orderBy("_no")
+    lags = {f"{value}_lag_{n}": F.lag(value, n).over(w) for n in steps}
+    return rows.withColumns(lags).where("NOT _halo").select(*df.columns, *lags)
+
+
+def lag_hours(df: DataFrame, value: str = "energy_mwh", steps=(1, 24, 168), hours: int = 20_000) -> DataFrame:
+    """Values exactly some hours before, null where that hour is missing; of several rows there the largest.
+
+    A facility's history is cut into stretches of ``hours`` hours; the hours at the end of one that the longest step reaches
+    go along with the next one. One exchange, by facility and stretch.
+    """
+    most = max(steps)
+    hours = max(hours, most)
+    at = F.unix_timestamp("date_hour")
+    placed = df.withColumns({"_at": at, "_stretch": F.floor(at / (hours * 3600))})
+    rows = _handed_on(placed, F.coalesce(F.col("_at") >= ((F.col("_stretch") + 1) * hours - most) * 3600, F.lit(False)))
+    lags = {}
     for n in steps:
-        w = Window.partitionBy("facility_code").orderBy(F.unix_timestamp("date_hour")).rangeBetween(-n * 3600, -n * 3600)
-        df = df.withColumn(f"{value}_lag_{n}h", F.max(value).over(w))
-    return df
+        w = Window.partitionBy("facility_code", "_stretch").orderBy("_at").rangeBetween(-n * 3600, -n * 3600)
+        lags[f"{value}_lag_{n}h"] = F.max(value).over(w)
+    return rows.withColumns(lags).where("NOT _halo").select(*df.columns, *lags)
 
 
 def interactions(df: DataFrame) -> DataFrame:

@@ -21,18 +21,18 @@ def pr_by_facility(fact: DataFrame) -> DataFrame:
 
 
 def pr_exclusion(fact: DataFrame, limit: float = 100.0) -> DataFrame:
-    """Rows kept when facilities with a ratio over ``limit`` are left out."""
-    over = pr_by_facility(fact).where(F.col("pr_pct") > limit).select("facility_code", F.lit(True).alias("_over"))
-    rows = base_rows(fact).join(over, "facility_code", "left")
-    n = F.count(F.lit(1))
-    return rows.agg(n.alias("n"), F.count_if("_over").alias("excluded"), F.round(F.try_divide((n - F.count_if("_over")) * 100.0, n), 4).alias("retention_pct"))
+    """Rows kept when facilities with a ratio over ``limit`` are left out; facilities are summed once, then added up."""
+    each = pr_by_facility(fact)
+    n = F.coalesce(F.sum("n"), F.lit(0))
+    over = F.coalesce(F.sum(F.when(F.col("pr_pct") > limit, F.col("n"))), F.lit(0))
+    return each.agg(n.alias("n"), over.alias("excluded"), F.round(F.try_divide((n - over) * 100.0, n), 4).alias("retention_pct"))
 
 
 def pr_compliance(fact: DataFrame, least_pr: float = 60.0, least_retention: float = 70.0) -> DataFrame:
-    all_rows = fact.groupBy("facility_code").agg(F.count(F.lit(1)).alias("total"))
-    out = all_rows.join(pr_by_facility(fact), "facility_code", "left").withColumn("retention_pct", F.round(F.coalesce("n", F.lit(0)) * 100.0 / F.col("total"), 4))
-    low, few = ~F.coalesce(F.col("pr_pct") > least_pr, F.lit(False)), F.col("retention_pct") < least_retention
-    return out.select("facility_code", "pr_pct", "retention_pct", (~low & ~few).alias("compliant"), F.concat_ws("; ", F.when(low, "PR too low"), F.when(few, "retention too low")).alias("reason"))
+    """Ratio and retention of each facility against their limits, in one pass."""
+    out = _by_filter(fact, {"base": "energy_mwh > 0 AND yr_weighted_kwh > 0"}).withColumn("retention_pct", F.round(F.col("n0") * 100.0 / F.col("total"), 4))
+    low, few = ~F.coalesce(F.col("pr0") > least_pr, F.lit(False)), F.col("retention_pct") < least_retention
+    return out.select("facility_code", F.col("pr0").alias("pr_pct"), "retention_pct", (~low & ~few).alias("compliant"), F.concat_ws("; ", F.when(low, "PR too low"), F.when(few, "retention too low")).alias("reason"))
 
 
 def pr_sensitivity(fact: DataFrame, spark: SparkSession, thresholds=(0.02, 0.05, 0.1, 0.2, 0.3, 0.4, 0.5)) -> DataFrame:

@@ -23,6 +23,25 @@ def global_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     return ranges.withColumn("_in", inside).join(base, "_range").withColumn(name, F.col("_base") + F.col("_in")).drop("_range", "_base", "_in", *keys)
 
 
+def numbered(df: DataFrame, group: list[str], order: list[str], name: str) -> DataFrame:
+    """Rows with their number from 1 within their group by ``order``, nulls last; of equal ones at will. Null groups are groups.
+
+    Rows are dealt into ranges by group and order, numbered within the part of a group that a range has, and moved on by
+    the counts of the group's parts before. So a group may be as large as it likes; windows see a row for each part.
+    """
+    keys = [*[F.col(c).asc_nulls_first() for c in group], *[F.col(c).asc_nulls_last() for c in order]]
+    ranges = cut(df.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id()))
+    own = Window.partitionBy(*group, "_range").orderBy(*keys[len(group) :])
+    parts = ranges.groupBy(*group, "_range").count()
+    before = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    base = parts.select(*[F.col(c).alias(f"_b{i}") for i, c in enumerate(group)], F.col("_range").alias("_r"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_base"))
+    on = F.col("_range") == F.col("_r")
+    for i, c in enumerate(group):
+        on &= F.col(c).eqNullSafe(F.col(f"_b{i}"))
+    out = ranges.withColumn("_in", F.row_number().over(own)).join(base, on)
+    return out.select(*df.columns, (F.col("_base") + F.col("_in")).alias(name))
+
+
 def exact_quantiles(df: DataFrame, column: str, percents: dict[str, float], group: list[str] = ()) -> DataFrame:  # type: ignore[assignment]
     """One row per group (one row in all without): the group as _g0, _g1 and so on, and each of ``percents``, interpolated.
 

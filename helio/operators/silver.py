@@ -60,7 +60,36 @@ def scd2(history: DataFrame, key: str, effective: str, attributes: list[str], ti
     return changed.withColumn("is_current", F.col("effective_to").isNull()).select(key, effective, "effective_to", *attributes, "row_hash", "is_current")
 
 
-#: Decimal columns of the facility master, and the attributes whose change starts a new version.
+def splice(known: DataFrame | None, rows: DataFrame, key: str, effective: str, attributes: list[str]) -> DataFrame:
+    """All versions of the keys in ``rows`` after rows of any date have come in: key, effective, effective_to, attributes, row_hash, is_current, seen.
+
+    A version keeps in ``seen`` when its attributes were observed (its own date first). So a row that falls into a known version
+    splits it where the next observation stands, one that says the same as a neighbour is joined to it, one before all opens
+    the history: the versions are those of the whole history, in whatever order its rows have come. A row replaces what was observed at
+    its very date; of two such rows in one load the one of lesser hash stays. Only the keys in ``rows`` are read
+    from ``known``; a row without a date is left out.
+    """
+    columns = [key, effective, *attributes]
+    fresh = rows.where(F.col(effective).isNotNull()).select(*columns, row_hash(attributes).alias("row_hash"), F.lit(1).alias("_load"))
+    if known is not None:
+        old = known.join(fresh.select(key).distinct(), key, "left_semi").drop(effective)
+        fresh = old.select(key, F.explode("seen").alias(effective), *attributes, "row_hash", F.lit(0).alias("_load")).unionByName(fresh)
+    in_time = Window.partitionBy(key).orderBy(effective)
+    best = Window.partitionBy(key, effective).orderBy(F.desc("_load"), "row_hash")
+    one = fresh.repartition(key).withColumn("_rn", F.row_number().over(best)).where("_rn = 1")
+    starts = F.when(F.col("row_hash").eqNullSafe(F.lag("row_hash").over(in_time)), 0).otherwise(1)
+    runs = one.withColumn("_start", starts).withColumn("_run", F.sum("_start").over(in_time))
+    out = runs.groupBy(key, "_run").agg(F.min(effective).alias(effective), F.array_sort(F.collect_list(effective)).alias("seen"), *[F.first(c).alias(c) for c in (*attributes, "row_hash")])
+    out = out.withColumn("effective_to", F.lead(effective).over(in_time))
+    return out.select(key, effective, "effective_to", *attributes, "row_hash", F.col("effective_to").isNull().alias("is_current"), "seen")
+
+
+def replace_keys(known: DataFrame | None, spliced: DataFrame, key: str) -> DataFrame:
+    """The whole table after ``splice``: other keys as they were."""
+    return spliced if known is None else known.join(spliced.select(key).distinct(), key, "left_anti").unionByName(spliced)
+
+
+#: Decimal columns of the facility master, and the attributes whose change starts a new version.
 MASTER_DECIMALS = {"location_lat": "decimal(10,6)", "location_lng": "decimal(10,6)", "total_capacity_mw": "decimal(10,4)", "total_capacity_registered_mw": "decimal(10,4)", "total_capacity_maximum_mw": "decimal(10,4)"}
 MASTER_ATTRIBUTES = ["facility_name", "network_id", "network_region", "location_lat", "location_lng", "unit_count", "total_capacity_mw", "total_capacity_registered_mw", "total_capacity_maximum_mw", "unit_fueltech_summary", "unit_status_summary", "facility_description"]
 
@@ -72,16 +101,28 @@ def facility_master(raw: DataFrame, existing: DataFrame | None = None) -> DataFr
     the new rows, so an unchanged facility makes no new version; they come back with their end, to be upserted on
     (facility_code, effective_from).
     """
-    rows = with_columns_or_null(raw.where("facility_code IS NOT NULL"), MASTER_DECIMALS, "double")
-    rows = with_columns_or_null(rows, ["unit_count"], "int")
-    rows = with_columns_or_null(rows, MASTER_ATTRIBUTES, "string")
-    rows = rows.withColumns({c: F.col(c).try_cast(kind) for c, kind in MASTER_DECIMALS.items()})
     columns = ["facility_code", "effective_from", *MASTER_ATTRIBUTES]
-    rows = rows.select(*columns, F.lit(1).alias("_source"))
+    rows = _master_rows(raw).select(*columns, F.lit(1).alias("_source"))
     if existing is not None:
         rows = existing.where("is_current").select(*columns, F.lit(0).alias("_source")).unionByName(rows)
-    out = scd2(rows, "facility_code", "effective_from", MASTER_ATTRIBUTES, "_source")
-    return out.withColumn("is_valid", F.coalesce(F.col("total_capacity_mw") > 0, F.lit(False))).withColumn("quality_flag", F.when(F.col("is_valid"), "GOOD").otherwise("CAPACITY_INVALID"))
+    return _master_flags(scd2(rows, "facility_code", "effective_from", MASTER_ATTRIBUTES, "_source"))
+
+
+def _master_rows(raw: DataFrame) -> DataFrame:
+    rows = with_columns_or_null(raw.where("facility_code IS NOT NULL"), MASTER_DECIMALS, "double")
+    rows = with_columns_or_null(rows, ["unit_count"], "int")
+    rows = with_columns_or_null(rows, MASTER_ATTRIBUTES, "string")
+    return rows.withColumns({c: F.col(c).try_cast(kind) for c, kind in MASTER_DECIMALS.items()})
+
+
+def _master_flags(versions: DataFrame) -> DataFrame:
+    return versions.withColumn("is_valid", F.coalesce(F.col("total_capacity_mw") > 0, F.lit(False))).withColumn("quality_flag", F.when(F.col("is_valid"), "GOOD").otherwise("CAPACITY_INVALID"))
+
+
+def facility_master_spliced(known: DataFrame | None, raw: DataFrame) -> DataFrame:
+    """The master after rows of any date have come in, late ones too: the columns of ``facility_master`` and ``seen`` (see ``splice``). ``known``: what this gave before."""
+    late = splice(known, _master_rows(raw), "facility_code", "effective_from", MASTER_ATTRIBUTES)
+    return replace_keys(known, _master_flags(late), "facility_code")
 
 
 def with_load_times(df: DataFrame, now: Column) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helio.sources.shared import cut
+from helio.sources.stored import drop_partitions, write_partitioned
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -50,28 +51,26 @@ def backfill(source: DataFrame, path: str, keys: list[str], order: list[Column])
 
 
 def upsert_partitions(spark, path: str, source: DataFrame, keys: list[str], partition: str, order: list[Column] | None = None) -> None:
-    """Upsert into a partitioned Parquet table, through a checkpoint. Only partitions that hold a key of the source, or will, are rewritten; so a key that moves leaves its old one."""
+    """Upsert into a partitioned Parquet table, through a checkpoint. Only partitions that hold a key of the source, or will, are rewritten; so a key that moves leaves its old one, and a partition that it leaves empty goes."""
     try:
         target = spark.read.parquet(path)
     except Exception as e:  # no table yet
         if "PATH_NOT_FOUND" not in str(e):
             raise
         target = None
-    whole = target
     if target is not None:
         held = target.join(source.select(*keys), keys, "left_semi").select(partition).distinct()
         touched = cut(held.unionByName(source.select(partition)).distinct())
         target = target.join(touched, partition, "left_semi")
     merged = cut(upsert(target, source, keys, order))
-    if target is not None and not touched.join(merged.select(partition).distinct(), partition, "left_anti").isEmpty():
-        # A partition has lost its last row; dynamic mode would leave it, so this once the table is written as a whole.
-        cut(upsert(whole, source, keys, order)).write.mode("overwrite").partitionBy(partition).parquet(path)
-    else:
-        overwrite_partitions(merged, path, partition)
+    overwrite_partitions(merged, path, partition)
+    if target is not None:
+        drop_partitions(spark, path, touched.join(merged.select(partition).distinct(), partition, "left_anti"), partition)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition: str, most_rows: int = 5_000_000) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", most_rows).partitionBy(partition).parquet(path)
+    """Replace the partitions that ``df`` has rows of; the others stay."""
+    write_partitioned(df, path, [partition], "overwrite", most_rows, dynamic=True)
 
 
 def date_range_condition(df: DataFrame, start: str, end: str, preferred: tuple[str, ...] = ("date_hour", "interval_ts", "date_key", "date")) -> Column:

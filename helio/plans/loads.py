@@ -208,16 +208,18 @@ def layer_run_tables(spark: SparkSession, sf_dir: str, base: str) -> dict[str, D
     hourly = {"energy": stored("energy", silver.hourly_energy(raw["readings"])), "weather": stored("weather", silver.hourly_weather(raw["weather"])), "air": stored("air", silver.hourly_air_quality(raw["air"]))}
     dimensions = {"facility": stored("dim_facility", dims.dim_facility(raw["facilities"])), "date": stored("dim_date", dims.dim_date(*[(df, "date_hour") for df in hourly.values()])), "time": stored("dim_time", dims.dim_time(spark)), "aqi": stored("dim_aqi", dims.dim_aqi(spark))}
     fact = facts.fact_environmental(hourly["energy"], hourly["weather"], hourly["air"], dimensions["facility"], dimensions["aqi"])
+    fact = silver.with_load_times(facts.typed(fact, facts.FACT_COLUMNS), F.lit("2024-06-01").cast("timestamp"))
     upsert.overwrite_partitions(fact, f"{base}/fact", "date_key")
     return {**hourly, **dimensions, "fact": nested.read_table(spark, f"{base}/fact", ["date_key"])}
 
 
-@query("SELECT facility_code, date_hour, energy_mwh, facility_key, date_key, time_key, aqi_category_key, quality_flag, full_date, time_of_day FROM fact JOIN (SELECT DISTINCT CAST(strftime(date_hour, '%Y%m%d') AS INTEGER) AS date_key, CAST(date_hour AS DATE) AS full_date FROM energy) USING (date_key) JOIN (SELECT range AS time_key, CASE WHEN range < 6 THEN 'Night' WHEN range < 12 THEN 'Morning' WHEN range < 17 THEN 'Afternoon' WHEN range < 21 THEN 'Evening' ELSE 'Night' END AS time_of_day FROM range(24)) USING (time_key)")
+@query("SELECT facility_code, date_hour, CAST(energy_mwh AS DECIMAL(12,6)) AS energy_mwh, TRY_CAST(CAST(irr_kwh_m2_hour AS VARCHAR) AS DECIMAL(10,6)) AS irr_kwh_m2_hour, TIMESTAMP '2024-06-01 00:00:00' AS created_at, TIMESTAMP '2024-06-01 00:00:00' AS updated_at, facility_key, date_key, time_key, aqi_category_key, quality_flag, full_date, time_of_day FROM fact JOIN (SELECT DISTINCT CAST(strftime(date_hour, '%Y%m%d') AS INTEGER) AS date_key, CAST(date_hour AS DATE) AS full_date FROM energy) USING (date_key) JOIN (SELECT range AS time_key, CASE WHEN range < 6 THEN 'Night' WHEN range < 12 THEN 'Morning' WHEN range < 17 THEN 'Afternoon' WHEN range < 21 THEN 'Evening' ELSE 'Night' END AS time_of_day FROM range(24)) USING (time_key)")
 def layer_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All layers in order, and the fact with its dimensions as stored."""
+    """All layers in order, and the typed fact with its dimensions as stored: facility, day and hour come from their keys."""
     t = layer_run_tables(spark, sf_dir, _path(spark, "layers"))
-    fact = t["fact"].select("facility_code", "date_hour", "energy_mwh", "facility_key", "date_key", "time_key", "aqi_category_key", "quality_flag")
-    return fact.join(t["date"].select("date_key", "full_date"), "date_key").join(t["time"].select("time_key", "time_of_day"), "time_key")
+    fact = t["fact"].select("energy_mwh", "irr_kwh_m2_hour", "facility_key", "date_key", "time_key", "aqi_category_key", "quality_flag", "created_at", "updated_at")
+    star = fact.join(t["date"].select("date_key", "full_date"), "date_key").join(t["time"].select("time_key", "time_of_day"), "time_key").join(t["facility"].select("facility_key", "facility_code"), "facility_key")
+    return star.withColumn("date_hour", F.timestamp_seconds(F.unix_timestamp(F.col("full_date").cast("timestamp")) + F.col("time_key") * 3600))
 
 
 CTES["wlook"] = "SELECT w.facility_code, w.date_hour, CAST(w.date_hour AS DATE) AS full_date, d.weather_condition_key, x.shortwave_radiation, x.direct_radiation, x.diffuse_radiation, x.temperature_2m, x.cloud_cover, x.wind_speed_10m, x.precipitation, x.sunshine_duration, w.weather_severity FROM wclass w JOIN weather x ON w.facility_code = x.facility_code AND w.date_hour = x.date_hour LEFT JOIN wdim d ON " + " AND ".join(f"w.{c} = d.{c}" for c in dims.WEATHER_CLASS)

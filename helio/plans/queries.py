@@ -336,10 +336,12 @@ def bounds_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.bounds_profile(_weather(spark, sf_dir), {c: WEATHER_BOUNDS[c] for c in _W})
 
 
-@query("SELECT 'facility_key' AS key_name, count(*) AS orphans FROM fact f WHERE facility_key IS NOT NULL AND facility_key NOT IN (SELECT facility_key FROM fac) UNION ALL SELECT 'aqi_category_key', count(*) FROM fact f WHERE aqi_category_key IS NOT NULL AND aqi_category_key NOT IN (SELECT aqi_category_key FROM aqi)")
+@query(" UNION ALL ".join(f"SELECT '{k}' AS key_name, count(*) FILTER ({k} IS NOT NULL AND {k} NOT IN (SELECT {k} FROM {d})) AS orphans FROM fact" for k, d in (("facility_key", "fac"), ("date_key", "(SELECT CAST(strftime(weather_timestamp, '%Y%m%d') AS INTEGER) AS date_key FROM raw_weather)"), ("time_key", "(SELECT range AS time_key FROM range(24))"), ("aqi_category_key", "aqi"))))
 def fk_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fac = _fac(spark, sf_dir)
-    return audit.orphan_keys(_fact(spark, sf_dir, fac), {"facility_key": (fac, "facility_key"), "aqi_category_key": (dims.dim_aqi(spark), "aqi_category_key")})
+    """All four keys of the fact; the date dimension has the days of the weather only, so some are orphans."""
+    fac, dates = _fac(spark, sf_dir), dims.dim_date((view(spark, sf_dir, "raw_weather"), "weather_timestamp"))
+    known = {"facility_key": (fac, "facility_key"), "date_key": (dates, "date_key"), "time_key": (dims.dim_time(spark), "time_key"), "aqi_category_key": (dims.dim_aqi(spark), "aqi_category_key")}
+    return audit.orphan_keys(_fact(spark, sf_dir, fac), known)
 
 
 _SD = "round(CAST(sum(CAST({c} AS DECIMAL(18,6))) AS DOUBLE) / count({c}), 4)"

@@ -124,19 +124,23 @@ def _shares(spark: SparkSession, d: str) -> DataFrame:
 
 _pred = "w.shortwave_radiation / 4"
 CTES["preds"] = f"SELECT e.facility_code, e.date_hour, e.energy_mwh AS actual, {_pred} AS predicted FROM energy e JOIN weather w ON e.facility_code = w.facility_code AND e.date_hour = w.date_hour"
-CTES["figures"] = "SELECT CAST(sum(CAST(abs(actual - predicted) AS DECIMAL(28,8))) AS DOUBLE) / count(*) AS mae, CAST(sum(CAST((actual - predicted) * (actual - predicted) AS DECIMAL(28,8))) AS DOUBLE) / count(*) AS mse FROM preds"
+CTES["figures"] = "SELECT CAST(sum(CAST(abs(actual - predicted) AS DECIMAL(28,8))) AS DOUBLE) / count(*) AS mae, CAST(sum(CAST((actual - predicted) * (actual - predicted) AS DECIMAL(28,8))) AS DOUBLE) / count(*) AS mse, 1 - CAST(sum(CAST((actual - predicted) * (actual - predicted) AS DECIMAL(28,8))) AS DOUBLE) / (CAST(sum(CAST(actual * actual AS DECIMAL(28,8))) AS DOUBLE) - CAST(sum(CAST(actual AS DECIMAL(28,8))) AS DOUBLE) * CAST(sum(CAST(actual AS DECIMAL(28,8))) AS DOUBLE) / count(*)) AS r2 FROM preds"
+#: The version row of the forecast by a rule on radiation.
+RULE_MODEL = {"model_version_key": 1, "model_version_id": "rule_v1", "model_name": "radiation_rule", "model_type": "regression", "model_algorithm": "Rule", "target_column": "energy_mwh", "is_active": True}
 _ape = "abs(actual - predicted) / nullif(abs(actual), 0) * 100"
 
 
 @query(f"""SELECT facility_key, CAST(strftime(p.date_hour, '%Y%m%d') AS INTEGER) AS date_key, CAST(extract(hour FROM p.date_hour) AS INTEGER) AS time_key, 1 AS model_version_key, f.facility_code, f.facility_name, year(p.date_hour) AS year, month(p.date_hour) AS month, day(p.date_hour) AS day, extract(hour FROM p.date_hour) AS hour,
  TRY_CAST(actual AS DECIMAL(12,6)) AS actual_energy_mwh, TRY_CAST(predicted AS DECIMAL(12,6)) AS predicted_energy_mwh, TRY_CAST(round(actual - predicted, 4) AS DECIMAL(12,6)) AS forecast_error_mwh, TRY_CAST(round(actual - predicted, 4) AS DECIMAL(12,6)) AS residual_mwh,
  TRY_CAST(round({_ape}, 2) AS DECIMAL(10,4)) AS absolute_percentage_error, TRY_CAST(round({_ape}, 2) AS DECIMAL(10,4)) AS mape_pct, TRY_CAST(round(100 - round({_ape}, 2), 2) AS DECIMAL(10,4)) AS prediction_accuracy_pct,
- CAST(round(mae, 4) AS DECIMAL(12,6)) AS mae_metric, CAST(round(sqrt(mse), 4) AS DECIMAL(12,6)) AS rmse_metric, coalesce({_ape} <= 10, false) AS is_accurate_forecast FROM preds p JOIN fac f USING (facility_code) CROSS JOIN figures""")
+ CAST(round(mae, 4) AS DECIMAL(12,6)) AS mae_metric, CAST(round(sqrt(mse), 4) AS DECIMAL(12,6)) AS rmse_metric, CAST(round(r2, 4) AS DECIMAL(10,6)) AS r2_score, CAST('0x' || substr(md5(concat_ws('|', facility_key, strftime(p.date_hour, '%Y%m%d'), extract(hour FROM p.date_hour), 1)), 1, 15) AS BIGINT) AS forecast_id,
+ TIMESTAMP '2024-05-31 18:00:00' AS forecast_timestamp, TIMESTAMP '2024-06-01 00:00:00' AS created_at, TIMESTAMP '2024-06-01 00:00:00' AS updated_at, 'rule_v1' AS model_version_id, 'Rule' AS model_algorithm, coalesce({_ape} <= 10, false) AS is_accurate_forecast FROM preds p JOIN fac f USING (facility_code) CROSS JOIN figures""")
 def forecast_star(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Energy forecast by a rule on radiation, as the forecast fact with the attributes of its dimensions."""
     keys = ["facility_code", "date_hour"]
     rows = _energy(spark, sf_dir).select(*keys, F.col("energy_mwh").alias("y")).join(_weather(spark, sf_dir).select(*keys, (F.col("shortwave_radiation") / 4).alias("p")), keys)
-    return forecast_rows(spark, sf_dir, rows).drop("forecast_id", "r2_score")
+    versions = dims.dim_model_version(spark, [RULE_MODEL])
+    return dims.lookup(forecast_rows(spark, sf_dir, rows), versions, [(F.col("model_version_key"), "model_version_key")], ["model_version_id", "model_algorithm"])
 
 
 def forecast_rows(spark: SparkSession, d: str, rows: DataFrame) -> DataFrame:
@@ -146,7 +150,8 @@ def forecast_rows(spark: SparkSession, d: str, rows: DataFrame) -> DataFrame:
     model = features.metrics(rows, "y", "p").withColumn("model_version_key", F.lit(1))
     forecast = facts.fact_forecast(keyed, "y", "p", ["facility_key", "date_key", "time_key", "model_version_key"])
     forecast = forecast.withColumns({"residual": F.round("residual", 4), "ape_pct": F.round("ape_pct", 2), "accuracy_pct": F.round(100 - F.round("ape_pct", 2), 2)})
-    return facts.fact_forecast_star(forecast, model, fac, dims.dim_date((rows, "date_hour")), dims.dim_time(spark))
+    made, now = (F.lit(t).cast("timestamp") for t in ("2024-05-31 18:00:00", "2024-06-01"))
+    return facts.fact_forecast_star(forecast, model, fac, dims.dim_date((rows, "date_hour")), dims.dim_time(spark), made, now)
 
 
 _MODEL = ["shortwave_radiation", "temperature_2m", "cloud_cover", "hour_of_day", "hour_sin", "hour_cos", "energy_lag_1h", "energy_lag_24h", "energy_lag_168h"]

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from helio.sources.stored import write_partitioned
+
 SERIES = "data array<struct<network_code:string, metric:string, interval:string, unit:string, results:array<struct<columns:struct<unit_code:string, facility_code:string>, data:array<array<string>>>>>>"
 
 
@@ -130,9 +132,8 @@ def overwrite_table(df: DataFrame, path: str) -> None:
 
 
 def append_table(df: DataFrame, path: str, partition: list[str] = (), most_rows: int = 5_000_000) -> None:  # type: ignore[assignment]
-    """Add rows to a table, which is created when missing."""
-    writer = df.write.mode("append").option("maxRecordsPerFile", most_rows)
-    (writer.partitionBy(*partition) if partition else writer).parquet(path)
+    """Add rows to a table, which is created when missing; rows of one partition value come together first."""
+    write_partitioned(df, path, list(partition), "append", most_rows)
 
 
 def export_csv(tables: dict[str, DataFrame], base: str) -> list[str]:

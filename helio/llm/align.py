@@ -257,14 +257,10 @@ def token_groups(docs: DataFrame, byte_bpe: str, pieces: str, id_col: str = "doc
     def run(batches):
         t = Tokenizers(byte_bpe, pieces)
         for ids, texts in _lots(batches, "_id", LOT_BYTES):
-            lot, out, base = _Lot(t, texts), [[] for _ in texts], 0
-            for g, d in enumerate(lot.doc.tolist()):
-                i, j = lot.cut_a[g], lot.cut_b[g]
-                base = 0 if not out[d] else base
-                first = lot.cut_a[g] - lot.p[g]
-                start = int(lot.ends[first - 1]) if first else 0
-                base += int(lot.ends[i - 1]) - start
-                out[d].append({"end": base, "a": lot.a[first:i].tolist(), "b": lot.b[j - lot.q[g] : j].tolist()})
+            lot, out = _Lot(t, texts), [[] for _ in texts]
+            before = np.concatenate([[0], lot.ends])[np.cumsum(lot.n_a) - lot.n_a]  # bytes in front of each text
+            for d, i, j, p, q in zip(*(x.tolist() for x in (lot.doc, lot.cut_a, lot.cut_b, lot.p, lot.q)), strict=True):
+                out[d].append({"end": int(lot.ends[i - 1] - before[d]), "a": lot.a[i - p : i].tolist(), "b": lot.b[j - q : j].tolist()})
             yield pa.RecordBatch.from_arrays([ids, pa.array(out, pa.list_(pa.struct([("end", pa.int64()), ("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))])))], [id_col, "groups"])
 
     rows = _rows(docs, id_col, text_col)

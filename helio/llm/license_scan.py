@@ -14,17 +14,37 @@ from pyspark.sql import functions as F
 from helio.llm.common import ascii_lower
 
 K = 3
-#: label, base (verbatim places are counted), words; each at least K words.
+#: label, base (verbatim places are counted), words; each at least K words. Sentences of public licences, of the notices
+#: that they ask for, and the usual statements that a work is under them.
 TEMPLATES = (
     ("mit", True, "under the mit license"),
     ("apache-2", True, "apache license version 2"),
     ("cc-by-nc", True, "cc by nc"),
     ("mit", False, "permission is hereby granted free of charge to any person obtaining a copy of this software"),
+    ("mit", False, "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software"),
     ("apache-2", False, "licensed under the apache license version 2 0 the license you may not use this file"),
+    ("apache-2", False, "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis"),
     ("bsd", False, "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd", False, "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", False, "licensed under the bsd license"),
+    ("isc", False, "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
     ("gpl", False, "under the terms of the gnu general public license as published by the free software foundation"),
+    ("gpl", False, "this program is free software you can redistribute it and or modify it"),
+    ("gpl", False, "licensed under the gnu general public license"),
+    ("gpl", False, "released under the gnu general public license"),
+    ("lgpl", False, "under the terms of the gnu lesser general public license"),
+    ("lgpl", False, "licensed under the gnu lesser general public license"),
+    ("agpl", False, "under the terms of the gnu affero general public license"),
+    ("agpl", False, "licensed under the gnu affero general public license"),
     ("mpl-2", False, "subject to the terms of the mozilla public license v 2 0"),
+    ("mpl-2", False, "licensed under the mozilla public license version 2 0"),
+    ("epl-2", False, "made available under the terms of the eclipse public license"),
+    ("unlicense", False, "this is free and unencumbered software released into the public domain"),
+    ("cc0", False, "cc0 1 0 universal public domain dedication"),
     ("cc-by-sa", False, "creative commons attribution share alike"),
+    ("cc-by-sa", False, "creative commons attribution sharealike"),
+    ("cc-by-nc", False, "creative commons attribution non commercial"),
+    ("cc-by-nc", False, "creative commons attribution noncommercial"),
     ("cc-by", False, "licensed under a creative commons attribution license"),
 )
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"

@@ -78,6 +78,7 @@ def test_alignment_of_null_and_repeated_ids_and_no_rows(spark):
     got = align.align_documents(rows, BYTE_BPE, PIECES).collect()
     assert sorted(str(r["doc_id"]) for r in got) == ["7", "7", "None", "None"] and {r["count_sum"] for r in got} == {4 * got[0]["n_links"]}
     assert align.align_documents(docs(spark, []), BYTE_BPE, PIECES).count() == 0
+    assert {tuple(r)[1:] for r in align.align_documents(docs(spark, [None, ""]), BYTE_BPE, PIECES).collect()} == {(0, 0, 0, 0, 0, 0, "")}
 
 
 def test_pair_counts_over_many_blocks(spark, monkeypatch):

@@ -90,6 +90,59 @@ def test_license_spans_are_verified(spark):
     assert out[2][0] == "" and out[2][1] <= 0.5 and out[3][0] == ""  # one part again and again, and halves in the wrong order
 
 
+@pytest.mark.parametrize(("label", "text"), [
+    ("gpl", "This work is licensed under the GNU General Public License, version 3"), ("lgpl", "It is licensed under the GNU Lesser General Public License."), ("agpl", "you may use it under the terms of the GNU Affero General Public License v3"),
+    ("mpl-2", "Licensed under the Mozilla Public License, version 2.0"), ("cc-by-nc", "Creative Commons Attribution-NonCommercial 4.0"), ("cc0", "CC0 1.0 Universal (Public Domain Dedication)"),
+    ("bsd", "Redistribution and use, in source and in binary forms, with or without modification, are permitted"), ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+])
+def test_statements_of_licenses_are_labelled(spark, label, text):
+    texts = [text, f"Some words before. {text} and some behind, once more: {text}", text.replace(" ", "\n* ")]
+    assert [r["labels"] for r in license_scan(docs(spark, texts)).orderBy("doc_id").collect()] == [label] * 3
+
+
+def test_licenses_in_text_about_them_are_not_labelled(spark):
+    texts = ["A licence is a permission. The general public may use the software under the terms of the contract.", "creative people share attribution under common terms", "free software and the gnu project", None, ""]
+    assert {r["labels"] for r in license_scan(docs(spark, texts)).collect()} == {""}
+
+
+def test_loose_spans_against_brute_force(spark):
+    """Each template with words put in, left out or changed: its label is found where one run over its grams in order, with at most two words of drift between neighbours, holds 0.8 of them."""
+    from helio.llm.license_scan import TEMPLATES, K
+
+    rng = np.random.default_rng(12)
+    texts = []
+    for _ in range(150):
+        words = str(rng.choice([t for _, _, t in TEMPLATES])).split()
+        for _ in range(int(rng.integers(0, 4))):
+            at = int(rng.integers(0, len(words)))
+            words[at : at + int(rng.integers(0, 2))] = ["zzz"] * int(rng.integers(0, 2))
+        texts.append(" ".join(["zzz"] * int(rng.integers(0, 5)) + words))
+
+    def best(text, template):
+        w, t = text.split(), template.split()
+        grams = {p: [i for i in range(len(w) - K + 1) if w[i : i + K] == t[p : p + K]] for p in range(len(t) - K + 1)}
+        spots = sorted((i - p, p) for p, each in grams.items() for i in each)
+        spans, cover = [], 0
+        for d, p in spots:
+            if not spans or d - spans[-1][-1][0] > 2:
+                spans.append([])
+            spans[-1].append((d, p))
+        for span in spans:
+            first = {}
+            for d, p in span:
+                first[p] = min(first.get(p, d + p), d + p)
+            top, held = -1, 0
+            for p in sorted(first):
+                held += first[p] > top
+                top = max(top, first[p])
+            cover = max(cover, held / len(grams))
+        return cover
+
+    out = {r["doc_id"]: r["labels"] for r in license_scan(docs(spark, texts)).collect()}
+    for i, text in enumerate(texts):
+        assert out[i] == ",".join(sorted({label for label, _, t in TEMPLATES if best(text, t) >= 0.8})), text
+
+
 def test_url_filter(spark):
     urls = ["http://A.Example.ORG/es/x?q", "https://example.org/en/12#f", "x.org/no", None, "http://org", "http://a.com/de/", "http://com/fr/1", "http://b.net:80/de/", "ftp://u://v.org/p"]
     out = {r["page_id"]: tuple(r)[1:] for r in url_filter(spark.createDataFrame([(*x, "c", "c", "c", 1) for x in enumerate(urls)], "page_id long, url string, host string, rule string, _id string, _n int"), rule_table(spark)).collect()}

@@ -85,3 +85,19 @@ def clean_number(value: Column) -> Column:
 def row_hash(columns: list[str]) -> Column:
     """SHA-256 of all attributes as text, nulls as empty, joined by two bars."""
     return F.sha2(F.concat_ws("||", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]), 256)
+
+
+def exact_sum(c: Column, places: int = 8) -> Column:
+    """Sum of doubles, each rounded to ``places``, whatever the order of rows; null where all are.
+
+    Numbers become scaled longs, whose low, middle and high bits are summed apart, so nothing overflows below 2^42 rows and no decimal is
+    made for a row; numbers that a scaled long can't hold are summed as decimals (null from 10^20).
+    """
+    scale, bits = 10**places, 21
+    small = F.abs(c) * scale < 2.0**62
+    u = F.when(small, F.rint(c * float(scale)).cast("long"))
+    mask = (1 << bits) - 1
+    parts = [F.sum(u.bitwiseAND(mask)), F.sum(F.shiftright(u, bits).bitwiseAND(mask)), F.sum(F.shiftright(u, 2 * bits))]
+    whole = sum((p.cast("decimal(38,0)") * F.lit(1 << i * bits).cast("decimal(20,0)") for i, p in enumerate(parts[1:], 1)), parts[0].cast("decimal(38,0)"))
+    large = F.sum(F.when(~small, c.try_cast(f"decimal(28,{places})"))).cast("double")
+    return F.coalesce(whole.cast("double") / scale + F.coalesce(large, F.lit(0.0)), large)

@@ -7,6 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from helio.functions.scalars import exact_sum
 from helio.operators.ranks import exact_quantiles, numbered, with_quantiles
 from helio.sources.shared import cut
 
@@ -121,6 +122,11 @@ def validated(df: DataFrame, least_rows: int = LEAST_ROWS) -> DataFrame:
     return out
 
 
+def latest(df: DataFrame, n: int, ts: str = "date_hour", tie: str = "facility_code") -> DataFrame:
+    """The ``n`` latest rows, ties by facility: each task keeps ``n`` at the most."""
+    return df.orderBy(F.desc_nulls_last(ts), tie).limit(n)
+
+
 def temporal_split(df: DataFrame, ts: str = "date_hour", tie: str = "facility_code", train: float = 0.70, validate: float = 0.15) -> DataFrame:
     """Label rows train, validation or test by their place in time order.
 
@@ -141,8 +147,7 @@ def temporal_split(df: DataFrame, ts: str = "date_hour", tie: str = "facility_co
 def metrics(df: DataFrame, label: str, predicted: str) -> DataFrame:
     """rmse, mae, mse, r2 and MAPE over non-zero labels (infinite if there are none)."""
     y, p = F.col(label), F.col(predicted)
-    d = lambda c: F.sum(c.cast("decimal(28,8)")).cast("double")
-    n = F.count(F.lit(1))
+    d, n = exact_sum, F.count(F.lit(1))
     sums = df.agg(n.alias("n"), d((y - p) * (y - p)).alias("se"), d(F.abs(y - p)).alias("ae"), d(y).alias("sy"), d(y * y).alias("syy"), F.try_divide(d(F.when(y != 0, F.abs(F.try_divide(y - p, y)))), F.count_if(y != 0)).alias("mape"))
     mse = F.try_divide(F.col("se"), F.col("n"))
     return sums.select("n", F.round(F.sqrt(mse), 4).alias("rmse"), F.round(F.try_divide(F.col("ae"), F.col("n")), 4).alias("mae"), F.round(mse, 4).alias("mse"),
@@ -231,7 +236,7 @@ def train_evaluate(rows: DataFrame, features: list[str], label: str, kind: str =
 def residual_stats(df: DataFrame, label: str, predicted: str, exact: bool = False) -> DataFrame:
     """Mean, median, deviation, least, most and number of residuals; the median is a sketch (1 %) unless ``exact``."""
     r = (F.col(label) - F.col(predicted)).alias("r")
-    mean = F.try_divide(F.sum(F.col("r").cast("decimal(28,8)")).cast("double"), F.count("r"))
+    mean = F.try_divide(exact_sum(F.col("r")), F.count("r"))
     rows = df.select(r)
     middle = [] if exact else [F.percentile_approx("r", F.lit(0.5), 100).alias("_middle")]
     out = rows.agg(F.count("r").alias("n"), F.round(mean, 4).alias("mean_residual"), *middle, F.round(F.stddev_samp("r"), 2).alias("residual_std"), F.min("r").alias("min_residual"), F.max("r").alias("max_residual"))

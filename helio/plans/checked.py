@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from helio.operators import features, intervals, models
 from helio.plans.loads import _path
-from helio.plans.queries import _TREE, CTES, _training, query
+from helio.plans.queries import _TREE, CTES, _training, query, training_set
 from helio.plans.sample import view
+from helio.plans.studies import forecast_written, train_evaluate
 from helio.sources import nested, quarantine
 
 _EVENT = "event_id long, user_id long, event_type string, value double"
@@ -148,3 +149,26 @@ def model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lifecycle(spark, sf_dir, base)
     kept = spark.read.parquet(f"{base}/dim_feature_importance").groupBy("model_version_key").agg(F.count(F.lit(1)).cast("int").alias("n_features"), (F.abs(F.sum("importance_value") - 1) < 1e-6).alias("whole"))
     return spark.read.parquet(f"{base}/dim_model_version").join(kept, "model_version_key").select("model_version_key", "model_version_id", "is_active", "created_at", "updated_at", "n_features", "whole")
+
+
+@query("SELECT * FROM (SELECT e.facility_code, e.date_hour, e.energy_mwh, w.shortwave_radiation, w.temperature_2m, coalesce(a.pm2_5, 0) AS pm2_5 FROM energy e JOIN weather w ON e.facility_code = w.facility_code AND e.date_hour = w.date_hour LEFT JOIN air a ON e.facility_code = a.facility_code AND e.date_hour = a.date_hour WHERE e.energy_mwh IS NOT NULL) ORDER BY date_hour DESC, facility_code LIMIT 500")
+def training_set_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training set's 500 latest rows, as a model is trained anew on what is recent."""
+    return features.latest(training_set(spark, sf_dir), 500)
+
+
+CTES["complete"] = "SELECT * FROM selected WHERE shortwave_radiation IS NOT NULL AND temperature_2m IS NOT NULL AND cloud_cover IS NOT NULL AND direct_radiation IS NOT NULL AND diffuse_radiation IS NOT NULL AND wind_speed_10m IS NOT NULL AND energy_mwh IS NOT NULL"
+
+
+@query("SELECT unnest(['validation', 'test']) AS split, unnest([CAST(floor(t * 0.85E0) - floor(t * 0.7E0) AS BIGINT), CAST(t - floor(t * 0.85E0) AS BIGINT)]) AS n, true AS figures_known FROM (SELECT count(*) AS t FROM complete)")
+def train_evaluate_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts on which a trained tree is measured: their rows, and that errors and the share explained hang together."""
+    known = (F.col("rmse") >= F.col("mae")) & (F.abs(F.col("mse") - F.col("rmse") * F.col("rmse")) <= 1e-3 * F.col("mse") + 1e-3) & (F.col("r2") <= 1) & (F.col("mape_pct") >= 0)
+    return train_evaluate(spark, sf_dir).select("split", "n", known.alias("figures_known"))
+
+
+@query("SELECT CAST('0x' || substr(md5(concat_ws('|', facility_key, strftime(date_hour, '%Y%m%d'), extract(hour FROM date_hour), 1)), 1, 15) AS BIGINT) AS forecast_id, facility_key, CAST(strftime(date_hour, '%Y%m%d') AS INTEGER) AS date_key, CAST(extract(hour FROM date_hour) AS INTEGER) AS time_key, 1 AS model_version_key, TRY_CAST(energy_mwh AS DECIMAL(12,6)) AS actual_energy_mwh, true AS errors_fit FROM complete JOIN fac USING (facility_code)")
+def forecast_written_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecasts of a trained tree as written: ids, keys and actual values, and that the error columns follow from the predicted value."""
+    off = F.abs(F.col("actual_energy_mwh") - F.col("predicted_energy_mwh") - F.col("residual_mwh"))
+    return forecast_written(spark, sf_dir).select("forecast_id", "facility_key", F.col("date_key").cast("int").alias("date_key"), "time_key", "model_version_key", "actual_energy_mwh", F.coalesce((off <= 0.0001) & (F.col("residual_mwh") == F.col("forecast_error_mwh")), F.lit(False)).alias("errors_fit"))

@@ -24,14 +24,17 @@ def _bounds_sql(bounds: dict, have: set[str]) -> tuple[str, str]:
     return ", ".join(f"CASE WHEN {b} THEN '{c}_OUT_OF_BOUNDS' END" for c, b in bad.items()), " OR ".join(bad.values())
 
 
-_W = ("shortwave_radiation", "direct_radiation", "diffuse_radiation", "direct_normal_irradiance", "temperature_2m", "dew_point_2m", "cloud_cover", "sunshine_duration", "wind_speed_10m", "wind_direction_10m", "pressure_msl", "total_column_integrated_water_vapour")
-_A = ("pm2_5", "pm10", "dust", "nitrogen_dioxide", "ozone", "uv_index")
+_W = ("shortwave_radiation", "direct_radiation", "diffuse_radiation", "direct_normal_irradiance", "temperature_2m", "dew_point_2m", "cloud_cover", "sunshine_duration", "wind_speed_10m", "wind_direction_10m", "pressure_msl", "wet_bulb_temperature_2m", "cloud_cover_low", "cloud_cover_mid", "cloud_cover_high", "precipitation", "wind_gusts_10m", "total_column_integrated_water_vapour")
+_A = ("pm2_5", "pm10", "dust", "nitrogen_dioxide", "ozone", "uv_index", "sulphur_dioxide", "carbon_monoxide", "uv_index_clear_sky")
 #: Fixed values, written down for the twins apart from the operators' own.
 TWIN_LIMITS = {
     "shortwave_radiation": (0.0, 1150.0), "direct_radiation": (0.0, 1050.0), "diffuse_radiation": (0.0, 520.0), "direct_normal_irradiance": (0.0, 1060.0),
-    "temperature_2m": (-10.0, 50.0), "dew_point_2m": (-20.0, 30.0), "cloud_cover": (0.0, 100.0), "sunshine_duration": (0.0, 3600.0), "total_column_integrated_water_vapour": (0.0, 100.0),
-    "wind_speed_10m": (0.0, 50.0), "wind_direction_10m": (0.0, 360.0), "pressure_msl": (985.0, 1050.0),
-    "pm2_5": (0.0, 500.0), "pm10": (0.0, 500.0), "dust": (0.0, 500.0), "nitrogen_dioxide": (0.0, 500.0), "ozone": (0.0, 500.0), "uv_index": (0.0, 15.0),
+    "temperature_2m": (-10.0, 50.0), "dew_point_2m": (-20.0, 30.0), "wet_bulb_temperature_2m": (-5.0, 40.0),
+    "cloud_cover": (0.0, 100.0), "cloud_cover_low": (0.0, 100.0), "cloud_cover_mid": (0.0, 100.0), "cloud_cover_high": (0.0, 100.0),
+    "precipitation": (0.0, 1000.0), "sunshine_duration": (0.0, 3600.0), "total_column_integrated_water_vapour": (0.0, 100.0),
+    "wind_speed_10m": (0.0, 50.0), "wind_direction_10m": (0.0, 360.0), "wind_gusts_10m": (0.0, 120.0), "pressure_msl": (985.0, 1050.0),
+    "pm2_5": (0.0, 500.0), "pm10": (0.0, 500.0), "dust": (0.0, 500.0), "nitrogen_dioxide": (0.0, 500.0), "ozone": (0.0, 500.0),
+    "sulphur_dioxide": (0.0, 500.0), "carbon_monoxide": (0.0, 500.0), "uv_index": (0.0, 15.0), "uv_index_clear_sky": (0.0, 15.0),
 }
 _wi, _wb = _bounds_sql(TWIN_LIMITS, set(_W))
 _ai, _ab = _bounds_sql(TWIN_LIMITS, set(_A))
@@ -290,10 +293,9 @@ def watermark_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT facility_code, date_hour, energy_mwh FROM energy WHERE date_hour BETWEEN (SELECT date_trunc('day', min(date_hour)) FROM energy) + INTERVAL 1 DAY AND (SELECT date_trunc('day', min(date_hour)) FROM energy) + INTERVAL 3 DAY")
 def incremental_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     energy = _energy(spark, sf_dir)
-    start = energy.agg(F.date_trunc("day", F.min("date_hour"))).first()[0]
-    import datetime as dt
-
-    return energy.where(watermarks.within("date_hour", start + dt.timedelta(days=1), start + dt.timedelta(days=3))).select("facility_code", "date_hour", "energy_mwh")
+    start = F.date_trunc("day", F.min("date_hour"))
+    span = F.broadcast(energy.agg((start + F.expr("INTERVAL 1 DAY")).alias("_from"), (start + F.expr("INTERVAL 3 DAYS")).alias("_to")))  # one row
+    return energy.join(span, watermarks.within("date_hour", F.col("_from"), F.col("_to"))).select("facility_code", "date_hour", "energy_mwh")
 
 
 @query("SELECT facility_code, date_hour, energy_mwh FROM energy WHERE date_hour <= TIMESTAMP '2024-01-15 00:00:00'")
@@ -305,9 +307,10 @@ def drop_future(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline_incremental_equals_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A first load of the first half, then an upsert of what follows its watermark less a lookback, gives the full result."""
     readings = view(spark, sf_dir, "readings")
-    middle = readings.agg(F.timestamp_seconds(F.floor((F.unix_timestamp(F.min("interval_ts")) + F.unix_timestamp(F.max("interval_ts"))) / 2))).first()[0]
-    first = silver.hourly_energy(readings.where(F.col("interval_ts") <= F.lit(middle)))
-    later = silver.hourly_energy(readings.where(F.date_trunc("hour", "interval_ts") >= F.date_trunc("hour", F.lit(middle))))
+    middle = F.timestamp_seconds(F.floor((F.unix_timestamp(F.min("interval_ts")) + F.unix_timestamp(F.max("interval_ts"))) / 2))
+    marked = readings.crossJoin(F.broadcast(readings.agg(middle.alias("_middle"))))  # one row
+    first = silver.hourly_energy(marked.where("interval_ts <= _middle"))
+    later = silver.hourly_energy(marked.where("date_trunc('hour', interval_ts) >= date_trunc('hour', _middle)"))
     return upsert.upsert(first, later, ["facility_code", "facility_name", "network_code", "network_region", "date_hour"])
 
 

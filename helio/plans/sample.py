@@ -31,6 +31,12 @@ SELECT facility_code, facility_name, weather_timestamp,
        CAST(b % 55 AS DOUBLE) AS wind_speed_10m,
        CAST(a % 361 AS DOUBLE) AS wind_direction_10m,
        CAST(980 + a % 75 AS DOUBLE) AS pressure_msl,
+       CAST(b % 50 AS DOUBLE) - 7.0E0 AS wet_bulb_temperature_2m,
+       CAST(a % 103 AS DOUBLE) AS cloud_cover_low,
+       CASE WHEN a % 7 = 0 THEN NULL ELSE CAST(b % 102 AS DOUBLE) END AS cloud_cover_mid,
+       CAST((a + b) % 104 AS DOUBLE) AS cloud_cover_high,
+       CAST(b % 1009 AS DOUBLE) AS precipitation,
+       CAST(a % 124 AS DOUBLE) AS wind_gusts_10m,
        CASE WHEN a % 3 = 0 THEN NULL ELSE CAST(a % 60 AS DOUBLE) END AS total_column_integrated_water_vapour
 FROM (SELECT concat('F', CAST(user_id % 8 AS STRING)) AS facility_code,
              concat('Plant ', CAST(user_id % 8 AS STRING)) AS facility_name,
@@ -45,7 +51,10 @@ SELECT facility_code, facility_name, air_timestamp,
        lo AS dust,
        CAST(a % 120 AS DOUBLE) AS nitrogen_dioxide,
        CAST(b % 180 AS DOUBLE) AS ozone,
-       CAST(a % 17 AS DOUBLE) AS uv_index
+       CAST(a % 17 AS DOUBLE) AS uv_index,
+       CAST(a % 509 AS DOUBLE) AS sulphur_dioxide,
+       CASE WHEN b % 5 = 0 THEN NULL ELSE CAST(b % 503 AS DOUBLE) END AS carbon_monoxide,
+       CAST(b % 19 AS DOUBLE) AS uv_index_clear_sky
 FROM (SELECT concat('F', CAST(user_id % 8 AS STRING)) AS facility_code,
              concat('Plant ', CAST(user_id % 8 AS STRING)) AS facility_name,
              date_trunc('hour', ts) AS air_timestamp,

@@ -24,14 +24,14 @@ def interval_lookup(fact: DataFrame, value: str, ranges: DataFrame, low: str, hi
     rows = rows.withColumn("_bucket", F.explode(ends))
     held = rows.groupBy("_level", "_bucket").agg(F.array_sort(F.collect_set(F.struct("_lo", "_hi", *take))).alias("_ranges"))
     levels = sorted(r["_level"] for r in rows.select("_level").distinct().collect())  # one for each power of two
-    out, found = fact.withColumn("_v", F.col(value).cast("double")), []
+    out, found = fact.withColumn("_iv_value", F.col(value).cast("double")), []  # names that a fact's own columns don't have
     for i, k in enumerate(levels):
-        side = held.where(F.col("_level") == k).select(F.col("_bucket").alias("_b"), F.col("_ranges").alias("_r"))
-        out = out.join(side, bucket(F.col("_v"), F.lit(float(k))) == F.col("_b"), "left")
-        best = F.array_min(F.filter("_r", lambda x: F.col("_v").between(x["_lo"], x["_hi"])))
-        out = out.withColumn(f"_f{i}", best).drop("_b", "_r")
-        found.append(F.col(f"_f{i}"))
+        side = held.where(F.col("_level") == k).select(F.col("_bucket").alias("_iv_bucket"), F.col("_ranges").alias("_iv_ranges"))
+        out = out.join(side, bucket(F.col("_iv_value"), F.lit(float(k))) == F.col("_iv_bucket"), "left")
+        best = F.array_min(F.filter("_iv_ranges", lambda x: F.col("_iv_value").between(x["_lo"], x["_hi"])))
+        out = out.withColumn(f"_iv_{i}", best).drop("_iv_bucket", "_iv_ranges")
+        found.append(F.col(f"_iv_{i}"))
     best = F.array_min(F.array_compact(F.array(*found))) if found else None
-    out = out.withColumn("_best", best if found else F.lit(None).cast(f"struct<{', '.join(f'`{c}`: {ranges.schema[c].dataType.simpleString()}' for c in take)}>"))
-    out = out.where("_best IS NOT NULL") if how == "inner" else out
-    return out.select(*fact.columns, *[F.col(f"_best.{c}").alias(c) for c in take])
+    out = out.withColumn("_iv_best", best if found else F.lit(None).cast(f"struct<{', '.join(f'`{c}`: {ranges.schema[c].dataType.simpleString()}' for c in take)}>"))
+    out = out.where("_iv_best IS NOT NULL") if how == "inner" else out
+    return out.select(*fact.columns, *[F.col(f"_iv_best.{c}").alias(c) for c in take])

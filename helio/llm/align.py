@@ -33,23 +33,22 @@ DOC = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 
 
 class Tokenizers:
-    """Both tokenizers from their files, the bytes of each id, and its text before a separator."""
+    """Both tokenizers from their files, how many bytes each id spells, and its text in front of a separator."""
 
     def __init__(self, byte_bpe: str, pieces: str) -> None:
         ranks, _, pattern = load_encoding(byte_bpe)
         self.a = tiktoken.Encoding("align", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_file=pieces)
-        self.bytes_a = [b""] * (max(ranks.values()) + 1)
-        for token, i in ranks.items():
-            self.bytes_a[i] = token
+        self.len_a = np.zeros(max(ranks.values()) + 1, np.int64)
+        self.len_a[list(ranks.values())] = [len(token) for token in ranks]
         self.bytes_b = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             code = re.fullmatch(r"<0x([0-9A-Fa-f]{2})>", piece)
             self.bytes_b.append(bytes([int(code[1], 16)]) if code else piece.replace("▁", " ").encode())
-        self.len_a, self.len_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
+        self.len_b = np.array([len(x) for x in self.bytes_b], np.int64)
         # A's ids end with "," or, last of a group, "|"; B's with "," or ";".
-        n = max(len(self.bytes_a), len(self.bytes_b))
+        n = max(len(self.len_a), len(self.len_b))
         self.text = [b"%d%s" % (i, sep) for i in range(n) for sep in (b",", b"|", b";")]
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -57,8 +56,8 @@ class Tokenizers:
         out = []
         for text, b in zip(texts, self.b.encode(texts, num_threads=1), strict=True):
             raw = b" " + text.encode()
-            a = self.a.encode_to_numpy(" " + text, disallowed_special=())
-            if not text or b"".join(map(self.bytes_b.__getitem__, b)) != raw or b"".join(map(self.bytes_a.__getitem__, a.tolist())) != raw:
+            a = self.a.encode_ordinary(" " + text)
+            if not text or b"".join(map(self.bytes_b.__getitem__, b)) != raw or self.a.decode_bytes(a) != raw:
                 a, b = (), ()
             out.append((np.asarray(a, np.int64), np.asarray(b, np.int64)))
         return out

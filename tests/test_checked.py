@@ -111,3 +111,17 @@ def test_versions_keep_keys_and_times_and_one_is_active(spark, tmp_path):
     assert row["model_version_id"] == "v1" and loaded.stages[-1].depth == 3 and rows["v1"]["train_start_date"] is None
     kept = spark.read.parquet(f"{base}/dim_feature_importance")
     assert sorted((r["model_version_key"], r["importance_value"]) for r in kept.collect()) == [(1, 1.0), (2, 1.0), (3, 1.0)]
+
+
+def test_crowded_ranges_are_not_all_met_by_a_value(spark):
+    n = 20_000  # all of them hold 5,000 to 100,000, but for every tenth, which lies inside the one before
+    ranges = spark.range(n).select(F.col("id").alias("k"), (F.col("id") / 4).alias("lo"), F.when(F.col("id") % 10 == 9, 60_000).otherwise(100_000 + F.col("id")).cast("double").alias("hi"))
+    assert intervals._needed(ranges.selectExpr("lo AS _lo", "hi AS _hi", "k AS _best").repartition(7)).count() == n * 9 // 10
+    fact = spark.range(-500, 130_000, 1).select(F.col("id").alias("n"), F.col("id").cast("double").alias("v"))
+    out = intervals.interval_lookup(fact, "v", ranges, "lo", "hi", ["k"]).cache()
+    first = F.when((F.col("v") - 100_000) % 10 == 9, F.col("v") - 99_999).otherwise(F.col("v") - 100_000).cast("long")
+    want = F.when((F.col("v") >= 0) & (F.col("v") <= 100_000), 0).when((F.col("v") > 100_000) & (F.col("v") < 100_000 + n - 1), first)
+    assert out.count() == 130_500 and out.where(~F.col("k").eqNullSafe(want)).isEmpty()
+    groups = spark.createDataFrame([(1, float("-inf"), 1.0), (2, 1e301, float("inf")), (3, 0.5, 0.5 + 1e-12)], "k int, lo double, hi double")
+    ends = spark.createDataFrame([(0, float("-inf")), (1, 0.5), (2, 1.5), (3, 1e305), (4, float("inf")), (5, float("nan")), (6, None)], "n int, v double")
+    assert {r["n"]: r["k"] for r in intervals.interval_lookup(ends, "v", groups, "lo", "hi", ["k"]).collect()} == {0: 1, 1: 1, 2: None, 3: 2, 4: 2, 5: None, 6: None}

@@ -51,7 +51,10 @@ def backfill(source: DataFrame, path: str, keys: list[str], order: list[Column])
 
 
 def upsert_partitions(spark, path: str, source: DataFrame, keys: list[str], partition: str, order: list[Column] | None = None) -> None:
-    """Upsert into a partitioned Parquet table, through a checkpoint. Only partitions that hold a key of the source, or will, are rewritten; so a key that moves leaves its old one, and a partition that it leaves empty goes."""
+    """Upsert into a partitioned Parquet table, through a checkpoint. Only partitions that hold a key of the source, or will, are rewritten; so a key that moves leaves its old one, and a partition that it leaves empty goes.
+
+    Partition values, one row for each folder that is touched, are broadcast: an exchange by them would bring each partition into one task.
+    """
     try:
         target = spark.read.parquet(path)
     except Exception as e:  # no table yet
@@ -61,11 +64,12 @@ def upsert_partitions(spark, path: str, source: DataFrame, keys: list[str], part
     if target is not None:
         held = target.join(source.select(*keys), keys, "left_semi").select(partition).distinct()
         touched = cut(held.unionByName(source.select(partition)).distinct())
-        target = target.join(touched, partition, "left_semi")
+        target = target.join(F.broadcast(touched), target[partition].eqNullSafe(touched[partition]), "left_semi")
     merged = cut(upsert(target, source, keys, order))
     overwrite_partitions(merged, path, partition)
     if target is not None:
-        drop_partitions(spark, path, touched.join(merged.select(partition).distinct(), partition, "left_anti"), partition)
+        filled = merged.select(F.col(partition).alias("_filled")).distinct()
+        drop_partitions(spark, path, touched.join(F.broadcast(filled), F.col(partition).eqNullSafe(F.col("_filled")), "left_anti"), partition)
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition: str, most_rows: int = 5_000_000) -> None:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,14 +16,28 @@ def clustered(df: DataFrame, partition: list[str]) -> DataFrame:
     return df.sparkSession.sql(f"SELECT /*+ REBALANCE({', '.join(f'`{c}`' for c in partition)}) */ * FROM {{df}}", df=df)
 
 
+@contextmanager
+def _open_files(spark: SparkSession, most: int = 16) -> Iterator[None]:
+    """Partitioned writes inside keep up to ``most`` files of a task open; only what has more partition values is sorted by them in memory."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, most)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_partitioned(df: DataFrame, path: str, partition: list[str], mode: str = "append", most_rows: int = 5_000_000, dynamic: bool = False) -> None:
     """Write a table by partition values, of which each gets as few files as its size allows, whatever the number of tasks.
 
     Without ``partition`` columns the rows are written where they are. ``dynamic``: overwriting leaves partitions that get no rows.
+    A task with a large share of one partition writes it as it comes, without holding it for a sort.
     """
     writer = (clustered(df, partition) if partition else df).write.mode(mode).option("maxRecordsPerFile", most_rows)
     writer = writer.option("partitionOverwriteMode", "dynamic") if dynamic else writer
-    (writer.partitionBy(*partition) if partition else writer).parquet(path)
+    with _open_files(df.sparkSession):
+        (writer.partitionBy(*partition) if partition else writer).parquet(path)
 
 
 class Files:
@@ -144,10 +160,10 @@ def delete_stored(spark: SparkSession, path: str, condition: Column | None, part
 
 def drop_partitions(spark: SparkSession, path: str, values: DataFrame, partition: str) -> int:
     """Remove the partitions of ``values`` (rows with the column ``partition``) as folders; all others stay as they are. How many went."""
-    table = spark.read.parquet(path)
-    names = F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("_folder")
-    on = table[partition].eqNullSafe(values[partition])
-    folders = [r["_folder"] for r in table.select(partition, "_metadata").join(values, on, "left_semi").select(names).distinct().collect()]
+    first = spark.read.parquet(path).where("_metadata.row_index = 0")  # a row for each file
+    stored = first.select(F.col(partition).alias("_value"), F.col("_metadata.file_path").alias("_file"))
+    gone = stored.join(F.broadcast(values), F.col("_value").eqNullSafe(values[partition]), "left_semi")
+    folders = [r["_folder"] for r in gone.select(F.regexp_replace("_file", "/[^/]*$", "").alias("_folder")).distinct().collect()]
     files = Files(spark, path)
     for folder in folders:
         files.remove(files.plain(folder))

@@ -109,6 +109,49 @@ def test_upsert_that_empties_a_partition_leaves_the_others(spark, tmp_path):
     assert sorted(tuple(r) for r in spark.read.parquet(path).select("id", "k").collect()) == [(1, "c"), (2, "c"), (3, "d")]
 
 
+def _peaks(spark, group, run):
+    """Most execution memory of the stages that ``run`` starts, in bytes."""
+    sc = spark.sparkContext
+    sc.setJobGroup(group, "")
+    run()
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    jobs, store = sc.statusTracker(), sc._jsc.sc().statusStore()
+    stages = {s for j in jobs.getJobIdsForGroup(group) for s in jobs.getJobInfo(j).stageIds}
+    assert stages
+    return max(store.lastStageAttempt(s).peakExecutionMemory() for s in stages if jobs.getStageInfo(s) is not None)
+
+
+def test_a_large_partition_is_written_without_being_held(spark, tmp_path):
+    rows = spark.range(300_000).select("id", F.when(F.col("id") % 3 == 0, "P").otherwise("F").alias("s"))
+    assert _peaks(spark, "write", lambda: stored.write_partitioned(rows, str(tmp_path / "t"), ["s"])) == 0
+    assert spark.read.parquet(str(tmp_path / "t")).where("s = 'F'").count() == 200_000
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_partitions_are_not_brought_into_one_task_by_an_upsert(spark, tmp_path, monkeypatch):
+    path, plans, cut = str(tmp_path / "t"), [], upsert.cut
+    monkeypatch.setattr(upsert, "cut", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or cut(df))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(9000).select("id", F.element_at(F.array(*map(F.lit, "FOP")), (F.col("id") % 3 + 1).cast("int")).alias("s"))
+        upsert.upsert_partitions(spark, path, rows, ["id"], "s")
+        upsert.upsert_partitions(spark, path, rows.where("s = 'P'").withColumn("s", F.lit("F")), ["id"], "s")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plans[-1] and "hashpartitioning(s#" not in plans[-1]
+    assert sorted((r["s"], r["count"]) for r in spark.read.parquet(path).groupBy("s").count().collect()) == [("F", 6000), ("O", 3000)]
+
+
+def test_upsert_keeps_rows_without_a_partition_value(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert.upsert_partitions(spark, path, spark.createDataFrame([(1, None), (2, "b"), (3, None), (4, "c")], "id int, k string"), ["id"], "k")
+    upsert.upsert_partitions(spark, path, spark.createDataFrame([(3, "b"), (5, None)], "id int, k string"), ["id"], "k")
+    assert sorted(tuple(r) for r in spark.read.parquet(path).select("id", "k").collect()) == [(1, None), (2, "b"), (3, "b"), (4, "c"), (5, None)]
+    upsert.upsert_partitions(spark, path, spark.createDataFrame([(1, "b"), (5, "b")], "id int, k string"), ["id"], "k")  # none is left without one
+    assert sorted(tuple(r) for r in spark.read.parquet(path).select("id", "k").collect()) == [(1, "b"), (2, "b"), (3, "b"), (4, "c"), (5, "b")]
+
+
 HISTORY = "code string, day timestamp, size int, name string"
 
 
